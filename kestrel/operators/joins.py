@@ -49,18 +49,20 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, rig
 
 def full_outer_merge(frames: Sequence[DataFrame], keys: Sequence[str], fill_zero: Sequence[str] = ()) -> DataFrame:
     """Chained FULL OUTER JOINs of per-key aggregates that are unique on ``keys``
-    (JN-04/JN-05), with coalesced keys. Implemented as real full outer joins so
-    NULL keys stay apart exactly as SQL keeps them."""
+    (JN-04/JN-05), each on the keys coalesced so far. Real full outer joins
+    (not union + group) so NULL keys stay apart exactly as SQL keeps them."""
     out = frames[0]
-    for nxt in frames[1:]:
+    for i, nxt in enumerate(frames[1:]):
+        ren = {k: f"__k{i}_{k}" for k in keys}
+        right = nxt.select(*[F.col(k).alias(ren[k]) for k in keys], *[c for c in nxt.columns if c not in keys])
         cond = None
         for k in keys:
-            term = out[k] == nxt[k]
+            term = F.col(k) == F.col(ren[k])
             cond = term if cond is None else cond & term
-        joined = out.join(nxt, cond, "full_outer")
-        merged_keys = [F.coalesce(out[k], nxt[k]).alias(k) for k in keys]
-        rest = [out[c] for c in out.columns if c not in keys] + [nxt[c] for c in nxt.columns if c not in keys]
-        out = joined.select(*merged_keys, *rest)
+        joined = out.join(right, cond, "full_outer")
+        merged = [F.coalesce(F.col(k), F.col(ren[k])).alias(k) for k in keys]
+        rest = [c for c in joined.columns if c not in keys and c not in ren.values()]
+        out = joined.select(*merged, *rest)
     for c in fill_zero:
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
     return out
