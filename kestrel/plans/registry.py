@@ -12,9 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from ..session import configure
 from ..settings import Settings
 from ..sources import Sources
@@ -48,7 +46,6 @@ class Build:
         self.cfg = settings or Settings()
         self._published = published
         self._memo: dict[str, DataFrame] = {}
-        self._small: dict[str, bool] = {}
 
     def source(self, name: str) -> DataFrame:
         return self.sources.table(name)
@@ -59,17 +56,14 @@ class Build:
             self._memo[name] = df if df is not None else MODELS[name].fn(self)
         return self._memo[name]
 
-    def is_small(self, name: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-        """Whether model ``name`` is proven to hold at most ``max_rows`` rows."""
-        if name not in self._small:
-            self._small[name] = broadcast_if_small(self.ref(name), max_rows) is not self.ref(name)
-        return self._small[name]
-
-    def dim(self, name: str, *cols, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-        """A narrow projection of a dimension model, broadcast-hinted only when
-        its size is proven small; otherwise the planner shuffles it."""
-        df = self.ref(name).select(*cols) if cols else self.ref(name)
-        return F.broadcast(df) if self.is_small(name, max_rows) else df
+    def dim(self, name: str, *cols) -> DataFrame:
+        """A narrow projection of a dimension model for an enrichment join.
+
+        No broadcast hint: the planner broadcasts it only when its estimated
+        size (from file statistics) is under ``spark.sql.autoBroadcastJoinThreshold``
+        and otherwise plans a sort-merge join, so a dimension that grows with
+        the data is never forced into every executor's memory."""
+        return self.ref(name).select(*cols) if cols else self.ref(name)
 
     def pin(self, name: str, df: DataFrame) -> None:
         """Use ``df`` (e.g. a just-written table) for every later ``ref(name)``."""

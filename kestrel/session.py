@@ -17,6 +17,12 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The size check behind every dimension broadcast: the planner broadcasts a
+    # join side only when its estimated size is below this, else sort-merge.
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Split a skewed partition of a big join side even if the aggregation above
+    # then needs its own (map-side combined) shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Literal timestamps in shared SQL text are wall-clock values.
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
 }
@@ -48,6 +54,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -1,3 +1,5 @@
 """Source tables (SRC-01..SRC-21)."""
 
-from .catalog import SOURCE_NAMES, CatalogSources, FixtureSources, ParquetSources, Sources  # noqa: F401
+from .catalog import (  # noqa: F401
+    SOURCE_NAMES, CatalogSources, FixtureSources, ParquetSources, Sources, materialize_sources,
+)

@@ -35,9 +35,13 @@ class ParquetSources(Sources):
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        # one file listing / footer read per table per build
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        return self._tables[name]
 
 
 class CatalogSources(Sources):
@@ -45,9 +49,12 @@ class CatalogSources(Sources):
 
     def __init__(self, spark: SparkSession, database: str):
         self.spark, self.database = spark, database
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.table(f"`{self.database}`.`{name}`")
+        if name not in self._tables:
+            self._tables[name] = self.spark.table(f"`{self.database}`.`{name}`")
+        return self._tables[name]
 
 
 class FixtureSources(Sources):
@@ -68,3 +75,12 @@ class FixtureSources(Sources):
             inputs, _ = ADAPTERS[name]
             self._built[name] = self.spark.sql(render(name, "spark"), **{t: self.raw(t) for t in inputs})
         return self._built[name]
+
+
+def materialize_sources(sources: Sources, root: str, names=SOURCE_NAMES) -> ParquetSources:
+    """Write every source table once to Parquet under ``root`` and return a
+    ``ParquetSources`` over the copies (used to stage derived test sources the
+    way application tables already exist in production)."""
+    for name in names:
+        sources.table(name).write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{name}")
+    return ParquetSources(sources.spark, root)
