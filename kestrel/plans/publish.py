@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,26 +55,29 @@ def _write(b: Build, root: str, name: str, run_id: str) -> tuple[str, float]:
 
 def publish(b: Build, root: str, models: list[str] | None = None, run_id: str | None = None,
             parallel: int = 4) -> dict[str, float]:
-    """Build and publish ``models`` (default: all) in dependency order.
+    """Build and publish ``models`` (default: intermediate + marts) in dependency order.
 
-    Up to ``parallel`` models whose inputs are already published are written
-    at the same time (separate Spark jobs share the cluster), like a
-    warehouse build running several models at once. Returns seconds per model."""
+    A model is submitted as soon as every model it reads is published; up to
+    ``parallel`` run at once as separate Spark jobs sharing the cluster (as a
+    warehouse build runs several models at once). Returns seconds per model."""
     run_id = run_id or time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
     wanted = set(models or published_models()) - INTERNAL
     todo = [n for n in dependency_order(sorted(wanted)) if n in wanted]
+    needs = {n: {d for d in _deps_closure(n) if d in wanted} for n in todo}
     done: set[str] = set()
     timings: dict[str, float] = {}
-
-    def ready(n: str) -> bool:
-        return all(d in done or d not in todo for d in _deps_closure(n))
-
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        running = {}
         while len(done) < len(todo):
-            wave = [n for n in todo if n not in done and ready(n)]
-            for name, secs in pool.map(lambda n: _write(b, root, n, run_id), wave):
+            for n in todo:
+                if n not in done and n not in running.values() and needs[n] <= done:
+                    running[pool.submit(_write, b, root, n, run_id)] = n
+            finished, _ = wait(list(running), return_when=FIRST_COMPLETED)
+            for f in finished:
+                name, secs = f.result()
                 done.add(name)
                 timings[name] = secs
+                del running[f]
     rows = [(n, f"{root}/{n}/run={run_id}") for n in todo]
     b.spark.createDataFrame(rows, "model string, path string").coalesce(1).write.mode("errorifexists") \
         .parquet(f"{root}/_manifest/run={run_id}")

@@ -17,6 +17,34 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                             ('contact_rate_pct', 'DECIMAL(38,2)'),
                             ('contact_to_bind_rate_pct', 'DECIMAL(38,2)'),
                             ('overall_close_rate_pct', 'DECIMAL(38,2)')],
+ 'agg01_group_by': [('l_returnflag', 'VARCHAR'),
+                    ('l_linestatus', 'VARCHAR'),
+                    ('sum_qty', 'DECIMAL(38,4)'),
+                    ('sum_base_price', 'DECIMAL(38,4)'),
+                    ('count_order', 'BIGINT'),
+                    ('count_shipped', 'BIGINT')],
+ 'agg03_count_distinct': [('user_id', 'BIGINT'), ('n_event_types', 'BIGINT'), ('n_active_days', 'BIGINT')],
+ 'agg04_sum_flags': [('l_partkey', 'BIGINT'), ('qty', 'DECIMAL(38,4)'), ('n_returned', 'BIGINT')],
+ 'agg05_avg': [('l_suppkey', 'BIGINT'), ('avg_qty', 'DECIMAL(38,6)'), ('avg_price', 'DECIMAL(38,6)')],
+ 'agg06_min_max': [('user_id', 'BIGINT'),
+                   ('first_at', 'TIMESTAMP'),
+                   ('last_at', 'TIMESTAMP'),
+                   ('min_value', 'DECIMAL(38,4)'),
+                   ('max_value', 'DECIMAL(38,4)')],
+ 'agg07_filter': [('user_id', 'BIGINT'),
+                  ('clicks', 'BIGINT'),
+                  ('purchase_value', 'DECIMAL(38,4)'),
+                  ('first_error_at', 'TIMESTAMP')],
+ 'agg08_case_agg': [('o_orderstatus', 'VARCHAR'),
+                    ('high_priority', 'BIGINT'),
+                    ('low_priority_total', 'DECIMAL(38,4)')],
+ 'agg09_bool_or': [('user_id', 'BIGINT'), ('had_error', 'BOOLEAN'), ('all_above_one', 'BOOLEAN')],
+ 'agg10_latest_value': [('user_id', 'BIGINT'), ('kind', 'VARCHAR'), ('latest_at', 'TIMESTAMP')],
+ 'agg11_dependent_attr': [('o_custkey', 'BIGINT'), ('n_orders', 'BIGINT'), ('nation', 'VARCHAR')],
+ 'agg12_preagg_join': [('c_custkey', 'BIGINT'),
+                       ('n_orders', 'BIGINT'),
+                       ('n_lines', 'BIGINT'),
+                       ('n_events', 'BIGINT')],
  'business_funnel_daily': [('activity_date', 'DATE'),
                            ('license_name', 'VARCHAR'),
                            ('businesses_with_app', 'BIGINT'),
@@ -45,6 +73,23 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
               ('is_month_end', 'BOOLEAN'),
               ('is_past_or_today', 'BOOLEAN'),
               ('is_today', 'BOOLEAN')],
+ 'dq01_not_null': [('failures', 'BIGINT')],
+ 'dq02_unique': [('l_orderkey', 'BIGINT'), ('n_records', 'BIGINT')],
+ 'dq03_accepted_values': [('o_orderstatus', 'VARCHAR'), ('failures', 'BIGINT')],
+ 'dq04_unique_combo': [('l_orderkey', 'BIGINT'), ('l_linenumber', 'BIGINT'), ('n_records', 'BIGINT')],
+ 'flt05_distinct_from': [('o_orderstatus', 'VARCHAR'), ('n_orders', 'BIGINT')],
+ 'flt06_like_ilike': [('p_partkey', 'BIGINT'), ('bucket', 'VARCHAR')],
+ 'flt08_not_and_time': [('l_returnflag', 'VARCHAR'),
+                        ('l_linestatus', 'VARCHAR'),
+                        ('n_lines', 'BIGINT'),
+                        ('sum_qty', 'DECIMAL(38,4)')],
+ 'flt_eq_in_null': [('l_orderkey', 'BIGINT'),
+                    ('l_linenumber', 'BIGINT'),
+                    ('l_partkey', 'BIGINT'),
+                    ('l_quantity', 'DOUBLE'),
+                    ('l_returnflag', 'VARCHAR'),
+                    ('l_linestatus', 'VARCHAR'),
+                    ('l_shipdate', 'TIMESTAMP')],
  'int_ae_sales_policy': [('policy_id', 'BIGINT'),
                          ('business_id', 'BIGINT'),
                          ('policy_created_at', 'TIMESTAMP'),
@@ -526,6 +571,25 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                        ('d30_nb_premium', 'DECIMAL(38,4)'),
                        ('d30_nb_gross_revenue', 'DECIMAL(38,4)'),
                        ('nb_gross_revenue', 'DECIMAL(38,4)')],
+ 'jn01_inner': [('n_name', 'VARCHAR'), ('n_orders', 'BIGINT'), ('revenue', 'DECIMAL(38,4)')],
+ 'jn02_spine': [('date_day', 'DATE'), ('week_start', 'DATE'), ('n_orders', 'BIGINT')],
+ 'jn03_left': [('c_custkey', 'BIGINT'),
+               ('c_name', 'VARCHAR'),
+               ('n_orders', 'BIGINT'),
+               ('order_total', 'DECIMAL(38,4)')],
+ 'jn04_full_outer': [('month', 'DATE'), ('status', 'VARCHAR'), ('n_orders', 'BIGINT'), ('n_lines', 'BIGINT')],
+ 'jn05_full_outer_chain': [('day', 'DATE'),
+                           ('n_orders', 'BIGINT'),
+                           ('n_lines', 'BIGINT'),
+                           ('n_events', 'BIGINT')],
+ 'jn06_range_residual': [('o_orderkey', 'BIGINT'),
+                         ('o_custkey', 'BIGINT'),
+                         ('o_orderdate', 'TIMESTAMP'),
+                         ('first_order_at', 'TIMESTAMP')],
+ 'jn07_asof_backward': [('user_id', 'BIGINT'), ('last_view_event_id', 'BIGINT')],
+ 'jn07_asof_forward': [('user_id', 'BIGINT'), ('first_error_event_id', 'BIGINT')],
+ 'jn08_existence_flag': [('c_custkey', 'BIGINT'), ('has_urgent_order', 'BOOLEAN')],
+ 'jn_left_null_keys': [('event_id', 'BIGINT'), ('k', 'BIGINT'), ('c_name', 'VARCHAR')],
  'nb_sales_daily': [('activity_date', 'DATE'),
                     ('same_month_sale', 'BOOLEAN'),
                     ('license_name', 'VARCHAR'),
@@ -571,6 +635,14 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                             ('renewal_premium', 'DECIMAL(38,4)'),
                             ('renewal_rate_pct', 'DECIMAL(38,2)'),
                             ('effective_commission_rate_pct', 'DECIMAL(38,2)')],
+ 'prj_select_cast': [('order_id', 'BIGINT'),
+                     ('customer_id', 'BIGINT'),
+                     ('status', 'VARCHAR'),
+                     ('total_price', 'DECIMAL(38,4)'),
+                     ('order_date', 'DATE'),
+                     ('priority', 'VARCHAR'),
+                     ('is_filled', 'BOOLEAN'),
+                     ('is_urgent', 'BOOLEAN')],
  'ringba_ae_calls_daily': [('call_date', 'DATE'),
                            ('account_executive', 'VARCHAR'),
                            ('partner_name', 'VARCHAR'),
@@ -607,6 +679,60 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                         ('no_answer_events', 'BIGINT'),
                         ('total_seconds_to_answer', 'BIGINT'),
                         ('answered_talk_seconds', 'BIGINT')],
+ 'sc01_sc04_strings': [('c_custkey', 'BIGINT'),
+                       ('clean_name', 'VARCHAR'),
+                       ('upper_name', 'VARCHAR'),
+                       ('name_and_segment', 'VARCHAR'),
+                       ('segment_or_default', 'VARCHAR')],
+ 'sc06_json_key': [('event_id', 'BIGINT'), ('has_k', 'BOOLEAN'), ('has_x', 'BOOLEAN')],
+ 'sc07_json_text': [('event_id', 'BIGINT'), ('k_text', 'VARCHAR')],
+ 'sc08_date_trunc': [('o_orderkey', 'BIGINT'),
+                     ('day_start', 'DATE'),
+                     ('week_start', 'DATE'),
+                     ('month_start', 'DATE'),
+                     ('quarter_start', 'DATE'),
+                     ('year_start', 'DATE')],
+ 'sc09_days_between': [('l_orderkey', 'BIGINT'), ('l_linenumber', 'BIGINT'), ('days_to_ship', 'BIGINT')],
+ 'sc10_interval_add': [('o_orderkey', 'BIGINT'), ('snapshot_at', 'TIMESTAMP'), ('plus_90_days', 'TIMESTAMP')],
+ 'sc11_utc_to_eastern': [('event_id', 'BIGINT'),
+                         ('eastern_at', 'TIMESTAMP'),
+                         ('eastern_date', 'DATE'),
+                         ('utc_date', 'DATE')],
+ 'sc12_instant_to_eastern': [('event_id', 'BIGINT'), ('eastern_at', 'TIMESTAMP')],
+ 'sc13_as_of_age': [('o_orderkey', 'BIGINT'),
+                    ('age_days', 'BIGINT'),
+                    ('is_mature_d7', 'BIGINT'),
+                    ('is_mature_d30', 'BIGINT'),
+                    ('is_mature_d10000', 'BIGINT')],
+ 'sc15_seconds_between': [('user_id', 'BIGINT'), ('seconds_to_purchase', 'BIGINT')],
+ 'sc17_pct': [('p_brand', 'VARCHAR'), ('return_pct', 'DECIMAL(38,2)'), ('negated_total', 'DECIMAL(38,4)')],
+ 'sc19_bool_algebra': [('o_orderkey', 'BIGINT'),
+                       ('is_big', 'BOOLEAN'),
+                       ('big_and_urgent', 'BOOLEAN'),
+                       ('big_or_urgent', 'BOOLEAN'),
+                       ('not_big', 'BOOLEAN'),
+                       ('is_big_or_false', 'BOOLEAN')],
+ 'sc_window_flags': [('l_orderkey', 'BIGINT'),
+                     ('l_linenumber', 'BIGINT'),
+                     ('d7', 'BIGINT'),
+                     ('d30', 'BIGINT'),
+                     ('d90', 'BIGINT')],
+ 'set01_union_all': [('day', 'DATE'), ('amount', 'DECIMAL(38,4)'), ('n_lines', 'BIGINT')],
+ 'src20_date_spine': [('date_day', 'DATE'),
+                      ('week_start', 'DATE'),
+                      ('month_start', 'DATE'),
+                      ('quarter_start', 'DATE'),
+                      ('year_start', 'DATE'),
+                      ('year', 'BIGINT'),
+                      ('quarter', 'BIGINT'),
+                      ('month', 'BIGINT'),
+                      ('year_month', 'VARCHAR'),
+                      ('day_of_month', 'BIGINT'),
+                      ('day_of_week', 'BIGINT'),
+                      ('day_name', 'VARCHAR'),
+                      ('is_weekend', 'BOOLEAN'),
+                      ('is_month_end', 'BOOLEAN')],
+ 'srt01_order_nulls_first': [('n_name', 'VARCHAR'), ('revenue', 'DECIMAL(38,4)'), ('size_bucket', 'VARCHAR')],
  'stg_application_submission': [('application_submission_id', 'BIGINT'),
                                 ('business_id', 'BIGINT'),
                                 ('user_id', 'BIGINT'),
@@ -928,6 +1054,9 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                        ('claimed_at', 'TIMESTAMP'),
                        ('laq_assigned_at', 'TIMESTAMP'),
                        ('updated_at', 'TIMESTAMP')],
+ 'win01_latest_per_key': [('o_custkey', 'BIGINT'), ('o_orderkey', 'BIGINT'), ('o_orderdate', 'TIMESTAMP')],
+ 'win02_first_in_month': [('order_date', 'DATE'), ('new_customers_in_month', 'BIGINT')],
+ 'win_earliest_per_key': [('user_id', 'BIGINT'), ('event_type', 'VARCHAR'), ('event_id', 'BIGINT')],
  'wt_pings_daily': [('ping_date', 'DATE'),
                     ('partner_name', 'VARCHAR'),
                     ('campaign_name', 'VARCHAR'),
