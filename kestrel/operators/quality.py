@@ -61,12 +61,35 @@ class Check:
 
 
 def run_checks(frames: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: model, test, severity, failures, status."""
+    """One row per check: model, test, severity, failures, status.
+
+    Per model, every not_null / accepted_values check is one conditional count
+    in a single aggregation pass; each unique / unique_combination check is
+    one group-by (partial aggregation first, so a hot value is combined
+    map-side). Results are stacked with a union, computed by Spark."""
     parts = []
+    by_model: dict[str, list[Check]] = {}
     for ck in checks:
-        n = ck.failures(frames[ck.model]).agg(F.count(F.lit(1)).alias("failures"))
-        parts.append(n.select(F.lit(ck.model).alias("model"), F.lit(ck.name).alias("test"),
-                              F.lit(ck.severity).alias("severity"), F.col("failures")))
+        by_model.setdefault(ck.model, []).append(ck)
+    for model, cks in by_model.items():
+        df = frames[model]
+        row_checks = [ck for ck in cks if ck.kind in ("not_null", "accepted_values")]
+        if row_checks:
+            counts = []
+            for i, ck in enumerate(row_checks):
+                col = F.col(ck.columns[0])
+                bad = col.isNull() if ck.kind == "not_null" else (col.isNotNull() & ~col.isin(*ck.values))
+                counts.append(F.count_if(bad).alias(f"c{i}"))
+            agg = df.agg(*counts)
+            stacked = F.stack(F.lit(len(row_checks)), *[x for i, ck in enumerate(row_checks)
+                                                       for x in (F.lit(ck.name), F.lit(ck.severity), F.col(f"c{i}"))])
+            parts.append(agg.select(stacked.alias("test", "severity", "failures"))
+                         .select(F.lit(model).alias("model"), "test", "severity", "failures"))
+        for ck in cks:
+            if ck.kind in ("unique", "unique_combination"):
+                n = ck.failures(df).agg(F.count(F.lit(1)).alias("failures"))
+                parts.append(n.select(F.lit(model).alias("model"), F.lit(ck.name).alias("test"),
+                                      F.lit(ck.severity).alias("severity"), F.col("failures")))
     out = reduce(DataFrame.unionByName, parts)
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
     return out.withColumn("status", status)

@@ -516,3 +516,10 @@ def dq03_accepted_values(b: Build):
 def dq04_unique_combo(b: Build):
     return unique_combination(raw(b, "lineitem"), ["l_orderkey", "l_linenumber"])
 
+
+
+@generic("dq_model_checks", "DQ-01", "DQ-02", "DQ-03", "DQ-04", "DQ-05")
+def dq_model_checks(b: Build):
+    """All 119 declared data tests over the sources and every model."""
+    from .quality_checks import model_checks
+    return model_checks(b)

@@ -77,6 +77,11 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
  'dq02_unique': [('l_orderkey', 'BIGINT'), ('n_records', 'BIGINT')],
  'dq03_accepted_values': [('o_orderstatus', 'VARCHAR'), ('failures', 'BIGINT')],
  'dq04_unique_combo': [('l_orderkey', 'BIGINT'), ('l_linenumber', 'BIGINT'), ('n_records', 'BIGINT')],
+ 'dq_model_checks': [('model', 'VARCHAR'),
+                     ('test', 'VARCHAR'),
+                     ('severity', 'VARCHAR'),
+                     ('failures', 'BIGINT'),
+                     ('status', 'VARCHAR')],
  'flt05_distinct_from': [('o_orderstatus', 'VARCHAR'), ('n_orders', 'BIGINT')],
  'flt06_like_ilike': [('p_partkey', 'BIGINT'), ('bucket', 'VARCHAR')],
  'flt08_not_and_time': [('l_returnflag', 'VARCHAR'),

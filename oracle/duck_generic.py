@@ -281,3 +281,33 @@ WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O') GROUP BY 1""
     "dq04_unique_combo": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
 }
+
+
+def _dq_sql() -> str:
+    from kestrel.plans.quality_checks import CHECKS
+    from oracle.duck_models import with_chain_many
+
+    def table(model: str) -> str:
+        return "src_" + model.split(":", 1)[1] if model.startswith("source:") else model
+
+    parts = []
+    for ck in CHECKS:
+        t, cols = table(ck.model), ", ".join(f'"{c}"' for c in ck.columns)
+        first = f'"{ck.columns[0]}"'
+        if ck.kind == "not_null":
+            fail = f"SELECT count(*) FROM {t} WHERE {first} IS NULL"
+        elif ck.kind == "accepted_values":
+            vals = ", ".join("'" + v + "'" for v in ck.values)
+            fail = f"SELECT count(*) FROM {t} WHERE {first} IS NOT NULL AND {first} NOT IN ({vals})"
+        elif ck.kind == "unique":
+            fail = f"SELECT count(*) FROM (SELECT {first} FROM {t} WHERE {first} IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x"
+        else:
+            fail = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY ALL HAVING count(*) > 1) x"
+        parts.append(f"SELECT '{ck.model}' AS model, '{ck.name}' AS test, '{ck.severity}' AS severity, ({fail}) AS failures")
+    tables = sorted({table(ck.model) for ck in CHECKS})
+    body = "\nUNION ALL\n".join(parts)
+    return (f"{with_chain_many(tables)}\nSELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' "
+            f"THEN 'warn' ELSE 'fail' END AS status FROM (\n{body}\n) checks")
+
+
+GENERIC_ORACLE["dq_model_checks"] = _dq_sql()

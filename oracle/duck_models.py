@@ -855,3 +855,11 @@ def with_chain(name: str) -> str:
 
 def query_sql(name: str, projection: str = "*") -> str:
     return f"{with_chain(name)}\nSELECT {projection} FROM {name}"
+
+
+def with_chain_many(names) -> str:
+    order: list[str] = []
+    seen: set[str] = set()
+    for n in names:
+        _order(n, seen, order)
+    return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n][1].strip()}\n)" for n in order)
