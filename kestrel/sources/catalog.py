@@ -57,6 +57,16 @@ class CatalogSources(Sources):
         return self._tables[name]
 
 
+class DataFrameSources(Sources):
+    """Sources given directly as DataFrames (tests, or tables already loaded)."""
+
+    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame]):
+        self.spark, self.tables = spark, dict(tables)
+
+    def table(self, name: str) -> DataFrame:
+        return self.tables[name]
+
+
 class FixtureSources(Sources):
     """Sources derived from the driver's test tables (see ``adapters``)."""
 
