@@ -3,10 +3,14 @@
 Scale notes
 -----------
 * Every per-business rollup is an aggregation (partial + final), never a
-  window, so a business holding a third of all rows is combined map-side.
-* Facts that must be compared with the business created date are first
-  pre-aggregated at (business, day, flags) grain; only those bounded rows
-  meet the business table in a shuffle join.
+  window, so a business holding a third of all rows is combined map-side
+  before its shuffle.
+* A fact joined to its dimension on a hot key (one policy or business with a
+  third of the ledger) is split at run time by AQE's skew-join handling
+  (``spark.sql.adaptive.forceOptimizeSkewedJoin``): the skewed partition is
+  cut into several tasks and the one matching dimension partition is
+  replicated; the aggregation above then gets its own map-side-combined
+  shuffle.
 * Small dimensions are broadcast only behind a row-count check
   (``Build.dim``); unbounded ones are shuffle-joined.
 * Ledger-level models join one per-policy context table (policy + carrier +
@@ -44,11 +48,6 @@ def _min_if(cond: Column, x: str) -> Column:
     return F.min(F.when(cond, c(x)))
 
 
-def _count_from(cond: Column, n: str = "n") -> Column:
-    """count(*) FILTER (cond) rebuilt from pre-aggregated row counts (0 when none)."""
-    return F.coalesce(F.sum(F.when(cond, c(n))), F.lit(0)).cast("bigint")
-
-
 # ---------------------------------------------------------------------------
 # int_business stages (INT-01a .. INT-01j)
 # ---------------------------------------------------------------------------
@@ -94,27 +93,25 @@ def int_business_policy_rollup(b: Build):
     """INT-01c: policy counts, premium and first-bind times (all / NB / Chubb / GAIG)."""
     pol = b.ref("stg_policy").select("business_id", "carrier_id", "created_at", "created_date", "premium",
                                      "is_active", "is_new_business")
-    p = pol.join(_carriers(b), "carrier_id").where(~c("is_test_carrier"))
-    day = p.groupBy("business_id", "created_date", "is_active", "is_new_business", "carrier_group").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("premium").alias("premium"), F.min("created_at").alias("first_at"))
-    j = day.join(_business_dates(b), "business_id")
+    p = (pol.join(_carriers(b), "carrier_id").where(~c("is_test_carrier"))
+            .join(_business_dates(b), "business_id"))
     nb = c("is_new_business")
     d30 = days_between("created_date", "business_created_date") <= 30
     chubb, gaig = c("carrier_group") == "Chubb", c("carrier_group") == "GAIG"
-    return j.groupBy("business_id").agg(
-        F.min("first_at").alias("first_policy_created_at"),
-        F.sum("n").alias("policy_count"),
+    return p.groupBy("business_id").agg(
+        F.min("created_at").alias("first_policy_created_at"),
+        F.count(F.lit(1)).alias("policy_count"),
         F.sum("premium").alias("total_premium"),
-        _count_from(c("is_active")).alias("active_policy_count"),
+        F.count_if(c("is_active")).alias("active_policy_count"),
         _sum_if(c("is_active"), "premium").alias("active_premium"),
-        _min_if(nb, "first_at").alias("first_nb_policy_created_at"),
-        _count_from(nb).alias("nb_policy_count"),
+        _min_if(nb, "created_at").alias("first_nb_policy_created_at"),
+        F.count_if(nb).alias("nb_policy_count"),
         _sum_if(nb, "premium").alias("nb_premium"),
         _sum_if(nb & d30, "premium").alias("d30_nb_premium"),
-        _min_if(nb & chubb, "first_at").alias("first_nb_chubb_policy_created_at"),
+        _min_if(nb & chubb, "created_at").alias("first_nb_chubb_policy_created_at"),
         _sum_if(nb & chubb, "premium").alias("nb_chubb_premium"),
         _sum_if(nb & chubb & d30, "premium").alias("d30_nb_chubb_premium"),
-        _min_if(nb & gaig, "first_at").alias("first_nb_gaig_policy_created_at"),
+        _min_if(nb & gaig, "created_at").alias("first_nb_gaig_policy_created_at"),
         _sum_if(nb & gaig, "premium").alias("nb_gaig_premium"),
         _sum_if(nb & gaig & d30, "premium").alias("d30_nb_gaig_premium"),
     )
@@ -142,33 +139,28 @@ def int_business_quote_rollup(b: Build):
        deps=("stg_policy_transaction", "stg_policy", "stg_carrier", "stg_business"))
 def int_business_revenue_rollup(b: Build):
     """INT-01e: signed NB ledger sums in booking-day windows from the business date."""
-    flags = ["is_gross_revenue", "is_core_revenue", "is_cancellation"]
-    t = b.ref("stg_policy_transaction").where(~c("is_partial_installment"))
-    # (policy, booking day, flags) grain: bounds a hot policy before the policy join
-    t_day = t.groupBy("policy_id", "created_date", *flags).agg(
-        F.sum("signed_amount").alias("amt"),
-        F.min(F.when(c("is_cancellation"), c("created_at"))).alias("first_cancel_at"))
+    t = b.ref("stg_policy_transaction").where(~c("is_partial_installment")).select(
+        "policy_id", "created_at", "created_date", "signed_amount", "is_gross_revenue", "is_core_revenue",
+        "is_cancellation")
     pol = b.ref("stg_policy").select("policy_id", "business_id", "carrier_id", "is_new_business")
-    j = (t_day.join(pol, "policy_id").join(_carriers(b), "carrier_id").where(~c("is_test_carrier")))
-    # (business, booking day, ...) grain: bounds a hot business before the business join
-    biz_day = j.groupBy("business_id", "created_date", "is_new_business", "carrier_group", *flags).agg(
-        F.sum("amt").alias("amt"), F.min("first_cancel_at").alias("first_cancel_at"))
-    r = biz_day.join(_business_dates(b), "business_id")
+    r = (t.join(pol, "policy_id").join(_carriers(b), "carrier_id").where(~c("is_test_carrier"))
+          .join(_business_dates(b), "business_id"))
     nb, gross, core, canc = c("is_new_business"), c("is_gross_revenue"), c("is_core_revenue"), c("is_cancellation")
     days = days_between("created_date", "business_created_date")
     chubb, gaig = c("carrier_group") == "Chubb", c("carrier_group") == "GAIG"
+    amt = "signed_amount"
     return r.groupBy("business_id").agg(
-        _sum_if(nb & gross & (days <= 7), "amt").alias("d7_nb_gross_revenue"),
-        _sum_if(nb & gross & (days <= 14), "amt").alias("d14_nb_gross_revenue"),
-        _sum_if(nb & gross & (days <= 30), "amt").alias("d30_nb_gross_revenue"),
-        _sum_if(nb & gross, "amt").alias("nb_gross_revenue"),
-        _sum_if(nb & gross & chubb & (days <= 30), "amt").alias("d30_nb_chubb_gross_revenue"),
-        _sum_if(nb & gross & gaig & (days <= 30), "amt").alias("d30_nb_gaig_gross_revenue"),
-        _sum_if(nb & core & (days <= 30), "amt").alias("d30_nb_core_revenue"),
-        _sum_if(nb & core, "amt").alias("nb_core_revenue"),
-        _sum_if(nb & canc, "amt").alias("nb_cancellation_amount"),
-        _min_if(nb & canc, "first_cancel_at").alias("first_nb_cancellation_booked_at"),
-        _sum_if(core, "amt").alias("total_core_revenue"),
+        _sum_if(nb & gross & (days <= 7), amt).alias("d7_nb_gross_revenue"),
+        _sum_if(nb & gross & (days <= 14), amt).alias("d14_nb_gross_revenue"),
+        _sum_if(nb & gross & (days <= 30), amt).alias("d30_nb_gross_revenue"),
+        _sum_if(nb & gross, amt).alias("nb_gross_revenue"),
+        _sum_if(nb & gross & chubb & (days <= 30), amt).alias("d30_nb_chubb_gross_revenue"),
+        _sum_if(nb & gross & gaig & (days <= 30), amt).alias("d30_nb_gaig_gross_revenue"),
+        _sum_if(nb & core & (days <= 30), amt).alias("d30_nb_core_revenue"),
+        _sum_if(nb & core, amt).alias("nb_core_revenue"),
+        _sum_if(nb & canc, amt).alias("nb_cancellation_amount"),
+        _min_if(nb & canc, "created_at").alias("first_nb_cancellation_booked_at"),
+        _sum_if(core, amt).alias("total_core_revenue"),
     )
 
 

@@ -45,7 +45,10 @@ def read_current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return spark.read.parquet(row[0]) if row else None
 
 
-def _write(b: Build, root: str, name: str, run_id: str) -> tuple[str, float]:
+def _write(b: Build, root: str, name: str, run_id: str, pool: str | None = None) -> tuple[str, float]:
+    if pool:
+        # FAIR scheduling (when enabled): models many others wait on get a larger share
+        b.spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
     t0 = time.time()
     path = f"{root}/{name}/run={run_id}"
     b.ref(name).write.mode("errorifexists").parquet(path)
@@ -64,14 +67,18 @@ def publish(b: Build, root: str, models: list[str] | None = None, run_id: str |
     wanted = set(models or published_models()) - INTERNAL
     todo = [n for n in dependency_order(sorted(wanted)) if n in wanted]
     needs = {n: {d for d in _deps_closure(n) if d in wanted} for n in todo}
+    waiting_on = {n: _descendants(n, needs) for n in todo}
+    pool = {n: f"w{min(8, 1 + len(waiting_on[n]))}" for n in todo}
+    # among ready models, submit the ones most others wait on first
+    todo = sorted(todo, key=lambda n: -len(waiting_on[n]))
     done: set[str] = set()
     timings: dict[str, float] = {}
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as executor:
         running = {}
         while len(done) < len(todo):
             for n in todo:
                 if n not in done and n not in running.values() and needs[n] <= done:
-                    running[pool.submit(_write, b, root, n, run_id)] = n
+                    running[executor.submit(_write, b, root, n, run_id, pool[n])] = n
             finished, _ = wait(list(running), return_when=FIRST_COMPLETED)
             for f in finished:
                 name, secs = f.result()
@@ -84,6 +91,18 @@ def publish(b: Build, root: str, models: list[str] | None = None, run_id: str |
     return timings
 
 
+def _descendants(name: str, needs: dict[str, set[str]]) -> set[str]:
+    out: set[str] = set()
+    frontier = [name]
+    while frontier:
+        cur = frontier.pop()
+        for n, deps in needs.items():
+            if cur in deps and n not in out:
+                out.add(n)
+                frontier.append(n)
+    return out
+
+
 def _deps_closure(name: str) -> set[str]:
     """Published models ``name`` reads, looking through internal stages."""
     out: set[str] = set()

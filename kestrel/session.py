@@ -48,11 +48,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# FAIR-scheduler pools "w1".."w8" (weight = the number), used by the
+# publisher to run models many others depend on ahead of leaf marts.
+POOL_WEIGHTS = range(1, 9)
+
+
+def fair_pool_file() -> str:
+    """Write a FAIR-scheduler allocation file with the weighted pools."""
+    d = tempfile.mkdtemp(prefix="kestrel-pools-")
+    body = "".join(f'<pool name="w{w}"><schedulingMode>FIFO</schedulingMode><weight>{w}</weight>'
+                   f"<minShare>0</minShare></pool>" for w in POOL_WEIGHTS)
+    path = os.path.join(d, "pools.xml")
+    with open(path, "w") as fh:
+        fh.write(f'<?xml version="1.0"?><allocations>{body}</allocations>')
+    return path
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "kestrel") -> SparkSession:
     """A local session for tests and the bench (UI off, no servers)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.scheduler.mode", "FAIR")
+        .config("spark.scheduler.allocation.file", fair_pool_file())
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

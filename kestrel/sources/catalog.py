@@ -87,10 +87,14 @@ class FixtureSources(Sources):
         return self._built[name]
 
 
-def materialize_sources(sources: Sources, root: str, names=SOURCE_NAMES) -> ParquetSources:
+def materialize_sources(sources: Sources, root: str, names=SOURCE_NAMES,
+                        records_per_file: int = 20_000) -> ParquetSources:
     """Write every source table once to Parquet under ``root`` and return a
     ``ParquetSources`` over the copies (used to stage derived test sources the
-    way application tables already exist in production)."""
+    way application tables already exist in production). Files are capped at
+    ``records_per_file`` rows, so scans get input splits in proportion to the
+    table's size rather than one task per small table."""
     for name in names:
-        sources.table(name).write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{name}")
+        (sources.table(name).write.mode("errorifexists").option("maxRecordsPerFile", records_per_file)
+         .parquet(f"{root.rstrip('/')}/{name}"))
     return ParquetSources(sources.spark, root)
