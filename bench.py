@@ -6,10 +6,12 @@ local[$BENCH_CPUS] and prints one JSON line.
 1. source prep (reported as ``source_prep_sec``, not in ``value``): the 19
    application tables are derived from the driver tables and written once as
    Parquet, the state production starts from;
-2. ``value``: wall time of a full build: the 7 intermediate and 9 mart models
-   published as Parquet tables, the 20 staging models computed as views
-   inside them (the same work as the reference's "full build" figure, without
-   rewriting the sources as staging tables);
+2. a full build: the 7 intermediate and 9 mart models published as Parquet
+   tables, the 20 staging models computed as views inside them (the same work
+   as the reference's "full build" figure, without rewriting the sources as
+   staging tables). It runs twice in the same application: the first
+   (``cold_build_sec``) pays JVM JIT and code-generation warm-up, the second
+   is ``value`` (steady state, fresh plans, nothing cached or reused);
 3. ``queries``: each headline mart run end to end from the source tables
    (nothing reused), executed with the no-op sink.
 """
@@ -47,9 +49,14 @@ def main() -> None:
     sources = materialize_sources(FixtureSources(spark, sf_dir), f"{out_root}/sources")
     source_prep = time.time() - t0
 
-    b = Build(spark, sources, fixture_settings())
+    parallel = int(os.environ.get("BENCH_PARALLEL", "8"))
     t0 = time.time()
-    per_model = publish(b, out_root, published_models(), parallel=int(os.environ.get("BENCH_PARALLEL", "8")))
+    publish(Build(spark, sources, fixture_settings()), f"{out_root}/cold", published_models(), parallel=parallel)
+    cold_build = time.time() - t0
+
+    t0 = time.time()
+    per_model = publish(Build(spark, sources, fixture_settings()), f"{out_root}/warm", published_models(),
+                        parallel=parallel)
     full_build = time.time() - t0
 
     queries: dict[str, float] = {}
@@ -62,7 +69,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "full_build_all_models", "value": round(full_build, 3), "unit": "sec",
-        "queries": queries, "source_prep_sec": round(source_prep, 3),
+        "queries": queries, "cold_build_sec": round(cold_build, 3), "source_prep_sec": round(source_prep, 3),
         "build_model_sec": {k: round(v, 3) for k, v in per_model.items()},
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus,
     }))

@@ -11,8 +11,9 @@ Scale notes
   cut into several tasks and the one matching dimension partition is
   replicated; the aggregation above then gets its own map-side-combined
   shuffle.
-* Small dimensions are broadcast only behind a row-count check
-  (``Build.dim``); unbounded ones are shuffle-joined.
+* Dimensions carry no broadcast hint: the planner broadcasts one only when
+  its estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and
+  shuffle-joins it otherwise (``Build.dim``).
 * Ledger-level models join one per-policy context table (policy + carrier +
   business + owner) once, instead of shuffling the ledger once per dimension.
 """

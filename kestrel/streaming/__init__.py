@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reporting chain has no streaming, watermark, window or state logic: every
+model is a full batch rebuild of its table, published atomically by
+``kestrel.plans.publish``. No streaming operator is therefore defined here.
+"""
