@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,36 +59,71 @@ class Check:
         raise ValueError(self.kind)
 
 
+def _row_checks(model: str, df: DataFrame, cks: Sequence[Check]) -> DataFrame:
+    """Every not_null / accepted_values check of a model in one aggregation pass."""
+    counts = []
+    for i, ck in enumerate(cks):
+        col = F.col(ck.columns[0])
+        bad = col.isNull() if ck.kind == "not_null" else (col.isNotNull() & ~col.isin(*ck.values))
+        counts.append(F.count_if(bad).alias(f"c{i}"))
+    return _stack(model, df.agg(*counts), cks)
+
+
+def _key_checks(model: str, df: DataFrame, cks: Sequence[Check]) -> DataFrame:
+    """Every unique / unique_combination check of a model in one grouping-sets
+    aggregation (one scan, one shuffle; partial counts combine map-side), then
+    one pass counting the duplicated keys of each set."""
+    sets = list(dict.fromkeys(tuple(ck.columns) for ck in cks))
+    cols = sorted({c for s in sets for c in s})
+    grouped = df.groupingSets([list(s) for s in sets], *cols).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
+
+    def gid(s):  # grouping_id bit is 1 for a column not in the set
+        return sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s)
+
+    counts = []
+    for i, ck in enumerate(cks):
+        dup = (F.col("__gid") == gid(ck.columns)) & (F.col("__n") > 1)
+        if ck.kind == "unique":  # NULL values are ignored by unique tests
+            dup = dup & F.col(ck.columns[0]).isNotNull()
+        counts.append(F.count_if(dup).alias(f"c{i}"))
+    return _stack(model, grouped.agg(*counts), cks)
+
+
+def _stack(model: str, one_row: DataFrame, cks: Sequence[Check]) -> DataFrame:
+    stacked = F.stack(F.lit(len(cks)), *[x for i, ck in enumerate(cks)
+                                         for x in (F.lit(ck.name), F.lit(ck.severity), F.col(f"c{i}"))])
+    return one_row.select(stacked.alias("test", "severity", "failures")).select(
+        F.lit(model).alias("model"), "test", "severity", "failures")
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """UNION ALL of many frames as a balanced tree: each union call re-checks
+    the plan it builds, so a left-deep chain of n unions costs O(n^2)."""
+    frames = list(frames)
+    while len(frames) > 1:
+        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+                  for i in range(0, len(frames), 2)]
+    return frames[0]
+
+
 def run_checks(frames: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: model, test, severity, failures, status.
 
-    Per model, every not_null / accepted_values check is one conditional count
-    in a single aggregation pass; each unique / unique_combination check is
-    one group-by (partial aggregation first, so a hot value is combined
-    map-side). Results are stacked with a union, computed by Spark."""
+    Each model is read twice whatever its number of checks: one aggregation
+    for all row-level checks, one grouping-sets aggregation for all key
+    checks. Results are stacked with a union, computed by Spark."""
     parts = []
     by_model: dict[str, list[Check]] = {}
     for ck in checks:
         by_model.setdefault(ck.model, []).append(ck)
     for model, cks in by_model.items():
-        df = frames[model]
-        row_checks = [ck for ck in cks if ck.kind in ("not_null", "accepted_values")]
-        if row_checks:
-            counts = []
-            for i, ck in enumerate(row_checks):
-                col = F.col(ck.columns[0])
-                bad = col.isNull() if ck.kind == "not_null" else (col.isNotNull() & ~col.isin(*ck.values))
-                counts.append(F.count_if(bad).alias(f"c{i}"))
-            agg = df.agg(*counts)
-            stacked = F.stack(F.lit(len(row_checks)), *[x for i, ck in enumerate(row_checks)
-                                                       for x in (F.lit(ck.name), F.lit(ck.severity), F.col(f"c{i}"))])
-            parts.append(agg.select(stacked.alias("test", "severity", "failures"))
-                         .select(F.lit(model).alias("model"), "test", "severity", "failures"))
-        for ck in cks:
-            if ck.kind in ("unique", "unique_combination"):
-                n = ck.failures(df).agg(F.count(F.lit(1)).alias("failures"))
-                parts.append(n.select(F.lit(model).alias("model"), F.lit(ck.name).alias("test"),
-                                      F.lit(ck.severity).alias("severity"), F.col("failures")))
-    out = reduce(DataFrame.unionByName, parts)
+        row = [ck for ck in cks if ck.kind in ("not_null", "accepted_values")]
+        key = [ck for ck in cks if ck.kind in ("unique", "unique_combination")]
+        if row:
+            parts.append(_row_checks(model, frames[model], row))
+        if key:
+            parts.append(_key_checks(model, frames[model], key))
+    out = union_all(parts)
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
     return out.withColumn("status", status)
