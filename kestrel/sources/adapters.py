@@ -102,7 +102,7 @@ SELECT p_partkey AS id, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_partkey % 5
        concat('rb', {_s('p_partkey')}) AS ringbaCampaignId, p_retailprice AS bidCost,
        {_b3('p_partkey + 1')} AS available, CAST(NULL AS BOOLEAN) AS isTivlyCampaign,
        {_b3('p_partkey')} AS isHighRevenueCampaign, CAST(NULL AS BOOLEAN) AS containsEnterprise
-FROM {{part}} WHERE p_partkey < 40""")
+FROM {{part}}""")
 
 _adapter("User", ("customer",), f"""
 SELECT c_custkey AS id, concat('user', {_s('c_custkey')}, '@example.test') AS email,

@@ -99,3 +99,15 @@ def test_publish_and_read_back(spark):
     assert set(timings) == {"int_policy_revenue", "policy_revenue_summary"}
     got = read_current(spark, root, "policy_revenue_summary")
     assert got.count() == E.build(spark, SF_SMALL).ref("policy_revenue_summary").count()
+
+
+def test_dim_date_matches_oracle(spark, duck):
+    """The calendar spine (not registered as a query: it reads no table)."""
+    from oracle.contracts import CONTRACTS
+    from oracle.duck_models import query_sql
+    from kestrel.plans.contract import conform
+    df = conform(E.build(spark, SF_SMALL).ref("dim_date"), CONTRACTS["dim_date"])
+    got = sorted(tuple(map(str, r)) for r in df.collect())
+    cols = ", ".join(f'CAST("{c}" AS {t}) AS "{c}"' for c, t in CONTRACTS["dim_date"])
+    exp = sorted(tuple(map(str, r)) for r in duck.execute(f"SELECT {cols} FROM ({query_sql('dim_date')})").fetchall())
+    assert got == exp and len(got) == 1826
