@@ -87,16 +87,6 @@ def seconds_between(later, earlier) -> Column:
     return F.round(micros.cast("decimal(20,0)") / F.lit(1_000_000), 0).cast("int")
 
 
-def add_interval(c, months: int = 0, days: int = 0, hours: int = 0, minutes: int = 0) -> Column:
-    return col(c) + F.make_interval(F.lit(0), F.lit(months), F.lit(0), F.lit(days),
-                                    F.lit(hours), F.lit(minutes), F.lit(0))
-
-
-def add_days(c, days) -> Column:
-    """timestamp + n days (interval arithmetic, keeps the time of day)."""
-    return col(c) + F.make_dt_interval(days=F.lit(days) if isinstance(days, int) else col(days))
-
-
 def iso_weekday(c) -> Column:
     """1 = Monday ... 7 = Sunday."""
     return F.weekday(col(c)) + 1
