@@ -111,3 +111,14 @@ def test_dim_date_matches_oracle(spark, duck):
     cols = ", ".join(f'CAST("{c}" AS {t}) AS "{c}"' for c, t in CONTRACTS["dim_date"])
     exp = sorted(tuple(map(str, r)) for r in duck.execute(f"SELECT {cols} FROM ({query_sql('dim_date')})").fetchall())
     assert got == exp and len(got) == 1826
+
+
+def test_jdbc_sources_options(spark):
+    """JDBC reads are not run here (no database server); the read options are."""
+    from kestrel.sources import JdbcSources
+    src = JdbcSources(spark, "jdbc:postgresql://db:5432/app", "public", {"user": "reader"},
+                      {"PolicyTransaction": ("id", 0, 1000, 8)})
+    o = src.options("PolicyTransaction")
+    assert o["dbtable"] == '"public"."PolicyTransaction"' and o["numPartitions"] == "8"
+    assert o["partitionColumn"] == '"id"' and o["user"] == "reader"
+    assert "partitionColumn" not in src.options("Carrier")
