@@ -151,7 +151,9 @@ _lead_cols = """
        CASE c.c_custkey % 3 WHEN 0 THEN 'WARM_TRANSFER' WHEN 1 THEN 'DATA_LEAD' END AS workflowTypeAssigned,
        CAST(NULL AS STRING) AS previousAccountExecutives,"""
 
-_adapter("Lead", ("customer", "supplier"), f"""
+# Every customer with an order has a lead; customers of the AUTOMOBILE segment
+# have a second, later one (so "latest lead" has a real choice to make).
+_adapter("Lead", ("customer", "supplier", "orders"), f"""
 SELECT 2 * c.c_custkey AS id, {_lead_cols}
        CAST(c.c_custkey % 100 AS INTEGER) AS score,
        {_b3('c.c_custkey')} AS madeContact, {_b3('c.c_custkey + 1')} AS isJunk,
@@ -160,7 +162,7 @@ SELECT 2 * c.c_custkey AS id, {_lead_cols}
        {_biz_created('c.c_custkey')} + INTERVAL '1' HOUR + INTERVAL '2' DAY AS expiryTime,
        CAST(NULL AS @NTZ) AS pausedTime
 FROM {{customer}} c LEFT JOIN {{supplier}} s ON s.s_suppkey = c.c_custkey % 10
-WHERE c.c_custkey % 7 <> 0
+WHERE EXISTS (SELECT 1 FROM {{orders}} o WHERE o.o_custkey = c.c_custkey)
 UNION ALL
 SELECT 2 * c.c_custkey + 1 AS id, {_lead_cols}
        CAST((c.c_custkey + 7) % 100 AS INTEGER) AS score,
@@ -170,7 +172,7 @@ SELECT 2 * c.c_custkey + 1 AS id, {_lead_cols}
        {_biz_created('c.c_custkey')} + INTERVAL '4' DAY AS expiryTime,
        CAST(NULL AS @NTZ) AS pausedTime
 FROM {{customer}} c LEFT JOIN {{supplier}} s ON s.s_suppkey = c.c_custkey % 10
-WHERE c.c_custkey % 61 = 0""")
+WHERE c.c_mktsegment = 'AUTOMOBILE'""")
 
 _POLICY_CREATED = _oc("o_orderkey", "o_custkey", 120, 5)
 _adapter("Policy", ("orders",), f"""
@@ -326,15 +328,19 @@ SELECT e.event_id AS id,
        e.ts + {_day('e.event_id % 900')} AS updatedAt
 FROM {{events}} e WHERE e.event_type IN ('view', 'purchase')""")
 
+# A call is a group of four consecutive events (every event belongs to one);
+# the call's own attributes are those of the group's first event.
 _adapter("RingbaCallLog", ("events",), f"""
-SELECT e.event_id AS id, concat('call', {_s('e.event_id')}) AS inboundCallId,
-       CASE WHEN e.event_id % 300 = 0 THEN NULL ELSE e.event_id % 40 END AS campaignStatusId,
-       CAST(NULL AS STRING) AS ringbaCampaignId, concat('+1555', {_s('e.user_id')}) AS callerNumber,
-       {_b3('e.event_id / 4')} AS hasConnected, {_b3('e.event_id / 4 + 1')} AS hasConverted,
-       CAST(floor(e.value) AS INTEGER) AS callLengthInSeconds,
-       CASE WHEN e.event_id % 12 = 0 THEN NULL ELSE e.ts + {_day('e.event_id % 365')} END AS callDt,
-       e.ts + {_day('e.event_id % 365')} AS ingestedAt
-FROM {{events}} e WHERE e.event_id % 4 = 0""")
+SELECT g.id, concat('call', {_s('g.id')}) AS inboundCallId,
+       CASE WHEN g.id % 300 = 0 THEN NULL ELSE g.id % 40 END AS campaignStatusId,
+       CAST(NULL AS STRING) AS ringbaCampaignId, concat('+1555', {_s('g.user_id')}) AS callerNumber,
+       {_b3('g.id / 4')} AS hasConnected, {_b3('g.id / 4 + 1')} AS hasConverted,
+       CAST(floor(g.value) AS INTEGER) AS callLengthInSeconds,
+       CASE WHEN g.id % 12 = 0 THEN NULL ELSE g.ts + {_day('g.id % 365')} END AS callDt,
+       g.ts + {_day('g.id % 365')} AS ingestedAt
+FROM (SELECT min(e.event_id) AS id, min_by(e.user_id, e.event_id) AS user_id,
+             min_by(e.value, e.event_id) AS value, min_by(e.ts, e.event_id) AS ts
+      FROM {{events}} e GROUP BY e.event_id - e.event_id % 4) g""")
 
 _adapter("RingbaCallEvent", ("events", "supplier"), f"""
 SELECT e.event_id AS id, e.event_id - e.event_id % 4 AS ringbaCallLogId,
@@ -346,8 +352,7 @@ SELECT e.event_id AS id, e.event_id - e.event_id % 4 AS ringbaCallLogId,
        CASE WHEN e.event_type = 'purchase' THEN e.value END AS conversionAmount,
        CAST(NULL AS STRING) AS failReason,
        e.ts + {_day('(e.event_id - e.event_id % 4) % 365')} AS eventTimestamp
-FROM {{events}} e LEFT JOIN {{supplier}} s ON s.s_suppkey = e.user_id % 10
-WHERE e.event_id % 4 <> 3""")
+FROM {{events}} e LEFT JOIN {{supplier}} s ON s.s_suppkey = e.user_id % 10""")
 
 
 def render(name: str, dialect: str) -> str:
