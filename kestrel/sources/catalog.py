@@ -9,6 +9,8 @@ predicates, so a table partitioned by ``entityType, fieldName`` is pruned).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .adapters import ADAPTERS, render
@@ -117,13 +119,19 @@ class FixtureSources(Sources):
 
 
 def materialize_sources(sources: Sources, root: str, names=SOURCE_NAMES,
-                        records_per_file: int = 20_000) -> ParquetSources:
+                        records_per_file: int = 20_000, parallel: int = 4) -> ParquetSources:
     """Write every source table once to Parquet under ``root`` and return a
     ``ParquetSources`` over the copies (used to stage derived test sources the
     way application tables already exist in production). Files are capped at
     ``records_per_file`` rows, so scans get input splits in proportion to the
-    table's size rather than one task per small table."""
-    for name in names:
-        (sources.table(name).write.mode("errorifexists").option("maxRecordsPerFile", records_per_file)
+    table's size rather than one task per small table. The tables are
+    independent, so up to ``parallel`` are written at once as separate jobs."""
+    def write(name: str, df: DataFrame) -> None:
+        (df.write.mode("errorifexists").option("maxRecordsPerFile", records_per_file)
          .parquet(f"{root.rstrip('/')}/{name}"))
+
+    frames = {name: sources.table(name) for name in names}  # plans built on this thread
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(write, n, df) for n, df in frames.items()]:
+            f.result()
     return ParquetSources(sources.spark, root)
