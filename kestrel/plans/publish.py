@@ -46,15 +46,16 @@ def read_current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
 
 
 def _write(b: Build, df: DataFrame, root: str, name: str, run_id: str, pool: str | None = None,
-           t0: float | None = None) -> tuple[str, float]:
+           plan_secs: float = 0.0) -> tuple[str, float]:
+    """Write one model; returns its seconds (plan construction + write, not time queued)."""
     if pool:
         # FAIR scheduling (when enabled): models many others wait on get a larger share
         b.spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
-    t0 = t0 or time.time()
+    t0 = time.time()
     path = f"{root}/{name}/run={run_id}"
     df.write.mode("errorifexists").parquet(path)
     b.pin(name, b.spark.read.parquet(path))
-    return name, time.time() - t0
+    return name, plan_secs + time.time() - t0
 
 
 def publish(b: Build, root: str, models: list[str] | None = None, run_id: str | None = None,
@@ -84,7 +85,7 @@ def publish(b: Build, root: str, models: list[str] | None = None, run_id: str |
                 if n not in done and n not in running.values() and needs[n] <= done:
                     t0 = time.time()
                     df = b.ref(n)
-                    running[executor.submit(_write, b, df, root, n, run_id, pool[n], t0)] = n
+                    running[executor.submit(_write, b, df, root, n, run_id, pool[n], time.time() - t0)] = n
             finished, _ = wait(list(running), return_when=FIRST_COMPLETED)
             for f in finished:
                 name, secs = f.result()
