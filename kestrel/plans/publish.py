@@ -59,7 +59,7 @@ def _write(b: Build, df: DataFrame, root: str, name: str, run_id: str, pool: str
 
 
 def publish(b: Build, root: str, models: list[str] | None = None, run_id: str | None = None,
-            parallel: int = 4) -> dict[str, float]:
+            parallel: int = 4, database: str | None = None) -> dict[str, float]:
     """Build and publish ``models`` (default: intermediate + marts) in dependency order.
 
     A model is submitted as soon as every model it reads is published; up to
@@ -67,7 +67,9 @@ def publish(b: Build, root: str, models: list[str] | None = None, run_id: str |
     warehouse build runs several models at once). DataFrames are constructed
     on the calling thread, one at a time, in priority order (Python holds one
     lock anyway): the model most others wait on gets its plan first instead
-    of sharing the driver with every leaf model. Returns seconds per model."""
+    of sharing the driver with every leaf model. With ``database``, each model
+    is also repointed in the catalog once the run is complete
+    (``register_catalog``). Returns seconds per model."""
     run_id = run_id or time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
     wanted = set(models or published_models()) - INTERNAL
     todo = [n for n in dependency_order(sorted(wanted)) if n in wanted]
@@ -95,9 +97,23 @@ def publish(b: Build, root: str, models: list[str] | None = None, run_id: str |
     rows = [(n, f"{root}/{n}/run={run_id}") for n in todo]
     b.spark.createDataFrame(rows, "model string, path string").coalesce(1).write.mode("errorifexists") \
         .parquet(f"{root}/_manifest/run={run_id}")
+    if database:
+        register_catalog(b.spark, database, dict(rows))
     return timings
 
 
+def register_catalog(spark: SparkSession, database: str, paths: dict[str, str]) -> None:
+    """Name every model in one database, as the reference's readers see its
+    layers (``<database>.stg_*``, ``int_*``, marts): ``<database>.<model>`` is
+    a view over the model's newest version folder. Called after the run's
+    manifest is written, so a view only ever moves to a complete version; each
+    repoint is one catalog operation, and a query already running keeps
+    reading the old version's files, which are never deleted here."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, path in paths.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM parquet.`{path}`")
+
+
 def _descendants(name: str, needs: dict[str, set[str]]) -> set[str]:
     out: set[str] = set()
     frontier = [name]

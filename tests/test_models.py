@@ -101,6 +101,22 @@ def test_publish_and_read_back(spark):
     assert got.count() == E.build(spark, SF_SMALL).ref("policy_revenue_summary").count()
 
 
+def test_publish_repoints_catalog_views(spark):
+    """SNK-01..03 for catalog readers: each model is a view in one database that
+    moves to the new version only after a complete run."""
+    root = tempfile.mkdtemp(prefix="kestrel-test-catalog-")
+    names = ["int_policy_revenue", "policy_revenue_summary"]
+    publish(E.build(spark, SF_SMALL), root, names, run_id="r1", parallel=2, database="kestrel_test_reporting")
+    first = spark.table("kestrel_test_reporting.policy_revenue_summary").count()
+    assert first == read_current(spark, root, "policy_revenue_summary").count()
+    publish(E.build(spark, SF_SMALL), root, names, run_id="r2", parallel=2, database="kestrel_test_reporting")
+    views = {t.name for t in spark.catalog.listTables("kestrel_test_reporting")}
+    assert set(names) <= views
+    files = spark.table("kestrel_test_reporting.int_policy_revenue").inputFiles()
+    assert files and all("/run=r2/" in f for f in files)
+    assert spark.table("kestrel_test_reporting.policy_revenue_summary").count() == first
+
+
 def test_dim_date_matches_oracle(spark, duck):
     """The calendar spine (not registered as a query: it reads no table)."""
     from oracle.contracts import CONTRACTS
