@@ -25,6 +25,7 @@ import statistics
 import sys
 import tempfile
 import time
+import uuid
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -39,6 +40,16 @@ HEADLINE = ("wt_tracker_daily", "wt_pings_daily", "nb_sales_daily", "business_fu
             "ae_performance_monthly", "policy_revenue_summary", "ringba_calls_daily", "ringba_ae_calls_daily")
 
 
+def output_root(spark) -> str:
+    """A new folder for this run's tables: under $BENCH_OUT_DIR, else under the
+    shared folder the cluster names in ``spark.checkpoint.dir``; a local scratch
+    folder only when neither is set (a local run)."""
+    base = os.environ.get("BENCH_OUT_DIR") or spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return f"{base.rstrip('/')}/kestrel-bench-{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:6]}"
+    return tempfile.mkdtemp(prefix="kestrel-bench-")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -46,7 +57,7 @@ def main() -> None:
                           app="kestrel-bench")
     spark.read.parquet(f"{sf_dir}/orders.parquet").count()  # JVM warm-up, not timed
 
-    out_root = tempfile.mkdtemp(prefix="kestrel-bench-")
+    out_root = output_root(spark)
     t0 = time.time()
     sources = materialize_sources(FixtureSources(spark, sf_dir), f"{out_root}/sources")
     source_prep = time.time() - t0
