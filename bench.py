@@ -53,8 +53,10 @@ def output_root(spark) -> str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # summarise with tools/eventlog.py
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
-                          app="kestrel-bench")
+                          app="kestrel-bench", extra_conf=extra)
     spark.read.parquet(f"{sf_dir}/orders.parquet").count()  # JVM warm-up, not timed
 
     out_root = output_root(spark)

@@ -64,7 +64,8 @@ def fair_pool_file() -> str:
     return path
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "kestrel") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "kestrel",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench (UI off, no servers)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -77,7 +78,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in ENGINE_CONF.items():
+    for k, v in {**ENGINE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
