@@ -117,6 +117,21 @@ def test_publish_repoints_catalog_views(spark):
     assert spark.table("kestrel_test_reporting.policy_revenue_summary").count() == first
 
 
+def test_failed_run_keeps_previous_version(spark):
+    """A run whose job fails part-way writes no manifest: readers keep the last
+    complete version and nothing points at the broken run's folders."""
+    root = tempfile.mkdtemp(prefix="kestrel-test-failed-run-")
+    names = ["int_policy_revenue", "policy_revenue_summary"]
+    publish(E.build(spark, SF_SMALL), root, names, run_id="r1", parallel=2)
+    good = read_current(spark, root, "policy_revenue_summary").count()
+    policy = FixtureSources(spark, SF_SMALL).table("Policy")
+    broken = policy.withColumn("premium", F.raise_error(F.lit("input lost")).cast("double"))
+    with pytest.raises(Exception, match="input lost"):
+        publish(_with_override(spark, "Policy", broken), root, names, run_id="r2", parallel=2)
+    assert read_current(spark, root, "policy_revenue_summary").count() == good
+    assert spark.read.parquet(f"{root}/_manifest").where("run = 'r2'").count() == 0
+
+
 def test_dim_date_matches_oracle(spark, duck):
     """The calendar spine (not registered as a query: it reads no table)."""
     from oracle.contracts import CONTRACTS
