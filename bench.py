@@ -54,6 +54,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # summarise with tools/eventlog.py
+    if log_dir and "://" not in log_dir:
+        os.makedirs(log_dir, exist_ok=True)  # Spark needs the folder to exist
     extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
                           app="kestrel-bench", extra_conf=extra)
