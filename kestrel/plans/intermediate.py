@@ -89,13 +89,21 @@ def int_business_warm_transfer(b: Build):
     )
 
 
+def _policy_context(b: Build):
+    """One row per policy of a real carrier and an existing business, with its
+    carrier group and the business's creation date. The policy rollup
+    aggregates it; the ledger joins it once on policy_id, so at scale the
+    ledger is shuffled once (by policy) rather than once per dimension."""
+    pol = b.ref("stg_policy").select("policy_id", "business_id", "carrier_id", "created_at", "created_date",
+                                     "premium", "is_active", "is_new_business")
+    return (pol.join(_carriers(b), "carrier_id").where(~c("is_test_carrier"))
+               .join(_business_dates(b), "business_id"))
+
+
 @model("int_business_policy_rollup", "intermediate", deps=("stg_policy", "stg_carrier", "stg_business"))
 def int_business_policy_rollup(b: Build):
     """INT-01c: policy counts, premium and first-bind times (all / NB / Chubb / GAIG)."""
-    pol = b.ref("stg_policy").select("business_id", "carrier_id", "created_at", "created_date", "premium",
-                                     "is_active", "is_new_business")
-    p = (pol.join(_carriers(b), "carrier_id").where(~c("is_test_carrier"))
-            .join(_business_dates(b), "business_id"))
+    p = _policy_context(b)
     nb = c("is_new_business")
     d30 = days_between("created_date", "business_created_date") <= 30
     chubb, gaig = c("carrier_group") == "Chubb", c("carrier_group") == "GAIG"
@@ -143,9 +151,9 @@ def int_business_revenue_rollup(b: Build):
     t = b.ref("stg_policy_transaction").where(~c("is_partial_installment")).select(
         "policy_id", "created_at", "created_date", "signed_amount", "is_gross_revenue", "is_core_revenue",
         "is_cancellation")
-    pol = b.ref("stg_policy").select("policy_id", "business_id", "carrier_id", "is_new_business")
-    r = (t.join(pol, "policy_id").join(_carriers(b), "carrier_id").where(~c("is_test_carrier"))
-          .join(_business_dates(b), "business_id"))
+    ctx = _policy_context(b).select("policy_id", "business_id", "is_new_business", "carrier_group",
+                                    "business_created_date")
+    r = t.join(ctx, "policy_id")
     nb, gross, core, canc = c("is_new_business"), c("is_gross_revenue"), c("is_core_revenue"), c("is_cancellation")
     days = days_between("created_date", "business_created_date")
     chubb, gaig = c("carrier_group") == "Chubb", c("carrier_group") == "GAIG"
