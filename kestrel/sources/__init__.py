@@ -1,5 +1,6 @@
 """Source tables (SRC-01..SRC-21)."""
 
 from .catalog import (  # noqa: F401
-    SOURCE_NAMES, CatalogSources, DataFrameSources, FixtureSources, JdbcSources, ParquetSources, Sources, materialize_sources,
+    PRODUCTION_LAYOUT, SOURCE_NAMES, CatalogSources, DataFrameSources, FixtureSources, JdbcSources, ParquetSources,
+    Sources, materialize_sources,
 )

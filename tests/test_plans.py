@@ -7,7 +7,7 @@ import pytest
 
 from kestrel.plans import MODELS, Build
 from kestrel.settings import fixture_settings
-from kestrel.sources import FixtureSources, materialize_sources
+from kestrel.sources import SOURCE_NAMES, DataFrameSources, FixtureSources, materialize_sources
 from tests.conftest import SF_SMALL
 
 
@@ -31,6 +31,25 @@ def test_changelog_predicates_reach_the_scan(pq_build):
     assert "EqualTo(entityType,POLICY)" in p and "EqualTo(fieldName,status)" in p
 
 
+def test_partitioned_changelog_is_pruned_with_same_rows(spark, pq_build):
+    """With the audit log partitioned by entityType / fieldName (the production
+    layout), the status models read only their partition and return the same rows."""
+    from kestrel.sources import PRODUCTION_LAYOUT
+    root = tempfile.mkdtemp(prefix="kestrel-test-layout-")
+    src = materialize_sources(FixtureSources(spark, SF_SMALL), root, names=("ChangeLog",),
+                              partition_by=PRODUCTION_LAYOUT)
+    flat = pq_build()
+    tables = {n: flat.source(n) for n in SOURCE_NAMES}
+    tables["ChangeLog"] = src.table("ChangeLog")
+    laid_out = Build(spark, DataFrameSources(spark, tables), fixture_settings())
+    for name in ("stg_policy_status_change", "stg_business_close_status_change"):
+        p = plan(laid_out.ref(name))
+        scan = [ln for ln in p.splitlines() if "PartitionFilters" in ln]
+        assert scan and "entityType" in scan[0] and "fieldName" in scan[0], p
+        got = laid_out.ref(name).exceptAll(flat.ref(name)).count() + flat.ref(name).exceptAll(laid_out.ref(name)).count()
+        assert got == 0
+
+
 def test_scans_read_only_needed_columns(pq_build):
     p = plan(pq_build().ref("policy_revenue_summary"))
     policy_scans = [ln for ln in p.splitlines() if "ReadSchema" in ln and "saleType" in ln]
