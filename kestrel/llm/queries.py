@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe_codec, near_dedup, token_counts, toxicity
+from kestrel.llm import bpe_codec, near_dedup, suffix_dedup, token_counts, toxicity
 from kestrel.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -31,7 +35,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op3_near_duplicates, op8_bpe_codec, op9_toxicity)
+    f.__name__: f for f in (op1_token_counts, op3_near_duplicates, op5_suffix_dedup, op8_bpe_codec, op9_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {}

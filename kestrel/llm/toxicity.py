@@ -74,10 +74,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, penalty: float = 3e-4, rounds: int = 120,
+def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = 0.05, rounds: int = 500,
         least_docs: int = 4) -> OrdinalModel:
     """Cumulative-link fit by proximal AdaGrad over all rows (feature ids per row).
-    With fewer than two different grades there is nothing to learn: no thresholds,
+
+    The L1 penalty is strength / sqrt(rows), as the noise of a feature's mean slope
+    shrinks. Only features whose slope at weight 0 exceeds it enter the fit. With fewer than two different grades there is nothing to learn: no thresholds,
     severity 0 everywhere."""
     seen = sorted(set(grades.tolist()))
     if len(seen) < 2:
@@ -85,13 +87,16 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, penalty: float = 3e-4, round
     n = np.array([len(r) for r in rows])
     flat = np.concatenate(rows).astype(np.int64) if n.sum() else np.empty(0, np.int64)
     row_of = np.repeat(np.arange(len(rows)), n)
+    penalty = strength / np.sqrt(len(rows))
+    step_of = np.searchsorted(seen, grades)  # grade's place among those seen
+    excess = step_of - step_of.mean()
     held = np.bincount(flat, minlength=1 << BITS) >= least_docs
+    held &= np.bincount(flat, weights=excess[row_of], minlength=1 << BITS) / len(rows) > penalty
     used = np.flatnonzero(held)
     place = np.zeros(1 << BITS, dtype=np.int64)
     place[used] = np.arange(len(used))
     keep = held[flat]
     col, row = place[flat[keep]], row_of[keep]
-    step_of = np.searchsorted(seen, grades)  # grade's place among those seen
     cuts = len(seen) - 1
     above = step_of[:, None] > np.arange(cuts)[None, :]
     w, w_sum = np.zeros(len(used)), np.full(len(used), 1e-8)
