@@ -7,12 +7,13 @@ K_i = clip(floor(1 - log_b(min)), 0, q + 1). Registers of a union are the maxima
 the registers, and equal registers are as likely as two sets are alike.
 
 1. Documents with the same set are one class; only classes are compared.
-2. Bands of register values are bucketed. A bucket links classes through pivots:
-   first its smallest member, then some members, at last all; in each round only
-   pairs that are not yet in one component, so a group of copies costs its size,
-   not the square. Every pair that shares a bucket is either linked through others
-   or tested: none is given up.
-3. A pair's similarity is estimated jointly by likelihood from the counts of
+2. Bands of register values are bucketed. At first a bucket links each member with
+   its smallest one, the pivot, so a group of copies costs its size, not the square.
+   Buckets whose other members then still lie in different components are compared in
+   full: tiles of bounded weight compute all intersections of two blocks at once and
+   give out only links that join components. Every pair that shares a bucket is either
+   linked through others or tested; none is given up.
+3. A pivot pair's similarity is estimated jointly by likelihood from the counts of
    greater, smaller and equal registers and both set sizes; pairs far below the
    threshold (over five standard errors) are put aside.
 4. The rest is confirmed on the full sets: 100 * intersection >= 75 * union.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import common
@@ -150,7 +151,7 @@ def _confirmed(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
-                    some_pivots: int = 16) -> DataFrame:
+                    tile: int = 200_000) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, one row for each row of ``df``.
 
     Null and empty texts and texts without words have an empty set and are linked
@@ -181,45 +182,25 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return _confirmed(likely.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("set_a")), "a")
                           .join(sets.select(F.col("rep").alias("b"), F.col("members").alias("set_b")), "b"), percent)
 
-    def alike(x: Column, y: Column) -> Column:
-        """Whether sets of these sizes can reach the threshold at all."""
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
     # Round 1: every bucket's smallest member is its pivot.
     links = cut(confirm(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))))
     labels = connected_components(links)
 
-    # Buckets in which members that are no pivot still lie in different components.
+    # Round 2: buckets in which members that are no pivot still lie in different components.
     def labelled(rows: DataFrame) -> DataFrame:
         return rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
             .withColumn("component", F.coalesce("component", "rep"))
 
-    rest = labelled(members.where("size > 2").select("key", "rep", "n", "pivot"))
-    undone = rest.where("rep <> pivot").groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")) \
-        .where("lo <> hi").select("key", "size")
-    undone = cut(rest.select("key", "rep", "n").join(undone, "key"))
-
-    # A set's shingles that no other undone set has cannot be in an intersection.
-    shared = _shared_sizes(sets, undone.select("rep").distinct())
-    undone = cut(undone.join(shared, "rep"))
-    for pivots in (some_pivots, None):
-        now = labelled(undone)
-        if pivots is None:
-            chosen = now
-        else:
-            every = F.ceil(F.col("size") / pivots)
-            chosen = now.where(F.pmod(F.xxhash64("rep"), every) == 0)
-        chosen = chosen.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"),
-                               F.col("shared").alias("shared_a"), F.col("component").alias("component_a"))
-        most = F.least("shared", "shared_a")  # of the intersection
-        pairs = now.join(chosen, "key").where(
-            (F.col("component") != F.col("component_a")) & alike(F.col("n"), F.col("n_a"))
-            & (100 * most >= percent * (F.col("n") + F.col("n_a") - most)))
-        more = cut(confirm(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))))
-        if not more.isEmpty():
-            links = cut(links.union(more))
-            labels = connected_components(links)
+    rest = labelled(members.where("size > 2 AND rep <> pivot").select("key", "rep"))
+    undone = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.min("rep").alias("first")).where("lo <> hi").select("key", "first")
+    undone = cut(rest.join(undone, "key").select("rep", "first", "component").distinct())
+    groups = connected_components(undone.select(F.col("rep").alias("a"), F.col("first").alias("b")))
+    more = cut(_tiled(undone.select("rep", "component").distinct()
+                      .join(groups.select(F.col("id").alias("rep"), F.col("component").alias("group")), "rep")
+                      .join(sets, "rep"), percent, tile))
+    if not more.isEmpty():
+        labels = connected_components(links.union(more))
 
     firsts = classes.select("s1", "s2", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("s1", "s2", "n", F.coalesce("component", "rep").alias("class_component"))
@@ -229,21 +210,92 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _shared_sizes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """rep, shared: how many of its shingles some other of the nodes has, too."""
+def _tiled(rows: DataFrame, percent: int, tile: int) -> DataFrame:
+    """Links (a, b) that join different components of one group; rows: rep,
+    component, group, members.
+
+    A group is cut into blocks of bounded weight, every two blocks meet in a task of
+    their own (a tile), and a tile gives out only links that join components it has
+    not joined yet: never more than it has members."""
+    weight = F.greatest(F.length("members") / 8, F.lit(100))
+    total = rows.groupBy("group").agg(F.ceil(F.sum(weight) / tile).cast("int").alias("blocks"))
+    placed = rows.join(total, "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "rep", "component", "members")
+    keys = ["group", "lo", "hi"]
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        now = None
         for batch in batches:
-            for rep, raw in zip(batch.column("rep").to_pylist(), batch.column("members"), strict=True):
-                prints = np.frombuffer(raw.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(prints), rep)), pa.array(prints)],
-                                                 names=["rep", "print"])
-
-    each = common.map_arrow(sets.join(nodes, "rep", "left_semi").select("rep", "members"), spread,
-                            "rep bigint, print bigint")
-    twice = each.groupBy("print").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("print")
-    found = each.join(twice, "print", "left_semi").groupBy("rep").agg(F.countDistinct("print").alias("shared"))
-    return nodes.join(found, "rep", "left").select("rep", F.coalesce("shared", F.lit(0)).alias("shared"))
+            tiles = zip(*(batch.column(k).to_pylist() for k in keys), strict=True)
+            for at, rep, component, raw in zip(tiles, batch.column("rep").to_pylist(),
+                                               batch.column("component").to_pylist(), batch.column("members"), strict=True):
+                if at != now and held:
+                    yield _joining_links(held, percent)
+                    held = []
+                now = at
+                held.append((rep, component, np.frombuffer(raw.as_py(), np.uint64)))
+        if held:
+            yield _joining_links(held, percent)
+
+    return common.map_arrow(met.repartition(common.shuffle_partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys),
+                            run, "a bigint, b bigint")
+
+
+def _intersections(sets: list[np.ndarray], often: int = 32, columns: int = 2048) -> np.ndarray:
+    """Sizes of all intersections of some sets. Members that many sets have are
+    counted by products of membership matrices, the others pair by pair."""
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    value, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    out = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    many = np.flatnonzero(count >= often)
+    number = np.full(len(value), -1)
+    number[many] = np.arange(len(many))
+    at = number[place]
+    for lo in range(0, len(many), columns):
+        inside = (at >= lo) & (at < lo + columns)
+        has = np.zeros((len(sets), min(columns, len(many) - lo)), dtype=np.float32)
+        has[owner[inside], at[inside] - lo] = 1
+        out += has @ has.T
+    few = np.flatnonzero((count[place] > 1) & (at < 0))
+    few = few[np.argsort(place[few], kind="stable")]
+    who, what = owner[few], place[few]
+    for step in range(1, often):
+        if len(who) <= step:
+            break
+        same = what[step:] == what[:-step]
+        x, y = who[:-step][same], who[step:][same]
+        np.add.at(out, (x, y), 1)
+        np.add.at(out, (y, x), 1)
+    return out
+
+
+def _joining_links(rows: list[tuple], percent: int) -> pa.RecordBatch:
+    rows = sorted({r[0]: r for r in rows}.values(), key=lambda r: r[0])
+    size = np.array([len(r[2]) for r in rows])
+    component = np.array([r[1] for r in rows])
+    both = _intersections([r[2] for r in rows])
+    near = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    near &= component[:, None] != component[None, :]
+    parent = {c: c for c in component.tolist()}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    a, b = [], []
+    for i, j in zip(*np.nonzero(np.triu(near)), strict=True):
+        x, y = root(int(component[i])), root(int(component[j]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            a.append(rows[i][0])
+            b.append(rows[j][0])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
