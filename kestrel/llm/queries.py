@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe_codec, near_dedup, suffix_dedup, token_counts, toxicity
+from kestrel.llm import bpe_codec, decontamination, near_dedup, suffix_dedup, token_counts, toxicity
 from kestrel.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op3_near_duplicates, op5_suffix_dedup, op8_bpe_codec, op9_toxicity)
+    f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_near_duplicates, op5_suffix_dedup, op8_bpe_codec, op9_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {}

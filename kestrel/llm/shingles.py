@@ -18,6 +18,8 @@ for _b in range(ord("A"), ord("Z") + 1):
     _BYTE[_b] = _BYTE[_b + 32]
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+# For texts compared whatever their punctuation: all ASCII but letters and digits.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = U(0x9E3779B97F4A7C15)
 _PLACE = _RNG.integers(1, 1 << 63, 8, dtype=np.uint64) | U(1)
 
@@ -29,12 +31,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, ends: np.ndarray, separator: np.ndarray = _SEPARATOR
+                ) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprint of each word of the texts that lie one after the other in
     ``data`` and end at ``ends``; and the number of words of each text."""
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(ends), np.int64)
-    inside = ~_SEPARATOR[data]
+    inside = ~separator[data]
     border = np.zeros(len(data) + 1, dtype=bool)
     border[ends] = True
     start = inside.copy()
@@ -52,17 +55,22 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(sums + size.astype(np.uint64) * _PLACE[7]), np.diff(np.searchsorted(first, np.concatenate([[0], ends])))
 
 
+def shingle_sums(words: np.ndarray, count: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each shingle in order: its fingerprint before mixing, its first word, its text."""
+    text = np.repeat(np.arange(len(count)), count)
+    upto = np.repeat(np.cumsum(count), count)
+    first = np.flatnonzero(np.arange(len(words)) + width <= upto)
+    sums = np.zeros(len(first), dtype=np.uint64)
+    for k in range(width):
+        sums += words[first + k] * _PLACE[k]
+    return sums, first, text[first]
+
+
 def shingle_sets(data: np.ndarray, ends: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle fingerprints of each text, one text after the other,
     and the size of each text's set."""
     words, count = word_hashes(data, ends)
-    text = np.repeat(np.arange(len(ends)), count)
-    upto = np.repeat(np.cumsum(count), count)
-    first = np.flatnonzero(np.arange(len(words)) + width <= upto)
-    prints = np.zeros(len(first), dtype=np.uint64)
-    for k in range(width):
-        prints += words[first + k] * _PLACE[k]
-    owner = text[first]
+    prints, _, owner = shingle_sums(words, count, width)
     short = np.flatnonzero((count > 0) & (count < width))
     if len(short):
         base = (np.cumsum(count) - count)[short]
