@@ -43,6 +43,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.llm import common, loser_tree
 from kestrel.llm.common import cut
@@ -638,6 +639,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = df.toDF(*inner)
     gone, parts, partitions = _gone_batches(common.narrow(docs, "doc_id", "text"), length)
     texts = common.map_arrow(docs, _text_task(parts), BLOB)
-    schema = docs.schema.add("removed", "array<struct<start:bigint,stop:bigint>>")
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField("removed", T.ArrayType(span))])
     out = _meet(gone.union(texts), partitions).mapInArrow(_cut_task("rows"), schema)
     return out.toDF(*df.columns, "removed" if "removed" not in df.columns else "removed_ranges")
