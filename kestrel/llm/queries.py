@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe_codec, decontamination, near_dedup, suffix_dedup, token_counts, toxicity
+from kestrel.llm import ann, bpe_codec, decontamination, near_dedup, suffix_dedup, token_counts, toxicity
 from kestrel.llm.common import table
 
 
@@ -38,8 +38,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_near_duplicates, op5_suffix_dedup, op8_bpe_codec, op9_toxicity)
+    f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_near_duplicates, op5_suffix_dedup, op8_bpe_codec, op9_toxicity, op10_nearest_neighbours)
 }
 
 ORACLE_SQL: dict[str, str] = {}
