@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import ann, bpe_codec, decontamination, near_dedup, suffix_dedup, token_counts, toxicity
+from kestrel.llm import ann, bpe_codec, decontamination, near_dedup, suffix_dedup, token_counts, toxicity, url_filter
 from kestrel.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.PAGE_RULES).drop("score")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digest(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_near_duplicates, op5_suffix_dedup, op8_bpe_codec, op9_toxicity, op10_nearest_neighbours)
+    f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_near_duplicates, op4_url_filter, op5_suffix_dedup, op8_bpe_codec, op9_toxicity, op10_nearest_neighbours)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_url_filter": url_filter.ORACLE_SQL}
