@@ -140,17 +140,29 @@ def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _by_key(key: np.ndarray, parts: int) -> np.ndarray:
-    """Range of a hash that is sorted by."""
-    return ((key >> U(32)) * U(parts) >> U(32)).astype(np.int32)
+def _by_key(key: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Part of a hash that is sorted by: one range of its values for each part."""
+    return parts[((key >> U(32)) * U(len(parts)) >> U(32)).astype(np.int64)]
 
 
-def _by_doc(doc: np.ndarray, parts: int) -> np.ndarray:
+def _by_doc(doc: np.ndarray, parts: np.ndarray) -> np.ndarray:
     """Part of a document; mixed, as ids are not."""
     x = doc.view(np.uint64) * _ODD[28]
     return _by_key(_fold(x) * _ODD[29], parts)
 
 
+def _parts(docs: DataFrame, partitions: int, part_bytes: int = 1 << 20) -> np.ndarray:
+    """Labels of the parts that batches are dealt to: one for each MB of text, at most
+    one for each shuffle partition. A label is a number that repartition() sends to a
+    partition of its own, so that parts fall evenly on tasks; the numbers tried are
+    a few for each partition."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    wanted = max(1, min(partitions, -(-size // part_bytes)))
+    tried = docs.sparkSession.range(32 * partitions).select(F.col("id").cast("int").alias("part"))
+    label = tried.groupBy(F.pmod(F.hash("part"), F.lit(partitions)).alias("at")).agg(F.min("part").alias("part"))
+    return np.array(sorted(r["part"] for r in label.collect())[:wanted], dtype=np.int32)
+
+
 def _rows(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     part, kind, blob = zip(*found, strict=True) if found else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()),
@@ -172,7 +184,7 @@ def _split(kind: int, part: np.ndarray, columns: list[np.ndarray]) -> Iterator[t
 _GONE = ("i8", "u4", "i8", "i8")  # doc, tag, start, length
 
 
-def _gone(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, size: np.ndarray, parts: int
+def _gone(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, size: np.ndarray, parts: np.ndarray
           ) -> Iterator[tuple[int, int, bytes]]:
     """Byte ranges to remove, united where they touch, dealt by document."""
     if not len(doc):
@@ -247,7 +259,7 @@ def _settle(rec: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.nda
     return rec, first, forms
 
 
-def _block_task(length: int, parts: int, most: int = 1 << 20):
+def _block_task(length: int, parts: np.ndarray, most: int = 1 << 20):
     def flush(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         rec, first, _ = _settle([np.concatenate(c) for c in zip(*held, strict=True)])
         found = list(_split(BLOCKS, _by_key(rec[0][first], parts), [c[first] for c in rec]))
@@ -282,7 +294,7 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, byte
 _WANTED = ("i8", "u4", "i8", "u1", "u1", "u1", "u8")  # doc, tag, start, strings, anchor, hot, piece
 
 
-def _settle_task(length: int, parts: int):
+def _settle_task(length: int, parts: np.ndarray):
     """Blocks that are repeats as a whole; blocks whose bytes are wanted."""
 
     def done(held: list[bytes]) -> list[tuple[int, int, bytes]]:
@@ -315,7 +327,7 @@ def _settle_task(length: int, parts: int):
     return run
 
 
-def _text_task(parts: int, most: int = 24 << 20):
+def _text_task(parts: np.ndarray, most: int = 24 << 20):
     """Whole rows, as compressed Arrow batches dealt by document."""
     def flush(rows: pa.Table) -> pa.RecordBatch:
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
@@ -399,7 +411,7 @@ def _decoded(blob: bytes) -> tuple[list[bytes], list[int], list[bytes], list[np.
     return keys, shared.tolist(), lefts, cols
 
 
-def _run_task(length: int, parts: int, most: int = 150_000):
+def _run_task(length: int, parts: np.ndarray, most: int = 150_000):
     """Cut wanted suffixes out of the texts and send them as sorted runs."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
@@ -468,7 +480,7 @@ def _run_task(length: int, parts: int, most: int = 150_000):
     return run
 
 
-def _merge_task(length: int, parts: int):
+def _merge_task(length: int, parts: np.ndarray):
     """Merge the runs of a range and find the strings that occur earlier."""
 
     def resolve(group: list[tuple], out: list[tuple[int, int, int, int]]) -> None:
@@ -602,11 +614,11 @@ def _meet(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions, "part").sortWithinPartitions("part", "kind")
 
 
-def _gone_batches(docs: DataFrame, length: int) -> tuple[DataFrame, int, int]:
-    """GONE batches of all documents (doc_id, text); the number of parts and partitions."""
+def _gone_batches(docs: DataFrame, length: int) -> tuple[DataFrame, np.ndarray, int]:
+    """GONE batches of all documents (doc_id, text); the parts and the number of partitions."""
     spark = docs.sparkSession
     partitions = common.shuffle_partitions(spark)
-    parts = 4 * partitions
+    parts = _parts(docs, partitions)
     first = common.map_arrow(docs, _block_task(length, parts), BLOB)
     settled = cut(common.map_arrow(_meet(first, partitions), _settle_task(length, parts), BLOB))
     texts = common.map_arrow(docs, _text_task(parts), BLOB)
