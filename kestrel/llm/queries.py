@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import ann, bpe_codec, decontamination, license_scan, near_dedup, suffix_dedup, token_counts, toxicity, url_filter
+from kestrel.llm import ann, bpe_codec, decontamination, license_scan, near_dedup, suffix_dedup, token_counts, toxicity, url_filter, warc_audit
 from kestrel.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_audit.page_audit(table(spark, sf_dir, "pages"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_near_duplicates, op4_url_filter, op5_suffix_dedup, op7_license_scan, op8_bpe_codec, op9_toxicity, op10_nearest_neighbours)
+    f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_near_duplicates, op4_url_filter, op5_suffix_dedup, op6_warc_audit, op7_license_scan, op8_bpe_codec, op9_toxicity, op10_nearest_neighbours)
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_url_filter": url_filter.ORACLE_SQL, "op7_license_scan": license_scan.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op4_url_filter": url_filter.ORACLE_SQL, "op6_warc_audit": warc_audit.ORACLE_SQL, "op7_license_scan": license_scan.oracle_sql()}
