@@ -9,23 +9,31 @@ from kestrel.llm.common import cut
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component) for every end of the edges (a, b); the component is the
-    smallest id reachable.
+    """(id, component) for every end of the edges (a, b) that lead to another node; the
+    component is the smallest id reachable.
 
-    Each round takes the smallest label among the neighbours, then the label's own
-    label, so that long chains shorten by halves. Minima are combined before the
-    shuffle; each round's labels are cut off from their lineage."""
-    both = cut(edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-               .union(edges.select("b", "a")).where("src <> dst").distinct())
-    labels = cut(both.groupBy(F.col("src").alias("id")).agg(F.least("id", F.min("dst")).alias("component")))
-    while True:
-        near = both.join(labels.withColumnRenamed("id", "dst"), "dst").groupBy(F.col("src").alias("id")) \
-            .agg(F.min("component").alias("near"))
-        step = labels.join(near, "id", "left").select(
-            "id", F.col("component").alias("before"), F.least("component", "near").alias("now"))
-        jump = step.select(F.col("id").alias("now"), F.col("now").alias("further"))
-        step = cut(step.join(jump, "now", "left").select(
-            "id", "before", F.least("now", "further").alias("component")))
-        labels = step.select("id", "component")
-        if step.where("before <> component").isEmpty():
-            return labels
+    Each round points every node at its smallest neighbour, follows the pointers to
+    their ends by halving the way, and contracts the edges: those inside a contracted
+    node are gone, so rounds get smaller fast. Minima are combined before the shuffle,
+    and each round is cut off from its lineage."""
+    edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    labels = None
+    while labels is None or not edges.isEmpty():
+        # Every node is the larger end of some edge, or the smallest of its neighbourhood.
+        roots = cut(edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("up")))
+        while True:
+            step = cut(roots.join(roots.select(F.col("id").alias("up"), F.col("up").alias("further")), "up", "left")
+                       .select("id", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved")))
+            roots = step.select("id", "up")
+            if step.where("moved").isEmpty():
+                break
+        if labels is None:
+            every = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
+            labels = every.select("id", F.col("id").alias("component"))
+        to = roots.select(F.col("id").alias("component"), "up")
+        labels = cut(labels.join(to, "component", "left").select("id", F.coalesce("up", "component").alias("component")))
+        left, right = (roots.select(F.col("id").alias(c), F.col("up").alias(f"up_{c}")) for c in ("a", "b"))
+        moved = edges.join(right, "b").join(left, "a", "left") \
+            .select(F.coalesce("up_a", "a").alias("x"), F.col("up_b").alias("y"))
+        edges = cut(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    return labels

@@ -249,6 +249,10 @@ def _settle(rec: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.nda
     piece, block, doc, tag, start = rec[:5]
     order = np.lexsort((start, tag, doc, block, piece))
     rec = [c[order] for c in rec]
+    if len(order):  # a document listed more than once has each place once
+        other = np.ones(len(order), dtype=bool)
+        other[1:] = np.any([c[1:] != c[:-1] for c in rec[:5]], axis=0)
+        rec = [c[other] for c in rec]
     piece, block = rec[0], rec[1]
     new = np.ones(len(piece), dtype=bool)
     new[1:] = piece[1:] != piece[:-1]
