@@ -50,7 +50,7 @@ from kestrel.llm.common import cut
 
 GRAM = 32
 HOT = 256  # different blocks of one anchor piece from which on its strings are sent one by one
-SLICE = 8 << 20  # a longer text is worked on in overlapping slices
+SLICE = 2 << 20  # a longer text is worked on in overlapping slices
 NO_ID = np.int64((1 << 63) - 1)  # a null id counts as the largest
 
 U = np.uint64
@@ -263,7 +263,7 @@ def _settle(rec: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.nda
     return rec, first, forms
 
 
-def _block_task(length: int, parts: np.ndarray, most: int = 1 << 20):
+def _block_task(length: int, parts: np.ndarray, most: int = 1 << 19):
     def flush(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         rec, first, _ = _settle([np.concatenate(c) for c in zip(*held, strict=True)])
         found = list(_split(BLOCKS, _by_key(rec[0][first], parts), [c[first] for c in rec]))
@@ -331,7 +331,7 @@ def _settle_task(length: int, parts: np.ndarray):
     return run
 
 
-def _text_task(parts: np.ndarray, most: int = 24 << 20):
+def _text_task(parts: np.ndarray, most: int = 16 << 20):
     """Whole rows, as compressed Arrow batches dealt by document."""
     def flush(rows: pa.Table) -> pa.RecordBatch:
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))

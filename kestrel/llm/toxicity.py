@@ -11,7 +11,7 @@ toxicity. Weights are not negative, so no amount of clean text around it makes u
 for a toxic passage; an L1 penalty sets those of pieces that tell nothing to 0.
 
 The model is fitted on a bounded sample of labelled rows (``per_class`` for each
-class, the rows of smallest hash); scoring covers every row and whole texts.
+class, the rows of smallest hash, within ``sample_bytes`` of text); scoring covers every row and whole texts.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import common
+from kestrel.llm.common import cut
 
 _WORD = re.compile(r"[^\W_]+")
 BITS = 20
@@ -162,12 +163,14 @@ def _scorer(model: OrdinalModel):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          per_class: int = 4000) -> OrdinalModel:
-    """Fit on at most ``per_class`` clean and ``per_class`` toxic labelled rows.
+          per_class: int = 4000, sample_bytes: int = 48 << 20) -> OrdinalModel:
+    """Fit on at most ``per_class`` clean and ``per_class`` toxic labelled documents, of
+    each class as many as hold half of ``sample_bytes`` of text, but at least one.
 
     Rows whose toxic label or id is null are left out; an id labelled more than once
     takes its worst labels; a null quality counts as good. The sample's ids (at most
-    2 x per_class) are broadcast, its features come to the driver."""
+    2 x per_class) are broadcast, its features (some three times its text) come to the
+    driver."""
     graded = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.min(F.coalesce("quality", F.lit(1))).alias("quality")).select(
         F.col("doc_id").alias("label_id"),
@@ -175,9 +178,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = F.xxhash64("label_id")
     parts = [graded.where(c).orderBy(order, "label_id").limit(per_class)
              for c in (F.col("grade") > 0, F.col("grade") == 0)]
-    sample = F.broadcast(parts[0].unionByName(parts[1]))
-    rows = common.narrow(docs, id_col, text_col).join(sample, F.col("doc_id") == F.col("label_id")) \
-        .select("doc_id", "grade", "text")
+    asked = cut(parts[0].unionByName(parts[1]))
+    texts = common.narrow(docs, id_col, text_col)
+    sizes = texts.join(F.broadcast(asked), F.col("doc_id") == F.col("label_id")) \
+        .groupBy("label_id", "grade").agg(F.sum(F.octet_length("text")).alias("size")) \
+        .orderBy(F.xxhash64("label_id"), "label_id").collect()
+    total, chosen = {True: 0, False: 0}, []
+    for r in sizes:
+        toxic = r["grade"] > 0
+        if total[toxic] + (r["size"] or 0) <= sample_bytes // 2 or toxic not in {g > 0 for _, g in chosen}:
+            chosen.append((r["label_id"], r["grade"]))
+        total[toxic] += r["size"] or 0
+    if not chosen:
+        return OrdinalModel()
+    sample = docs.sparkSession.createDataFrame(chosen, "label_id bigint, grade int")
+    rows = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("doc_id", "grade", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
