@@ -17,6 +17,9 @@ MONEY = "decimal(18,4)"
 RATE = "decimal(18,6)"
 # Wide enough that ratios of money sums keep 10 decimals before rounding.
 WIDE = "decimal(28,4)"
+# Products of money and rates, and their sums, with all the digits they carry.
+DIGITS = "decimal(30,8)"
+PRODUCT = "decimal(24,8)"
 
 
 def col(c: str | Column) -> Column:
@@ -37,15 +40,15 @@ def rate(c) -> Column:
 def pct(num, den, scale: int = 2) -> Column:
     """round(num / den * 100, scale), NULL unless den > 0 (HALF_UP, exact)."""
     n, d = col(num), col(den)
-    ratio = (n.cast(WIDE) * F.lit(100)) / d.cast(WIDE)
+    ratio = (n.cast(DIGITS) * F.lit(100)) / d.cast(WIDE)
     return F.when(F.coalesce(d, F.lit(0)) > 0, F.round(ratio, scale))
 
 
 def exact_avg(c, scale: int = 6) -> Column:
-    """avg rounded HALF_UP to ``scale`` decimals, computed as decimal sum / count
+    """avg of a decimal rounded HALF_UP to ``scale`` decimals, computed as decimal sum / count
     (Spark's avg(decimal) rounds to 4 extra digits first, which can double-round)."""
     x = col(c)
-    return F.round(F.sum(x.cast(WIDE)) / F.count(x).cast("decimal(20,0)"), scale)
+    return F.round(F.sum(x) / F.count(x).cast("decimal(20,0)"), scale)
 
 
 # --- time ------------------------------------------------------------------

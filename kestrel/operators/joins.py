@@ -4,50 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to hold at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
-# NULL join keys are spread over this many hash buckets instead of one partition.
-NULL_SPREAD = 64
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the side holds at most ``max_rows``
-    rows (the check reads at most ``max_rows + 1`` rows). A larger side gets no
-    hint and the planner falls back to a shuffle join (AQE may still convert it
-    at run time from measured sizes)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _cond(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    cond = None
-    for lk, rk in pairs:
-        term = left[lk] == right[rk]
-        cond = term if cond is None else cond & term
-    return cond
-
-
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                           spread_by: Sequence[str], buckets: int = NULL_SPREAD) -> DataFrame:
+                           spread_by: Sequence[str]) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key`` for a left key that is
     often NULL (half the pings have no business).
 
     A NULL key never matches, but a plain shuffle join still sends every
     NULL-key row to the same partition. Joining on (key, salt) with
-    salt = hash(spread_by) % buckets for NULL keys and 0 otherwise spreads those
-    rows evenly while matching exactly the same pairs; no row is dropped."""
-    salt = F.when(left[left_key].isNull(), F.pmod(F.xxhash64(*[left[c] for c in spread_by]), F.lit(buckets))) \
-        .otherwise(F.lit(0))
+    salt = hash(spread_by) for NULL keys and 0 otherwise spreads those rows over
+    all partitions while matching exactly the same pairs; no row is dropped. The
+    right side's salt is always 0 too, but written as a remainder of its key's
+    hash, which the optimizer does not fold into a constant (a literal would
+    leave the join, and the shuffle, on the key alone)."""
+    salt = F.when(left[left_key].isNull(), F.xxhash64(*[left[c] for c in spread_by])).otherwise(F.lit(0).cast("bigint"))
     l2 = left.withColumn("__salt_l", salt)
-    r2 = right.withColumn("__salt_r", F.lit(0).cast("bigint"))
+    r2 = right.withColumn("__salt_r", F.pmod(F.xxhash64(right[right_key]), F.lit(1).cast("bigint")))
     out = l2.join(r2, (l2[left_key] == r2[right_key]) & (l2["__salt_l"] == r2["__salt_r"]), "left")
     return out.drop("__salt_l", "__salt_r")
 
 
-def full_outer_merge(frames: Sequence[DataFrame], keys: Sequence[str], fill_zero: Sequence[str] = ()) -> DataFrame:
+def full_outer_merge(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Chained FULL OUTER JOINs of per-key aggregates that are unique on ``keys``
     (JN-04/JN-05), each on the keys coalesced so far. Real full outer joins
     (not union + group) so NULL keys stay apart exactly as SQL keeps them."""
@@ -63,6 +42,4 @@ def full_outer_merge(frames: Sequence[DataFrame], keys: Sequence[str], fill_zero
         merged = [F.coalesce(F.col(k), F.col(ren[k])).alias(k) for k in keys]
         rest = [c for c in joined.columns if c not in keys and c not in ren.values()]
         out = joined.select(*merged, *rest)
-    for c in fill_zero:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
     return out

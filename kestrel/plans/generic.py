@@ -157,10 +157,12 @@ def _spine(b: Build, lo: str, hi: str) -> DataFrame:
 
 @generic("jn02_spine", "JN-02")
 def jn02_spine(b: Build):
-    """Daily orders joined to a fixed calendar spine (the join also bounds the dates)."""
+    """Daily orders joined to a calendar spine over the orders' own date range."""
     daily = raw(b, "orders").groupBy(F.to_date("o_orderdate").alias("order_date")).agg(
         F.count(F.lit(1)).alias("n_orders"))
-    spine = F.broadcast(_spine(b, "1996-01-01", "1999-12-31"))  # bounded by the calendar
+    days = daily.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
+    spine = F.broadcast(days.select(  # bounded by the calendar
+        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date_day")))
     j = daily.join(spine, daily["order_date"] == spine["date_day"])
     return j.select("date_day", F.trunc("date_day", "week").alias("week_start"), "n_orders")
 
@@ -360,7 +362,9 @@ def win_earliest_per_key(b: Build):
 def srt01_order_nulls_first(b: Build):
     """A sorted report: nation revenue with an optional bucket, DESC NULLS FIRST."""
     r = jn01_inner(b)
-    bucket = F.when(c("n_orders") > 600, F.lit("large"))
+    total = r.agg(F.sum("n_orders").alias("all_orders"), F.count(F.lit(1)).alias("n_nations"))  # one row
+    r = r.join(F.broadcast(total))
+    bucket = F.when(c("n_orders") * c("n_nations") > c("all_orders"), F.lit("large"))
     return r.select("n_name", "revenue", bucket.alias("size_bucket")).orderBy(
         F.desc_nulls_first("size_bucket"), F.desc_nulls_first("revenue"), F.asc("n_name"))
 

@@ -399,13 +399,15 @@ def int_policy_revenue(b: Build):
     )
 
 
-def _business_owner(b: Build):
-    """One row per business: owner flags and existence of its dimension rows."""
+def _business_owner(b: Build, dimensions: bool = True):
+    """One row per business: owner flags and, if wanted, existence of its dimension rows."""
     biz = b.ref("stg_business").select("business_id", "user_id", "business_classification_id", "license_name",
                                        "is_test_flag", "created_at")
     users = b.ref("stg_user").select(c("user_id").alias("__uid"), c("first_name").alias("__first"),
                                      c("last_name").alias("__last"), c("is_test_name").alias("__is_test_name"))
     j = left_join_spread_nulls(biz, users, "user_id", "__uid", spread_by=["business_id"])
+    if not dimensions:
+        return j
     cls = b.dim("stg_business_classification", c("business_classification_id").alias("__cls"))
     lic = b.dim("stg_license", c("license_name").alias("__lic"))
     return (j.join(cls, j["business_classification_id"] == cls["__cls"], "left")
@@ -416,7 +418,7 @@ def _business_owner(b: Build):
        deps=("stg_policy_transaction", "stg_policy", "stg_carrier", "stg_business", "stg_user"))
 def int_nb_revenue_transaction(b: Build):
     """INT-04: ledger rows counted toward net new-business revenue."""
-    owner = _business_owner(b)
+    owner = _business_owner(b, dimensions=False)
     pol = (b.ref("stg_policy").where(c("is_new_business"))
            .select(c("policy_id").alias("__pid"), c("business_id").alias("__p_bid"), "carrier_id",
                    c("created_at").alias("policy_created_at"), c("created_date").alias("__p_date"))

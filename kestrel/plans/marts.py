@@ -19,9 +19,10 @@ c = F.col
 
 
 def exact_mean(x: str | Column) -> Column:
-    """avg() kept as an exact decimal quotient (no intermediate rounding)."""
+    """avg() of a decimal or integer column as a decimal quotient: the sum keeps the
+    column's own scale."""
     col = c(x) if isinstance(x, str) else x
-    return F.sum(col.cast(WIDE)) / F.count(col).cast("decimal(20,0)")
+    return F.sum(col).cast("decimal(34,6)") / F.count(col).cast("decimal(20,0)")
 
 
 def _count_if(cond: Column) -> Column:

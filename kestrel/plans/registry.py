@@ -43,7 +43,9 @@ class Build:
                  published: Callable[[str], DataFrame | None] | None = None):
         self.spark = configure(spark)
         self.sources = sources
-        self.cfg = settings or Settings()
+        if settings is None:
+            raise ValueError("settings must be given: house_brand and other_non_partner_licenses have no default")
+        self.cfg = settings
         self._published = published
         self._memo: dict[str, DataFrame] = {}
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..functions import (
+    PRODUCT,
     contains_any_upper, distinct_from, ilike_any, instant_to_eastern, instant_to_utc_wall,
     json_has_key, json_text, money, nullif_blank, rate, to_date, trunc_date, utc_wall_to_eastern,
 )
@@ -296,7 +297,7 @@ def stg_policy(b: Build):
         money("premium").alias("premium"),
         money("commissionablePremium").alias("commissionable_premium"),
         rate("commissionRate").alias("commission_rate"),
-        money(c("premium") * c("commissionRate")).alias("estimated_commission"),
+        (money("premium") * rate("commissionRate")).cast(PRODUCT).alias("estimated_commission"),
         money("downPayment").alias("down_payment"),
         money("monthlyPayment").alias("monthly_payment"),
         money("mmrFee").alias("mmr_fee"),
@@ -366,7 +367,7 @@ def stg_policy_transaction(b: Build):
         money(signed).alias("signed_amount"),
         money("totalAmount").alias("total_amount"),
         money("amountReceived").alias("amount_received"),
-        money("rate").alias("rate"),
+        rate("rate").alias("rate"),
         c("closedOut").alias("closed_out"),
         c("createdAt").alias("created_at"),
         to_date("createdAt").alias("created_date"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field, replace
+from zoneinfo import ZoneInfo
 
 # ---------------------------------------------------------------------------
 # Fixed values (must match the published reporting rules exactly)
@@ -37,8 +38,6 @@ DATA_LEAD_LICENSES = (
     "All Web Leads – Fresh Data Leads", "Swyft Filings - Sonic", "Kapitus",
     "Collective - Activation Flow",
 )
-# In-house channels are "<house brand> Website", "... Admin App", "... Emails".
-HOUSE_CHANNEL_SUFFIXES = ("Website", "Admin App", "Emails")
 # Request-payload keys that identify a lead vendor, first match wins.
 PAYLOAD_VENDOR_KEYS = (("awlToken", "All Web Leads"), ("pro_email", "Housecall Pro"), ("duns", "Bold Penguin"))
 # Rejection-reason buckets, first match wins; patterns are case-insensitive LIKE.
@@ -66,22 +65,32 @@ SNAPSHOT_OFFSET = (1, 5, 5)
 EASTERN = "America/New_York"
 
 
+def eastern_today(now: _dt.datetime | None = None) -> _dt.date:
+    """The date in Eastern time now, whatever the driver machine's zone."""
+    return (now or _dt.datetime.now(_dt.timezone.utc)).astimezone(ZoneInfo(EASTERN)).date()
+
+
 @dataclass(frozen=True)
 class Settings:
     """Per-deployment parameters.
 
-    ``as_of`` replaces "today in Eastern": every age and maturity flag is
+    ``as_of`` is today in Eastern unless given: every age and maturity flag is
     measured against it, so a build is reproducible.
-    ``house_brand`` names the company's own channels and is one of the
-    owner-name tokens that mark test accounts.
+    ``house_brand`` (required) is one of the owner-name tokens that mark test
+    accounts; ``other_non_partner_licenses`` (required) are the full names of the
+    company's own channels.
     """
 
-    as_of: _dt.date = field(default_factory=lambda: _dt.date.today())
-    house_brand: str = "House"
+    house_brand: str
+    other_non_partner_licenses: tuple[str, ...]
+    as_of: _dt.date = field(default_factory=lambda: eastern_today())
     extra_test_tokens: tuple[str, ...] = ("TEST",)
     warm_transfer_licenses: tuple[str, ...] = WARM_TRANSFER_LICENSES
     data_lead_licenses: tuple[str, ...] = DATA_LEAD_LICENSES
-    other_non_partner_licenses: tuple[str, ...] | None = None
+
+    def __post_init__(self) -> None:
+        if not self.house_brand.strip():
+            raise ValueError("house_brand must be given: an empty token would mark every owner as a test account")
 
     @property
     def test_tokens(self) -> tuple[str, ...]:
@@ -89,9 +98,7 @@ class Settings:
 
     @property
     def house_licenses(self) -> tuple[str, ...]:
-        if self.other_non_partner_licenses is not None:
-            return self.other_non_partner_licenses
-        return tuple(f"{self.house_brand} {s}" for s in HOUSE_CHANNEL_SUFFIXES)
+        return self.other_non_partner_licenses
 
     @property
     def spine_end(self) -> _dt.date:

@@ -44,10 +44,15 @@ def _s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
 
 
-# Lineitem collapsed to one row per (order, line number): the pair is not unique.
-_LI = """(SELECT l_orderkey, l_linenumber, min(l_extendedprice) AS px, min(l_returnflag) AS rf,
-                 min(l_partkey) AS pk
-          FROM {lineitem} GROUP BY l_orderkey, l_linenumber)"""
+# Every line item with a number of its own in its order: (order, line number) is
+# not unique. Lines equal in all columns are interchangeable.
+_LI = """(SELECT l_orderkey, l_linenumber, l_extendedprice AS px, l_returnflag AS rf, l_partkey AS pk,
+                 row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+                     l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
+          FROM {lineitem})"""
+
+# Keys spread over a whole dimension table.
+_N_SUPPLIER, _N_PART = "(SELECT count(*) FROM {supplier})", "(SELECT count(*) FROM {part})"
 
 ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -115,10 +120,10 @@ SELECT c_custkey AS id, concat('user', {_s('c_custkey')}, '@example.test') AS em
        {_B} + {_day('c_custkey * 37 % 1300')} AS createdAt, CAST(NULL AS @NTZ) AS lastLogin
 FROM {{customer}}""")
 
-_adapter("Business", ("customer", "nation", "supplier"), f"""
+_adapter("Business", ("customer", "nation", "supplier", "part"), f"""
 SELECT c.c_custkey AS id,
        CASE WHEN c.c_custkey % 53 = 9 THEN NULL ELSE c.c_custkey END AS userId,
-       CASE WHEN c.c_custkey % 31 = 3 THEN NULL ELSE c.c_custkey % 200 END AS businessClassificationId,
+       CASE WHEN c.c_custkey % 31 = 3 THEN NULL ELSE c.c_custkey % {_N_PART} END AS businessClassificationId,
        concat('lead_', {_s('c.c_custkey')}) AS closeId,
        CAST(NULL AS BIGINT) AS leadOriginatorEmployeeId, CAST(NULL AS BIGINT) AS createdAtCohortId,
        c.c_name AS name, concat(' ', lower(c.c_mktsegment), ' ') AS legalEntityType,
@@ -140,9 +145,9 @@ SELECT c.c_custkey AS id,
        {_b3('c.c_custkey + 1')} AS isHighRisk, CAST(NULL AS STRING) AS highRiskReason,
        CASE WHEN c.c_custkey % 101 = 2 THEN TRUE WHEN c.c_custkey % 2 = 0 THEN FALSE END AS isTest,
        {_biz_created('c.c_custkey')} AS createdAt
-FROM {{customer}} c
+FROM (SELECT x.*, x.c_custkey % {_N_SUPPLIER} AS c_suppkey FROM {{customer}} x) c
 JOIN {{nation}} n ON n.n_nationkey = c.c_nationkey
-LEFT JOIN {{supplier}} s ON s.s_suppkey = c.c_custkey % 10""")
+LEFT JOIN {{supplier}} s ON s.s_suppkey = c.c_suppkey""")
 
 _lead_cols = """
        CASE WHEN c.c_custkey % 71 = 1 THEN NULL ELSE c.c_custkey END AS businessId,
@@ -161,7 +166,7 @@ SELECT 2 * c.c_custkey AS id, {_lead_cols}
        {_biz_created('c.c_custkey')} + INTERVAL '1' HOUR AS createdAt,
        {_biz_created('c.c_custkey')} + INTERVAL '1' HOUR + INTERVAL '2' DAY AS expiryTime,
        CAST(NULL AS @NTZ) AS pausedTime
-FROM {{customer}} c LEFT JOIN {{supplier}} s ON s.s_suppkey = c.c_custkey % 10
+FROM (SELECT x.*, x.c_custkey % {_N_SUPPLIER} AS c_suppkey FROM {{customer}} x) c LEFT JOIN {{supplier}} s ON s.s_suppkey = c.c_suppkey
 WHERE EXISTS (SELECT 1 FROM {{orders}} o WHERE o.o_custkey = c.c_custkey)
 UNION ALL
 SELECT 2 * c.c_custkey + 1 AS id, {_lead_cols}
@@ -171,12 +176,12 @@ SELECT 2 * c.c_custkey + 1 AS id, {_lead_cols}
        {_biz_created('c.c_custkey')} + INTERVAL '2' DAY AS createdAt,
        {_biz_created('c.c_custkey')} + INTERVAL '4' DAY AS expiryTime,
        CAST(NULL AS @NTZ) AS pausedTime
-FROM {{customer}} c LEFT JOIN {{supplier}} s ON s.s_suppkey = c.c_custkey % 10
+FROM (SELECT x.*, x.c_custkey % {_N_SUPPLIER} AS c_suppkey FROM {{customer}} x) c LEFT JOIN {{supplier}} s ON s.s_suppkey = c.c_suppkey
 WHERE c.c_mktsegment = 'AUTOMOBILE'""")
 
 _POLICY_CREATED = _oc("o_orderkey", "o_custkey", 120, 5)
-_adapter("Policy", ("orders",), f"""
-SELECT o_orderkey AS id, o_custkey AS businessId, o_orderkey % 10 AS carrierId, o_orderkey AS quoteId,
+_adapter("Policy", ("orders", "supplier"), f"""
+SELECT o_orderkey AS id, o_custkey AS businessId, o_orderkey % {_N_SUPPLIER} AS carrierId, o_orderkey AS quoteId,
        concat('EXT', {_s('o_orderkey')}) AS externalPolicyId,
        CAST(NULL AS STRING) AS closeOpportunityId, CAST(NULL AS STRING) AS closePolicyId,
        CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey - 1 END AS renewedFromPolicyId,
@@ -190,11 +195,11 @@ SELECT o_orderkey AS id, o_custkey AS businessId, o_orderkey % 10 AS carrierId,
        CASE o_orderkey % 3 WHEN 0 THEN 'ONLINE' WHEN 1 THEN 'PHONE' ELSE 'PARTNER' END AS salesChannel,
        concat('UW', {_s('o_orderkey % 5')}) AS underwritingCarrier,
        CASE WHEN o_orderkey % 3 = 0 THEN NULL
-            ELSE concat('Supplier#', lpad({_s('o_orderkey % 10')}, 9, '0')) END AS accountExecutive,
+            ELSE concat('Supplier#', lpad({_s('o_orderkey % ' + _N_SUPPLIER)}, 9, '0')) END AS accountExecutive,
        CAST(NULL AS STRING) AS assignedAgent,
        CASE WHEN o_orderkey % 67 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice END AS premium,
        CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice END AS commissionablePremium,
-       CAST(o_orderkey % 20 AS DOUBLE) / 100 AS commissionRate,
+       CAST(o_orderkey * 7919 % 200000 AS DOUBLE) / 1000000 AS commissionRate,
        o_totalprice / 4 AS downPayment, CAST(NULL AS DOUBLE) AS monthlyPayment,
        CASE WHEN o_orderkey % 5 = 0 THEN CAST(25 AS DOUBLE) END AS mmrFee,
        {_b3('o_orderkey')} AS isRenewal, CAST(o_orderkey % 3 AS INTEGER) AS renewalCount,
@@ -213,9 +218,9 @@ SELECT o_orderkey AS id, o_custkey AS businessId, o_orderkey % 10 AS carrierId,
 FROM {{orders}}""")
 
 _QUOTE_WALL = f"({_oc('o_orderkey', 'o_custkey', 60, 3)} + {_sec('o_orderkey * 104729 % 40000')})"
-_adapter("Quote", ("orders",), f"""
+_adapter("Quote", ("orders", "supplier"), f"""
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 59 = 0 THEN NULL ELSE o_custkey END AS businessId,
-       o_orderkey AS applicationSubmissionId, o_orderkey % 10 AS carrierId, o_orderkey AS opportunityId,
+       o_orderkey AS applicationSubmissionId, o_orderkey % {_N_SUPPLIER} AS carrierId, o_orderkey AS opportunityId,
        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'QLIC' END AS licenseName,
        CASE o_orderkey % 4 WHEN 0 THEN 'GL' WHEN 1 THEN 'BOP' WHEN 2 THEN 'WC' ELSE 'PL' END AS policyTypeUpdated,
        CASE o_orderkey % 6 WHEN 0 THEN 'MANUAL' WHEN 1 THEN 'EXPIRED' ELSE 'ACTIVE' END AS status,
@@ -228,7 +233,7 @@ SELECT o_orderkey AS id, CASE WHEN o_orderkey % 59 = 0 THEN NULL ELSE o_custkey
        CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_totalprice / 20 END AS taxes,
        CAST(25 AS DOUBLE) AS technologyFee, CAST(NULL AS DOUBLE) AS policyFee,
        CASE WHEN o_orderkey % 5 = 0 THEN CAST(25 AS DOUBLE) END AS mmrFee,
-       CAST(NULL AS DOUBLE) AS otherFees, CAST(o_orderkey % 20 AS DOUBLE) / 100 AS commissionRate,
+       CAST(NULL AS DOUBLE) AS otherFees, CAST(o_orderkey * 7919 % 200000 AS DOUBLE) / 1000000 AS commissionRate,
        o_totalprice / 4 AS downPayment, o_totalprice / 12 AS installmentAmount,
        CAST(o_orderkey % 12 AS INTEGER) AS numOfInstallments,
        @INSTANT({_QUOTE_WALL})@)INSTANT AS createdAt,
@@ -269,7 +274,7 @@ SELECT o_orderkey AS id, o_custkey AS businessId, o_orderkey AS policyId,
 FROM {{orders}}""")
 
 _adapter("OpportunityStatusHistory", ("lineitem", "orders"), f"""
-SELECT li.l_orderkey * 10 + li.l_linenumber AS id, li.l_orderkey AS opportunityId,
+SELECT li.l_orderkey * 1000000 + li.rn AS id, li.l_orderkey AS opportunityId,
        CASE WHEN li.l_linenumber = 7 THEN 'ASSIGNEE' ELSE 'STATUS' END AS changeType,
        CASE WHEN li.l_linenumber = 1 THEN NULL ELSE 'NEW' END AS @Qfrom@Q,
        CASE li.l_linenumber WHEN 1 THEN 'QUOTING' WHEN 2 THEN 'SIT_REVIEW' WHEN 3 THEN 'QUOTED'
@@ -279,7 +284,7 @@ FROM {_LI} li JOIN {{orders}} o ON o.o_orderkey = li.l_orderkey""")
 
 _PT_CREATED = f"({_oc('li.l_orderkey', 'o.o_custkey', 120, 5)} + {_day('li.pk % 150')})"
 _adapter("PolicyTransaction", ("lineitem", "orders"), f"""
-SELECT li.l_orderkey * 10 + li.l_linenumber AS id, li.l_orderkey AS policyId,
+SELECT li.l_orderkey * 1000000 + li.rn AS id, li.l_orderkey AS policyId,
        CASE (li.l_orderkey + li.l_linenumber) % 8 WHEN 0 THEN 'COMMISSION' WHEN 1 THEN 'TECHNOLOGY_ACCESS_FEE'
             WHEN 2 THEN 'AGENCY_FEE' WHEN 3 THEN 'ENDORSEMENT' WHEN 4 THEN 'CANCELLATION'
             WHEN 5 THEN 'COMMISSION_PARTIAL' WHEN 6 THEN 'REFUND' ELSE 'OTHER' END AS transactionType,
@@ -288,7 +293,7 @@ SELECT li.l_orderkey * 10 + li.l_linenumber AS id, li.l_orderkey AS policyId,
        CASE li.l_linenumber % 2 WHEN 0 THEN 'OPEN' ELSE 'CLOSED' END AS status,
        CASE li.pk % 3 WHEN 0 THEN 'Policy CANCELled: offset' WHEN 2 THEN 'rate correction' END AS description,
        {_b3('li.l_linenumber')} AS isParent, CAST(NULL AS STRING) AS endorsementReason,
-       li.px AS amount, li.px AS totalAmount, li.px / 2 AS amountReceived, CAST(NULL AS DOUBLE) AS rate,
+       li.px AS amount, li.px AS totalAmount, li.px / 2 AS amountReceived, CAST(li.l_orderkey * 7919 % 200000 AS DOUBLE) / 1000000 AS rate,
        {_b3('li.l_orderkey')} AS closedOut,
        {_PT_CREATED} AS createdAt, {_PT_CREATED} + INTERVAL '30' DAY AS dueBy
 FROM {_LI} li JOIN {{orders}} o ON o.o_orderkey = li.l_orderkey""")
@@ -307,12 +312,13 @@ SELECT e.event_id AS id,
        e.ts + {_day('e.event_id % 1200 - 300')} AS createdAt
 FROM {{events}} e""")
 
-_adapter("WarmTransfer", ("events", "customer"), f"""
+# Every event is a ping; only views and signups know their business.
+_adapter("WarmTransfer", ("events", "customer", "part"), f"""
 SELECT e.event_id AS id,
-       CASE WHEN e.event_type = 'view' THEN e.event_id % (SELECT count(*) FROM {{customer}}) END AS businessId,
-       CASE WHEN e.event_id % 4 = 0 THEN e.event_id % 40 END AS campaignStatusId,
+       CASE WHEN e.event_type IN ('view', 'signup') THEN e.event_id % (SELECT count(*) FROM {{customer}}) END AS businessId,
+       CASE WHEN e.event_id % 4 = 0 THEN CAST(e.event_id / 4 AS BIGINT) % {_N_PART} END AS campaignStatusId,
        concat('ext', {_s('e.event_id')}) AS externalBusinessId,
-       CASE WHEN e.event_type = 'view' THEN 'ACCEPTED' WHEN e.event_id % 9 = 0 THEN 'ERROR'
+       CASE WHEN e.event_type IN ('view', 'signup') THEN 'ACCEPTED' WHEN e.event_id % 9 = 0 THEN 'ERROR'
             WHEN e.event_id % 9 = 1 THEN 'RECEIVED' ELSE 'REJECTED' END AS status,
        CASE e.event_id % 3 WHEN 1 THEN 'UNCLAIMED' WHEN 2 THEN 'CLAIMED' END AS claimedStatus,
        CAST(NULL AS STRING) AS soldBy,
@@ -326,13 +332,13 @@ SELECT e.event_id AS id,
        e.ts + {_day('e.event_id % 900')} AS createdAt,
        CAST(NULL AS @NTZ) AS claimedAt, CAST(NULL AS @NTZ) AS laqAssignedAt,
        e.ts + {_day('e.event_id % 900')} AS updatedAt
-FROM {{events}} e WHERE e.event_type IN ('view', 'purchase')""")
+FROM {{events}} e""")
 
 # A call is a group of four consecutive events (every event belongs to one);
 # the call's own attributes are those of the group's first event.
-_adapter("RingbaCallLog", ("events",), f"""
+_adapter("RingbaCallLog", ("events", "part"), f"""
 SELECT g.id, concat('call', {_s('g.id')}) AS inboundCallId,
-       CASE WHEN g.id % 300 = 0 THEN NULL ELSE g.id % 40 END AS campaignStatusId,
+       CASE WHEN g.id % 300 = 0 THEN NULL ELSE CAST(g.id / 4 AS BIGINT) % {_N_PART} END AS campaignStatusId,
        CAST(NULL AS STRING) AS ringbaCampaignId, concat('+1555', {_s('g.user_id')}) AS callerNumber,
        {_b3('g.id / 4')} AS hasConnected, {_b3('g.id / 4 + 1')} AS hasConverted,
        CAST(floor(g.value) AS INTEGER) AS callLengthInSeconds,
@@ -346,13 +352,13 @@ _adapter("RingbaCallEvent", ("events", "supplier"), f"""
 SELECT e.event_id AS id, e.event_id - e.event_id % 4 AS ringbaCallLogId,
        CASE e.event_type WHEN 'click' THEN 'TargetDialed' WHEN 'view' THEN 'ConnectedCall'
             WHEN 'error' THEN 'NoAnswer' WHEN 'signup' THEN 'DuplicateCall' ELSE 'BusyCall' END AS eventName,
-       concat('t', {_s('e.user_id % 10')}) AS targetId,
+       concat('t', {_s('e.user_id % ' + _N_SUPPLIER)}) AS targetId,
        CASE WHEN e.event_type = 'signup' THEN NULL ELSE s.s_name END AS targetName,
        CAST(NULL AS STRING) AS targetNumber,
        CASE WHEN e.event_type = 'purchase' THEN e.value END AS conversionAmount,
        CAST(NULL AS STRING) AS failReason,
        e.ts + {_day('(e.event_id - e.event_id % 4) % 365')} AS eventTimestamp
-FROM {{events}} e LEFT JOIN {{supplier}} s ON s.s_suppkey = e.user_id % 10""")
+FROM (SELECT x.*, x.user_id % {_N_SUPPLIER} AS u_suppkey FROM {{events}} x) e LEFT JOIN {{supplier}} s ON s.s_suppkey = e.u_suppkey""")
 
 
 def render(name: str, dialect: str) -> str:

@@ -11,7 +11,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                             ('renewals_bound', 'BIGINT'),
                             ('unique_businesses_bound', 'BIGINT'),
                             ('total_premium', 'DECIMAL(38,4)'),
-                            ('total_estimated_commission', 'DECIMAL(38,4)'),
+                            ('total_estimated_commission', 'DECIMAL(38,6)'),
                             ('avg_premium_per_policy', 'DECIMAL(38,6)'),
                             ('distinct_policy_types', 'BIGINT'),
                             ('contact_rate_pct', 'DECIMAL(38,2)'),
@@ -54,7 +54,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                            ('businesses_bound', 'BIGINT'),
                            ('policies_bound', 'BIGINT'),
                            ('total_premium_bound', 'DECIMAL(38,4)'),
-                           ('total_estimated_commission', 'DECIMAL(38,4)'),
+                           ('total_estimated_commission', 'DECIMAL(38,6)'),
                            ('quote_to_bind_rate_pct', 'DECIMAL(38,2)'),
                            ('businesses_created', 'BIGINT')],
  'dim_date': [('date_day', 'DATE'),
@@ -470,7 +470,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                         ('premium', 'DECIMAL(38,4)'),
                         ('commissionable_premium', 'DECIMAL(38,4)'),
                         ('commission_rate', 'DECIMAL(38,6)'),
-                        ('estimated_commission', 'DECIMAL(38,4)'),
+                        ('estimated_commission', 'DECIMAL(38,6)'),
                         ('mmr_fee', 'DECIMAL(38,4)'),
                         ('effective_date', 'DATE'),
                         ('expiry_date', 'DATE'),
@@ -630,7 +630,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                             ('unique_businesses', 'BIGINT'),
                             ('gross_written_premium', 'DECIMAL(38,4)'),
                             ('total_commissionable_premium', 'DECIMAL(38,4)'),
-                            ('total_estimated_commission', 'DECIMAL(38,4)'),
+                            ('total_estimated_commission', 'DECIMAL(38,6)'),
                             ('total_mmr_fees', 'DECIMAL(38,4)'),
                             ('avg_premium', 'DECIMAL(38,6)'),
                             ('avg_commission_rate', 'DECIMAL(38,6)'),
@@ -920,7 +920,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                 ('premium', 'DECIMAL(38,4)'),
                 ('commissionable_premium', 'DECIMAL(38,4)'),
                 ('commission_rate', 'DECIMAL(38,6)'),
-                ('estimated_commission', 'DECIMAL(38,4)'),
+                ('estimated_commission', 'DECIMAL(38,6)'),
                 ('down_payment', 'DECIMAL(38,4)'),
                 ('monthly_payment', 'DECIMAL(38,4)'),
                 ('mmr_fee', 'DECIMAL(38,4)'),
@@ -969,7 +969,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                             ('signed_amount', 'DECIMAL(38,4)'),
                             ('total_amount', 'DECIMAL(38,4)'),
                             ('amount_received', 'DECIMAL(38,4)'),
-                            ('rate', 'DECIMAL(38,4)'),
+                            ('rate', 'DECIMAL(38,6)'),
                             ('closed_out', 'BOOLEAN'),
                             ('created_at', 'TIMESTAMP'),
                             ('created_date', 'DATE'),

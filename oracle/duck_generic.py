@@ -66,7 +66,7 @@ FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, sum(CAST(o_to
 
     "jn02_spine": """
 WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n_orders FROM orders GROUP BY 1),
-spine AS (SELECT CAST(unnest(generate_series(DATE '1996-01-01', DATE '1999-12-31', INTERVAL 1 DAY)) AS DATE) AS date_day)
+spine AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS date_day FROM daily)
 SELECT s.date_day, CAST(date_trunc('week', s.date_day) AS DATE) AS week_start, d.n_orders
 FROM daily d JOIN spine s ON s.date_day = d.d""",
 
@@ -188,7 +188,7 @@ SELECT user_id, event_type, event_id FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) t WHERE rn = 1""",
 
     "srt01_order_nulls_first": f"""
-SELECT n_name, revenue, CASE WHEN n_orders > 600 THEN 'large' END AS size_bucket FROM ({_JN01}) r
+SELECT n_name, revenue, CASE WHEN n_orders > avg(n_orders) OVER () THEN 'large' END AS size_bucket FROM ({_JN01}) r
 ORDER BY size_bucket DESC NULLS FIRST, revenue DESC NULLS FIRST, n_name""",
 
     "set01_union_all": f"""

@@ -180,7 +180,7 @@ SELECT id AS policy_id, businessId AS business_id, carrierId AS carrier_id, quot
   salesChannel AS sales_channel, underwritingCarrier AS underwriting_carrier,
   accountExecutive AS account_executive, assignedAgent AS assigned_agent,
   {dec('premium')} AS premium, {dec('commissionablePremium')} AS commissionable_premium,
-  {dec('commissionRate', 6)} AS commission_rate, {dec('premium * commissionRate')} AS estimated_commission,
+  {dec('commissionRate', 6)} AS commission_rate, CAST({dec('premium')} * {dec('commissionRate', 6)} AS DECIMAL(24,8)) AS estimated_commission,
   {dec('downPayment')} AS down_payment, {dec('monthlyPayment')} AS monthly_payment, {dec('mmrFee')} AS mmr_fee,
   isRenewal AS is_renewal, renewalCount AS renewal_count, borRenewal AS bor_renewal,
   isCancelRewrite AS is_cancel_rewrite, isReinstated AS is_reinstated, coalesce(isPartial, false) AS is_partial,
@@ -212,7 +212,7 @@ SELECT id AS policy_transaction_id, policyId AS policy_id, transactionType AS tr
   coalesce(isParent, false) AS is_parent, endorsementReason AS endorsement_reason, description,
   {dec('amount')} AS amount,
   {dec("CASE WHEN direction = 'RECEIVABLE' THEN amount ELSE -amount END")} AS signed_amount,
-  {dec('totalAmount')} AS total_amount, {dec('amountReceived')} AS amount_received, {dec('rate')} AS rate,
+  {dec('totalAmount')} AS total_amount, {dec('amountReceived')} AS amount_received, {dec('rate', 6)} AS rate,
   closedOut AS closed_out, createdAt AS created_at, CAST(createdAt AS DATE) AS created_date,
   CAST(date_trunc('month', createdAt) AS DATE) AS created_month, dueBy AS due_by
 FROM src_PolicyTransaction""")
