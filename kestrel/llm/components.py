@@ -22,8 +22,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # Every node is the larger end of some edge, or the smallest of its neighbourhood.
         roots = cut(edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("up")))
         while True:
-            step = cut(roots.join(roots.select(F.col("id").alias("up"), F.col("up").alias("further")), "up", "left")
-                       .select("id", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved")))
+            step = cut(_followed(_followed(roots)))
             roots = step.select("id", "up")
             if step.where("moved").isEmpty():
                 break
@@ -37,3 +36,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .select(F.coalesce("up_a", "a").alias("x"), F.col("up_b").alias("y"))
         edges = cut(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     return labels
+
+
+def _followed(roots: DataFrame) -> DataFrame:
+    """Pointers (id, up) followed one step further; moved: whether there was a step."""
+    further = roots.select(F.col("id").alias("up"), F.col("up").alias("further"))
+    return roots.select("id", "up").join(further, "up", "left").select(
+        "id", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved"))

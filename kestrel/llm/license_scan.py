@@ -114,9 +114,9 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases:
     rank = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (df_of.get(w, 0), w)))}
     index = {t.label: sorted(set(t.text.split()), key=rank.get)[:INDEX_WORDS] for t in templates}
     indexed = sorted({w for own in index.values() for w in own}, key=rank.get)  # highest IDF first
-    postings = spark.createDataFrame(
-        [(w, k, i) for k, t in enumerate(templates) for i, w in enumerate(t.text.split()) if w in index[t.label]],
-        "word string, template int, place int")
+    entries = [F.struct(F.lit(w).alias("word"), F.lit(k).alias("template"), F.lit(i).alias("place"))
+               for k, t in enumerate(templates) for i, w in enumerate(t.text.split()) if w in index[t.label]]
+    postings = spark.range(1).select(F.explode(F.array(*entries)).alias("p")).select("p.*")  # INDEX_WORDS for a template
 
     words, n = F.col("words"), F.size("words").cast("bigint")
     own = docs.withColumn("top", F.slice(F.array_intersect(_strings(indexed), words), 1, FILE_WORDS)) \

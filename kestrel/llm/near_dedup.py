@@ -200,7 +200,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       .join(groups.select(F.col("id").alias("rep"), F.col("component").alias("group")), "rep")
                       .join(sets, "rep"), percent, tile))
     if not more.isEmpty():
-        labels = connected_components(links.union(more))
+        # Components so far are the nodes now; only the new links are followed.
+        of = labels.select(F.col("id").alias("node"), "component")
+        ends = [of.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
+        joined = more.join(ends[0], "a", "left").join(ends[1], "b", "left") \
+            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        met = connected_components(joined).select(F.col("id").alias("component"), F.col("component").alias("joined"))
+        every = labels.select("component").union(more.select("a")).union(more.select("b"))
+        labels = cut(labels.union(every.select("component", "component")).distinct().join(met, "component", "left")
+                     .groupBy("id").agg(F.min(F.coalesce("joined", "component")).alias("component")))
 
     firsts = classes.select("s1", "s2", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
         .select("s1", "s2", "n", F.coalesce("component", "rep").alias("class_component"))
