@@ -48,6 +48,8 @@ def output_root(spark) -> str:
     base = os.environ.get("BENCH_OUT_DIR") or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/kestrel-bench-{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:6]}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set BENCH_OUT_DIR or spark.checkpoint.dir: executors share no local folder")
     return tempfile.mkdtemp(prefix="kestrel-bench-")
 
 
@@ -64,7 +66,7 @@ def main() -> None:
 
     out_root = output_root(spark)
     t0 = time.time()
-    sources = materialize_sources(FixtureSources(spark, sf_dir), f"{out_root}/sources",
+    sources = materialize_sources(FixtureSources(spark, sf_dir), f"{out_root}/sources", records_per_file=20_000,
                                   partition_by=PRODUCTION_LAYOUT)
     source_prep = time.time() - t0
 

@@ -17,8 +17,10 @@ import time
 import uuid
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from .marts import ordered
 from .registry import MODELS, Build, dependency_order
 
 # Staging models are renames / casts of the sources: kept lazy (views), so each
@@ -36,12 +38,15 @@ def published_models(layers: tuple[str, ...] = PUBLISHED_LAYERS) -> list[str]:
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The published version of ``name`` in the newest complete run (None if none)."""
+    """The published version of ``name`` in the complete run committed last (None if
+    nothing is published; any other failure to read the manifest is raised)."""
     try:
         m = spark.read.parquet(f"{root}/_manifest")
-    except Exception:  # noqa: BLE001 - nothing published yet
-        return None
-    row = m.where(m.model == name).orderBy(m.run.desc()).select("path").first()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    row = m.where(m.model == name).orderBy(m.committed_at.desc(), m.run.desc()).select("path").first()
     return spark.read.parquet(row[0]) if row else None
 
 
@@ -53,13 +58,13 @@ def _write(b: Build, df: DataFrame, root: str, name: str, run_id: str, pool: str
         b.spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
     t0 = time.time()
     path = f"{root}/{name}/run={run_id}"
-    df.write.mode("errorifexists").parquet(path)
+    ordered(name, df).write.mode("errorifexists").parquet(path)
     b.pin(name, b.spark.read.parquet(path))
     return name, plan_secs + time.time() - t0
 
 
 def publish(b: Build, root: str, models: list[str] | None = None, run_id: str | None = None,
-            parallel: int = 4, database: str | None = None) -> dict[str, float]:
+            parallel: int = 4, database: str | None = None, checks: bool = True) -> dict[str, float]:
     """Build and publish ``models`` (default: intermediate + marts) in dependency order.
 
     A model is submitted as soon as every model it reads is published; up to
@@ -69,7 +74,10 @@ def publish(b: Build, root: str, models: list[str] | None = None, run_id: str |
     lock anyway): the model most others wait on gets its plan first instead
     of sharing the driver with every leaf model. With ``database``, each model
     is also repointed in the catalog once the run is complete
-    (``register_catalog``). Returns seconds per model."""
+    (``register_catalog``). Before the manifest is written, the declared quality
+    checks of the models just written run on their tables (``checks``): a failing
+    check of severity error raises ``ChecksFailed`` and readers stay on the version
+    before, a failing warning does not stop the run. Returns seconds per model."""
     run_id = run_id or time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
     wanted = set(models or published_models()) - INTERNAL
     todo = [n for n in dependency_order(sorted(wanted)) if n in wanted]
@@ -94,14 +102,26 @@ def publish(b: Build, root: str, models: list[str] | None = None, run_id: str |
                 done.add(name)
                 timings[name] = secs
                 del running[f]
-    rows = [(n, f"{root}/{n}/run={run_id}") for n in todo]
-    b.spark.createDataFrame(rows, "model string, path string").coalesce(1).write.mode("errorifexists") \
-        .parquet(f"{root}/_manifest/run={run_id}")
+    if checks:
+        from .quality_checks import CHECKS, model_checks
+        own = [ck for ck in CHECKS if ck.model in done]
+        if own:
+            failed = model_checks(b, own, cut_shared=False).where("status = 'fail' AND severity = 'error'").collect()
+            if failed:
+                raise ChecksFailed(", ".join(sorted(r["test"] for r in failed)))
+    committed_at = time.time_ns() // 1000
+    rows = [(n, f"{root}/{n}/run={run_id}", committed_at) for n in todo]
+    b.spark.createDataFrame(rows, "model string, path string, committed_at bigint").coalesce(1).write \
+        .mode("errorifexists").parquet(f"{root}/_manifest/run={run_id}")
     if database:
-        register_catalog(b.spark, database, dict(rows))
+        register_catalog(b.spark, database, {n: path for n, path, _ in rows})
     return timings
 
 
+class ChecksFailed(RuntimeError):
+    """Quality checks of severity error failed; the run is not published."""
+
+
 def register_catalog(spark: SparkSession, database: str, paths: dict[str, str]) -> None:
     """Name every model in one database, as the reference's readers see its
     layers (``<database>.stg_*``, ``int_*``, marts): ``<database>.<model>`` is

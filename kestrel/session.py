@@ -37,10 +37,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) set a
-    scratch folder of our own."""
+    ``spark.checkpoint.dir``; only when it is unset on a local master (tests)
+    set a scratch folder of our own. On a cluster executors share no such folder,
+    so there it is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="kestrel-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():

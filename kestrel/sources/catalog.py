@@ -125,17 +125,19 @@ PRODUCTION_LAYOUT = {"ChangeLog": ("entityType", "fieldName")}
 
 
 def materialize_sources(sources: Sources, root: str, names=SOURCE_NAMES,
-                        records_per_file: int = 20_000, parallel: int = 4,
+                        records_per_file: int | None = None, parallel: int = 4,
                         partition_by: dict[str, tuple[str, ...]] | None = None) -> ParquetSources:
     """Write every source table once to Parquet under ``root`` and return a
     ``ParquetSources`` over the copies (used to stage derived test sources the
-    way application tables already exist in production). Files are capped at
-    ``records_per_file`` rows, so scans get input splits in proportion to the
-    table's size rather than one task per small table. The tables are
+    way application tables already exist in production). Files are as large
+    as Spark writes them; ``records_per_file`` caps them for small test data, so that
+    its scans get more than one task. The tables are
     independent, so up to ``parallel`` are written at once as separate jobs.
     ``partition_by`` names partition columns per table (``PRODUCTION_LAYOUT``)."""
     def write(name: str, df: DataFrame) -> None:
-        w = df.write.mode("errorifexists").option("maxRecordsPerFile", records_per_file)
+        w = df.write.mode("errorifexists")
+        if records_per_file:
+            w = w.option("maxRecordsPerFile", records_per_file)
         if partition_by and name in partition_by:
             w = w.partitionBy(*partition_by[name])
         w.parquet(f"{root.rstrip('/')}/{name}")

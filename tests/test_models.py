@@ -1,6 +1,8 @@
 """Model-level behaviour: literal overrides of single sources, cross-mart
 invariants, publishing."""
+import datetime
 import datetime as dt
+import decimal
 import tempfile
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from kestrel.plans import Build
-from kestrel.plans.publish import publish, read_current
+from kestrel.plans.publish import ChecksFailed, publish, read_current
 from kestrel.settings import fixture_settings
 from kestrel.sources import DataFrameSources, FixtureSources, SOURCE_NAMES
 from tests.conftest import SF_MID, SF_SMALL
@@ -132,6 +134,60 @@ def test_failed_run_keeps_previous_version(spark):
     assert spark.read.parquet(f"{root}/_manifest").where("run = 'r2'").count() == 0
 
 
+def test_newest_is_the_run_committed_last(spark):
+    """r10 is published after r9: readers get r10, whatever the text order of the ids."""
+    root = tempfile.mkdtemp(prefix="kestrel-test-order-")
+    for run in ("r9", "r10"):
+        publish(E.build(spark, SF_SMALL), root, ["stg_partner"], run_id=run)
+    assert all("/run=r10/" in f for f in read_current(spark, root, "stg_partner").inputFiles())
+    assert read_current(spark, root + "/nothing", "stg_partner") is None
+
+
+def test_failing_check_keeps_previous_version(spark):
+    root = tempfile.mkdtemp(prefix="kestrel-test-checks-")
+    publish(E.build(spark, SF_SMALL), root, ["stg_partner"], run_id="r1")
+    partner = FixtureSources(spark, SF_SMALL).table("Partner")
+    with pytest.raises(ChecksFailed, match="unique__stg_partner__partner_id"):
+        publish(_with_override(spark, "Partner", partner.union(partner)), root, ["stg_partner"], run_id="r2")
+    assert all("/run=r1/" in f for f in read_current(spark, root, "stg_partner").inputFiles())
+
+
+def test_stored_order(spark):
+    root = tempfile.mkdtemp(prefix="kestrel-test-stored-")
+    publish(E.build(spark, SF_SMALL), root, ["int_policy_revenue", "policy_revenue_summary"])
+    rows = [(r["bound_month"], r["gross_written_premium"]) for r in read_current(spark, root, "policy_revenue_summary").collect()]
+    key = lambda r: tuple((v is not None, -(v.toordinal() if hasattr(v, "toordinal") else v) if v is not None else 0) for v in r)
+    assert rows == sorted(rows, key=key)
+
+
+def test_settings_defaults():
+    """Eastern today at 02:00 UTC is the day before; the brand and the in-house channels are required."""
+    from kestrel.settings import Settings, eastern_today
+    assert eastern_today(datetime.datetime(2026, 3, 2, 2, 0, tzinfo=datetime.timezone.utc)) == datetime.date(2026, 3, 1)
+    with pytest.raises(TypeError):
+        Settings()
+    with pytest.raises(ValueError):
+        Settings(house_brand=" ", other_non_partner_licenses=())
+
+
+def test_no_source_row_is_cut(spark, duck):
+    b = E.build(spark, SF_SMALL)
+    n = lambda t: duck.execute(f"SELECT count(*) FROM {t}").fetchone()[0]
+    assert b.ref("stg_policy_transaction").count() == b.ref("stg_opportunity_status_history").count() == n("lineitem")
+    assert b.ref("stg_warm_transfer").count() == n("events")
+
+
+def test_rates_keep_their_digits(spark):
+    from pyspark.sql import functions as F
+
+    from kestrel.plans.marts import exact_mean
+    df = spark.sql("SELECT CAST(0.123456 AS DECIMAL(18,6)) AS r FROM range(2)")
+    assert float(df.agg(exact_mean("r").alias("m")).first()["m"]) == 0.123456
+    row = E.build(spark, SF_SMALL).ref("stg_policy").where(F.col("premium") * F.col("commission_rate") > 1) \
+        .select("premium", "commission_rate", "estimated_commission").first()
+    assert abs(row["premium"] * row["commission_rate"] - row["estimated_commission"]) < decimal.Decimal("0.00000001")
+
+
 def test_dim_date_matches_oracle(spark, duck):
     """The calendar spine (not registered as a query: it reads no table)."""
     from oracle.contracts import CONTRACTS

@@ -73,3 +73,24 @@ def test_hot_business_really_is_hot(skewed):
     p = skewed.ref("stg_policy")
     n0 = p.where("business_id = 0").count()
     assert n0 * 3 >= p.count() - 3
+
+
+def test_null_keys_spread_over_partitions(spark):
+    """The NULL-key salt is part of the hash partitioning, and no partition gets most NULL rows."""
+    from pyspark.sql import functions as F
+
+    from kestrel.operators import left_join_spread_nulls
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(keep, ("-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        left = spark.range(8000).select(F.col("id"), F.when(F.col("id") % 4 == 0, F.col("id")).alias("k"))
+        right = spark.range(8000).select(F.col("id").alias("rk"), F.lit("x").alias("v"))
+        out = left_join_spread_nulls(left, right, "k", "rk", ["id"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("hashpartitioning(k") and "__salt_l" in plan.split("hashpartitioning(k", 1)[1][:40]
+        nulls = [r["n"] for r in out.where("k IS NULL").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(nulls) == 6000 and max(nulls) < 2 * 6000 / len(nulls) and len(nulls) >= 8
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
