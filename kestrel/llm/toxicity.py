@@ -11,14 +11,15 @@ toxicity. Weights are not negative, so no amount of clean text around it makes u
 for a toxic passage; an L1 penalty sets those of pieces that tell nothing to 0.
 
 The model is fitted on a bounded sample of labelled rows (``per_class`` for each
-class, the rows of smallest hash, within ``sample_bytes`` of text); scoring covers every row and whole texts.
+class, the rows of smallest hash, within ``sample_bytes`` of text); scoring covers
+every row and whole texts.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -75,8 +76,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = 0.05, rounds: int = 500,
-        least_docs: int = 4) -> OrdinalModel:
+STRENGTH = 0.05
+LEAST_DOCS = 4
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH, rounds: int = 500,
+        least_docs: int = LEAST_DOCS) -> OrdinalModel:
     """Cumulative-link fit by proximal AdaGrad over all rows (feature ids per row).
 
     The L1 penalty is strength / sqrt(rows), as the noise of a feature's mean slope
@@ -169,8 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Rows whose toxic label or id is null are left out; an id labelled more than once
     takes its worst labels; a null quality counts as good. The sample's ids (at most
-    2 x per_class) are broadcast, its features (some three times its text) come to the
-    driver."""
+    2 x per_class) are broadcast. Features are counted on the executors; those that the
+    fit's bounds admit (some hundreds or thousands) come to the driver row by row."""
     graded = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.min(F.coalesce("quality", F.lit(1))).alias("quality")).select(
         F.col("doc_id").alias("label_id"),
@@ -181,23 +186,46 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     asked = cut(parts[0].unionByName(parts[1]))
     texts = common.narrow(docs, id_col, text_col)
     sizes = texts.join(F.broadcast(asked), F.col("doc_id") == F.col("label_id")) \
-        .groupBy("label_id", "grade").agg(F.sum(F.octet_length("text")).alias("size")) \
+        .groupBy("label_id", "grade").agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("rows")) \
         .orderBy(F.xxhash64("label_id"), "label_id").collect()
-    total, chosen = {True: 0, False: 0}, []
+    total, chosen, count = {True: 0, False: 0}, [], 0
     for r in sizes:
         toxic = r["grade"] > 0
         if total[toxic] + (r["size"] or 0) <= sample_bytes // 2 or toxic not in {g > 0 for _, g in chosen}:
             chosen.append((r["label_id"], r["grade"]))
+            count += r["rows"]
         total[toxic] += r["size"] or 0
-    if not chosen:
+    seen = sorted({g for _, g in chosen})
+    if len(seen) < 2:
         return OrdinalModel()
     sample = docs.sparkSession.createDataFrame(chosen, "label_id bigint, grade int")
     rows = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("doc_id", "grade", "text")
 
+    # Of the features, only those that the fit can use come to the driver.
+    mean = sum(seen.index(g) for _, g in chosen) / len(chosen)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, excess = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS)
+        for ids, grade in _features(batches):
+            n[ids] += 1
+            excess[ids] += seen.index(grade) - mean
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at]), pa.array(excess[at])],
+                                         names=["feature", "n", "excess"])
+
+    least = 0.9 * STRENGTH / np.sqrt(count)  # fit() applies the exact bound
+    useful = common.map_arrow(rows, counted, "feature int, n bigint, excess double").groupBy("feature").agg(
+        F.sum("n").alias("n"), F.sum("excess").alias("excess")).where((F.col("n") >= LEAST_DOCS) & (
+            F.col("excess") / count > least))
+    keep = np.zeros(1 << BITS, dtype=bool)
+    keep[[r["feature"] for r in useful.select("feature").collect()]] = True
+    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(keep))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(bits.value).astype(bool)
         for batch in batches:
             for part in common.pieces(batch, 4 << 20):
-                found = [sorted(set().union(*map(word_features, words(t)))) for t in part.column("text").to_pylist()]
+                found = [ids[wanted[ids]] for ids, _ in _features([part])]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("grade"),
                                                   pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "grade", "f"])
 
@@ -213,6 +241,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([rows_of[k] for k in order_], grades[order_])
 
 
+def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
+    """(sorted feature ids, grade) of each row (text, grade)."""
+    known: dict[str, tuple[int, ...]] = {}
+    for batch in batches:
+        for part in common.pieces(batch, 4 << 20):
+            if len(known) > 200_000:
+                known = {}
+            for text, grade in zip(part.column("text").to_pylist(), part.column("grade").to_pylist(), strict=True):
+                found: set[int] = set()
+                for word in words(text):
+                    own = known.get(word)
+                    if own is None:
+                        own = known[word] = tuple(word_features(word))
+                    found.update(own)
+                yield np.array(sorted(found), dtype=np.int64), grade
+
+
 def n_features(rows: list[np.ndarray]) -> np.ndarray:
     return np.array([len(r) for r in rows])
 
