@@ -1,4 +1,5 @@
-"""Canonical output columns and types of every registered query."""
+"""Canonical output columns and types of every registered query, kept by hand:
+``tests/test_oracle.py`` holds the engine's own schemas against them."""
 
 CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('activity_month', 'DATE'),
                             ('account_executive', 'VARCHAR'),

@@ -10,11 +10,11 @@ HALF_UP rounding of ratios, date - date = integer days).
 
 from __future__ import annotations
 
-from kestrel import settings as S
-from kestrel.settings import fixture_settings
 from kestrel.sources.adapters import ADAPTERS, render
 
-CFG = fixture_settings()
+from . import constants as S
+
+CFG = S.Deployment
 AS_OF = f"DATE '{CFG.as_of.isoformat()}'"
 SPINE_END = f"DATE '{CFG.spine_end.isoformat()}'"
 

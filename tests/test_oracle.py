@@ -34,6 +34,16 @@ def test_every_query_has_an_oracle():
     assert not missing
 
 
+def test_engine_types_are_the_contracts(spark):
+    """The engine's own output types, before anything is cast for the comparison."""
+    from kestrel.plans.contract import schema_of
+    b = E.build(spark, SF_SMALL)
+    own = {n: b.ref(n) for n in E.MODELS} | {n: g.spark(b) for n, g in E.GENERIC_QUERIES.items()}
+    wrong = {n: sorted(set(schema_of(df)) ^ set(E.CONTRACTS[n])) for n, df in own.items()
+             if schema_of(df) != E.CONTRACTS[n]}
+    assert not wrong
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
