@@ -27,6 +27,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """As a join's right side: merged by shuffle, never broadcast. For the many small
+    joins of iterative steps, which would otherwise all pass through the driver."""
+    return df.hint("merge")
+
+
 def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The id and text columns alone, under names no other column can clash with."""
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut
+from kestrel.llm.common import cut, shuffled
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -29,9 +29,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if labels is None:
             every = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
             labels = every.select("id", F.col("id").alias("component"))
-        to = roots.select(F.col("id").alias("component"), "up")
+        to = shuffled(roots.select(F.col("id").alias("component"), "up"))
         labels = cut(labels.join(to, "component", "left").select("id", F.coalesce("up", "component").alias("component")))
-        left, right = (roots.select(F.col("id").alias(c), F.col("up").alias(f"up_{c}")) for c in ("a", "b"))
+        left, right = (shuffled(roots.select(F.col("id").alias(c), F.col("up").alias(f"up_{c}"))) for c in ("a", "b"))
         moved = edges.join(right, "b").join(left, "a", "left") \
             .select(F.coalesce("up_a", "a").alias("x"), F.col("up_b").alias("y"))
         edges = cut(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
@@ -40,6 +40,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def _followed(roots: DataFrame) -> DataFrame:
     """Pointers (id, up) followed one step further; moved: whether there was a step."""
-    further = roots.select(F.col("id").alias("up"), F.col("up").alias("further"))
+    further = shuffled(roots.select(F.col("id").alias("up"), F.col("up").alias("further")))
     return roots.select("id", "up").join(further, "up", "left").select(
         "id", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import common
-from kestrel.llm.common import cut
+from kestrel.llm.common import cut, shuffled
 from kestrel.llm.components import connected_components
 from kestrel.llm.shingles import mix, shingle_sets
 
@@ -168,19 +168,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         lambda k: F.xxhash64(k, F.substring(F.col("regs"), k * (2 * ROWS) + 1, F.lit(2 * ROWS))))).alias("key"))
     buckets = bands.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"), F.count("*").alias("size")) \
         .where("pivot <> last").select("key", "pivot", "size")
-    members = cut(bands.join(buckets, "key"))
+    members = cut(bands.join(shuffled(buckets), "key"))
 
     nodes = members.select("rep").distinct()
     texts = docs.withColumnRenamed("doc_id", "rep")
-    sets = cut(_full_sets(texts.join(nodes, "rep", "left_semi")))
+    sets = cut(_full_sets(texts.join(shuffled(nodes), "rep", "left_semi")))
     sizes = classes.select("rep", "n", "regs")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         ends = sizes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("regs").alias("regs_a"))
         other = sizes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("regs").alias("regs_b"))
-        likely = _estimated(pairs.distinct().join(ends, "a").join(other, "b"), percent / 100 - 0.2)
-        return _confirmed(likely.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("set_a")), "a")
-                          .join(sets.select(F.col("rep").alias("b"), F.col("members").alias("set_b")), "b"), percent)
+        likely = _estimated(pairs.distinct().join(shuffled(ends), "a").join(shuffled(other), "b"), percent / 100 - 0.2)
+        a, b = (shuffled(sets.select(F.col("rep").alias(c), F.col("members").alias(f"set_{c}"))) for c in ("a", "b"))
+        return _confirmed(likely.join(a, "a").join(b, "b"), percent)
 
     # Round 1: every bucket's smallest member is its pivot.
     links = cut(confirm(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))))
@@ -188,31 +188,31 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # Round 2: buckets in which members that are no pivot still lie in different components.
     def labelled(rows: DataFrame) -> DataFrame:
-        return rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
+        return rows.join(shuffled(labels.withColumnRenamed("id", "rep")), "rep", "left") \
             .withColumn("component", F.coalesce("component", "rep"))
 
     rest = labelled(members.where("size > 2 AND rep <> pivot").select("key", "rep"))
     undone = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                      F.min("rep").alias("first")).where("lo <> hi").select("key", "first")
-    undone = cut(rest.join(undone, "key").select("rep", "first", "component").distinct())
+    undone = cut(rest.join(shuffled(undone), "key").select("rep", "first", "component").distinct())
     groups = connected_components(undone.select(F.col("rep").alias("a"), F.col("first").alias("b")))
     more = cut(_tiled(undone.select("rep", "component").distinct()
-                      .join(groups.select(F.col("id").alias("rep"), F.col("component").alias("group")), "rep")
-                      .join(sets, "rep"), percent, tile))
+                      .join(shuffled(groups.select(F.col("id").alias("rep"), F.col("component").alias("group"))), "rep")
+                      .join(shuffled(sets), "rep"), percent, tile))
     if not more.isEmpty():
         # Components so far are the nodes now; only the new links are followed.
         of = labels.select(F.col("id").alias("node"), "component")
         ends = [of.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
-        joined = more.join(ends[0], "a", "left").join(ends[1], "b", "left") \
+        joined = more.join(shuffled(ends[0]), "a", "left").join(shuffled(ends[1]), "b", "left") \
             .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
         met = connected_components(joined).select(F.col("id").alias("component"), F.col("component").alias("joined"))
         every = labels.select("component").union(more.select("a")).union(more.select("b"))
-        labels = cut(labels.union(every.select("component", "component")).distinct().join(met, "component", "left")
+        labels = cut(labels.union(every.select("component", "component")).distinct().join(shuffled(met), "component", "left")
                      .groupBy("id").agg(F.min(F.coalesce("joined", "component")).alias("component")))
 
-    firsts = classes.select("s1", "s2", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
+    firsts = classes.select("s1", "s2", "n", "rep").join(shuffled(labels.withColumnRenamed("id", "rep")), "rep", "left") \
         .select("s1", "s2", "n", F.coalesce("component", "rep").alias("class_component"))
-    return drawn.drop("regs").join(firsts, ["s1", "s2", "n"], "left").select(
+    return drawn.drop("regs").join(shuffled(firsts), ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id")).alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -227,7 +227,7 @@ def _tiled(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     not joined yet: never more than it has members."""
     weight = F.greatest(F.length("members") / 8, F.lit(100))
     total = rows.groupBy("group").agg(F.ceil(F.sum(weight) / tile).cast("int").alias("blocks"))
-    placed = rows.join(total, "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    placed = rows.join(shuffled(total), "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
         "rep", "component", "members")
