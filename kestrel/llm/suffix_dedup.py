@@ -116,7 +116,8 @@ def blocks(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray,
     block = _fold((h64[first] * _ODD[24] + h64[first + (span - 64) // 2]) * _ODD[25]
                   + h64[first + span - 64] * _ODD[26] + span.astype(np.uint64))
     block ^= (at - first).astype(np.uint64) * _ODD[27]
-    return piece[at], block, text[first], first - (ends - sizes)[text[first]], count, at - first
+    # The least hashes of windows are small numbers; mixed, they are even over the ranges.
+    return _fold(_fold(piece[at] * _ODD[21]) * _ODD[22]) * _ODD[23], block, text[first], first - (ends - sizes)[text[first]], count, at - first
 
 
 # ---- compressed batches
