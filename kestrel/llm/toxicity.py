@@ -55,7 +55,6 @@ class OrdinalModel:
     weights: dict[int, float] = field(default_factory=dict)
     thresholds: list[float] = field(default_factory=list)
     levels: list[int] = field(default_factory=list)
-    top: int = 0
 
     def severity(self, index: np.ndarray) -> np.ndarray:
         """Expected severity of texts whose w.x is ``index``."""
@@ -112,7 +111,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH,
         w, t = _descend(place[flat[keep]], row_of[keep], len(used), step_of, t, weaker * penalty, rounds, speed)
         held[used[w == 0]] = False
     found = np.flatnonzero(w)
-    return OrdinalModel({int(used[k]): float(w[k]) for k in found}, t.tolist(), seen[1:], seen[-1])
+    return OrdinalModel({int(used[k]): float(w[k]) for k in found}, t.tolist(), seen[1:])
 
 
 def _descend(col: np.ndarray, row: np.ndarray, features: int, step_of: np.ndarray, t: np.ndarray, penalty: float,
@@ -175,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Rows whose toxic label or id is null are left out; an id labelled more than once
     takes its worst labels; a null quality counts as good. The sample's ids (at most
     2 x per_class) are broadcast. Features are counted on the executors; those that the
-    fit's bounds admit (some hundreds or thousands) come to the driver row by row."""
+    fit's bounds admit (some hundreds or thousands) enter it, in one task."""
     graded = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.min(F.coalesce("quality", F.lit(1))).alias("quality")).select(
         F.col("doc_id").alias("label_id"),
@@ -229,16 +228,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("grade"),
                                                   pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "grade", "f"])
 
-    got = common.map_arrow(rows, run, "doc_id bigint, grade int, f array<int>").toArrow()
-    if not got.num_rows:
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade", "f")),
+                                                    strict=True)]
+        held.sort()  # the same model whatever order the rows came in
+        m = fit([np.array(f, dtype=np.int64) for _, _, f in held], np.array([g for _, g, _ in held]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([list(m.weights)], pa.list_(pa.int32())), pa.array([list(m.weights.values())], pa.list_(pa.float64())),
+             pa.array([m.thresholds], pa.list_(pa.float64())), pa.array([m.levels], pa.list_(pa.int32()))],
+            names=["ids", "weights", "thresholds", "levels"])
+
+    # One task fits the bounded sample; the driver gets the weights that are not 0.
+    got = common.map_arrow(common.map_arrow(rows, run, "doc_id bigint, grade int, f array<int>").repartition(1), fitted,
+                           "ids array<int>, weights array<double>, thresholds array<double>, levels array<int>").collect()
+    if not got or not got[0]["thresholds"]:
         return OrdinalModel()
-    flat = got.column("f").combine_chunks()
-    grades = got.column("grade").to_numpy()
-    ids = got.column("doc_id").to_numpy()
-    values, offs = flat.flatten().to_numpy(), np.concatenate([[0], np.cumsum(flat.value_lengths().to_numpy())])
-    rows_of = [values[offs[k]:offs[k + 1]] for k in range(len(grades))]
-    order_ = np.lexsort((n_features(rows_of), ids))  # the same model whatever order the rows came in
-    return fit([rows_of[k] for k in order_], grades[order_])
+    m = got[0]
+    return OrdinalModel(dict(zip(m["ids"], m["weights"], strict=True)), list(m["thresholds"]), list(m["levels"]))
 
 
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
@@ -258,10 +264,6 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, i
                 yield np.array(sorted(found), dtype=np.int64), grade
 
 
-def n_features(rows: list[np.ndarray]) -> np.ndarray:
-    return np.array([len(r) for r in rows])
-
-
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text",
           cut: float = 0.3) -> DataFrame:
     """doc_id, severity (expected grade), toxic (rejected), one row for each row.
