@@ -5,9 +5,10 @@ come from licence templates:
 
 1. Every template is indexed under its words of highest IDF in the corpus, with
    their places in the template.
-2. In each file the index words it holds of highest IDF are looked up. Every
-   occurrence votes for a template and an offset (place in the file less place in the
-   template). Offsets on which different words agree are alignments.
+2. In each file all index words it holds are looked up, for the templates whose
+   mandatory words it holds. Every occurrence votes for a template and an offset (place
+   in the file less place in the template). Offsets on which different words agree are
+   alignments.
 3. At an alignment the template's mandatory key phrases must stand word by word; the
    share of the template's words that stand there is the alignment's score.
 
@@ -59,7 +60,7 @@ TEMPLATES: list[Template] = [
              ("all rights reserved",)),
 ]
 INDEX_WORDS = 6  # of a template
-FILE_WORDS = 8  # looked up for a file
+FILE_WORDS = 8  # looked up for a file, in oracle_sql() alone: the scan looks up all
 AGREE = 2  # different words that make an alignment
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -113,16 +114,27 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases:
     df_of = {r["w"]: r["n"] for r in docs.select(F.explode(held).alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
     rank = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (df_of.get(w, 0), w)))}
     index = {t.label: sorted(set(t.text.split()), key=rank.get)[:INDEX_WORDS] for t in templates}
-    indexed = sorted({w for own in index.values() for w in own}, key=rank.get)  # highest IDF first
     entries = [F.struct(F.lit(w).alias("word"), F.lit(k).alias("template"), F.lit(i).alias("place"))
                for k, t in enumerate(templates) for i, w in enumerate(t.text.split()) if w in index[t.label]]
     postings = spark.range(1).select(F.explode(F.array(*entries)).alias("p")).select("p.*")  # INDEX_WORDS for a template
 
+    # Templates that can stand in a file: AGREE of the index words and all mandatory words
+    # are there. A word is looked up if it is one of theirs. The lambdas' arguments are
+    # computed once; a pushed-down filter would repeat a column for each of its uses.
+    def can_stand(present: Column) -> Column:
+        known = [F.when((F.size(F.array_intersect(_strings(index[t.label]), present)) >= AGREE) & (F.size(F.array_except(
+            _strings(sorted({w for p in t.phrases for w in p.split()})), present)) == 0), F.lit(k)) for k, t in enumerate(templates)]
+        return F.filter(F.array(*known), lambda x: x.isNotNull())
+
     words, n = F.col("words"), F.size("words").cast("bigint")
-    own = docs.withColumn("top", F.slice(F.array_intersect(_strings(indexed), words), 1, FILE_WORDS)) \
-        .where(F.size("top") >= AGREE)
-    hits = own.select("key", "top", F.posexplode("words").alias("at", "word")).where(F.array_contains("top", F.col("word")))
-    votes = hits.join(F.broadcast(postings), "word").select(
+    possible = F.element_at(F.transform(F.array(F.array_intersect(_strings(vocabulary), words)), can_stand), 1)
+    own = docs.withColumn("possible", possible).where(F.size("possible") > 0)
+    looked_up = F.flatten(F.transform("possible", lambda k: F.element_at(
+        F.array(*(_strings(index[t.label]) for t in templates)), k + 1)))
+    own = own.select("key", "words", "possible", F.array_distinct(looked_up).alias("top"))
+    hits = own.select("key", "possible", "top", F.posexplode("words").alias("at", "word")) \
+        .where(F.array_contains("top", F.col("word"))).select("key", "possible", "at", "word")
+    votes = hits.join(F.broadcast(postings), "word").where(F.array_contains("possible", F.col("template"))).select(
         "key", "template", (F.col("at") - F.col("place")).alias("offset"), "word")
     aligned = votes.where("offset >= 0").groupBy("key", "template", "offset").agg(F.countDistinct("word").alias("agree")) \
         .where(F.col("agree") >= AGREE)

@@ -224,6 +224,23 @@ def test_license_scan(spark, odd_docs, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
+def test_license_scan_of_many_notices(spark):
+    """All ten notices in one file, whatever else it holds and however frequent their words are."""
+    texts = {t.label: t.text for t in license_scan.TEMPLATES}
+    every = " stone ".join(texts.values())
+    rare = " ".join(sorted({w for t in texts.values() for w in t.split()} - {"all", "rights", "reserved", "cc", "by", "sa"}))
+    rows = [(1, every), (2, every + " " + every), (3, " ".join(["grain"] * 50) + " " + " moss ".join(reversed(texts.values()))),
+            (4, rare + " moss " + texts["cc-by-sa"] + " moss " + texts["proprietary"]), (5, "all rights stone reserved no part of this")]
+    rows += [(100 + k, "licensed under cc by sa 4 0") for k in range(40)] + [(200, "licensed under cc reserved rights all"), (201, "moss")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+    for k in (1, 2, 3):
+        assert got[k]["labels"] == ",".join(sorted(texts)) and got[k]["score"] == 1.0
+    assert got[4]["labels"] == "cc-by-sa,proprietary" and got[4]["n_base"] == 0 and got[4]["score"] == 1.0
+    assert all(got[100 + k]["labels"] == "cc-by-sa" for k in range(40))
+    assert all(got[k]["labels"] == "" and got[k]["score"] == 0.0 for k in (5, 200, 201))
+
+
 # ---- fixity audit
 
 
