@@ -7,8 +7,8 @@ come from licence templates:
    their places in the template.
 2. In each file all index words it holds are looked up, for the templates whose
    mandatory words it holds. Every occurrence votes for a template and an offset (place
-   in the file less place in the template). Offsets on which different words agree are
-   alignments.
+   in the file less place in the template; negative where a template begins before the
+   file does). Offsets on which different words agree are alignments.
 3. At an alignment the template's mandatory key phrases must stand word by word; the
    share of the template's words that stand there is the alignment's score.
 
@@ -136,14 +136,15 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases:
         .where(F.array_contains("top", F.col("word"))).select("key", "possible", "at", "word")
     votes = hits.join(F.broadcast(postings), "word").where(F.array_contains("possible", F.col("template"))).select(
         "key", "template", (F.col("at") - F.col("place")).alias("offset"), "word")
-    aligned = votes.where("offset >= 0").groupBy("key", "template", "offset").agg(F.countDistinct("word").alias("agree")) \
+    aligned = votes.groupBy("key", "template", "offset").agg(F.countDistinct("word").alias("agree")) \
         .where(F.col("agree") >= AGREE)
     near = aligned.groupBy("key").agg(F.collect_set(F.struct("template", "offset")).alias("spots"))
 
-    # Phrases and shares at the alignments, word by word.
+    # Phrases and shares at the alignments, word by word. A template can begin before the
+    # file does; its words there are missing.
     def stands(spot: Column, text: str, shift: int = 0) -> Column:
-        wanted = text.split()
-        return F.slice(words, spot["offset"] + shift + 1, F.lit(len(wanted))) == _strings(wanted)
+        at = spot["offset"] + shift
+        return (at >= 0) & (F.slice(words, F.greatest(at, F.lit(0)) + 1, F.lit(len(text.split()))) == _strings(text.split()))
 
     def share(spot: Column) -> Column:
         score = F.lit(0.0)
@@ -152,9 +153,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases:
             ok = F.lit(True)
             for p in t.phrases:
                 ok &= stands(spot, p, _find(wanted, p.split()))
-            same = F.aggregate(F.zip_with(F.slice(words, spot["offset"] + 1, F.lit(len(wanted))), _strings(wanted),
-                                          lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))),
-                               F.lit(0), lambda s, x: s + x)
+            same = F.size(F.filter(_strings(wanted), lambda w, i: F.coalesce(F.get(words, spot["offset"] + i) == w, F.lit(False))))
             score = F.when(spot["template"] == k, F.when(ok, same / len(wanted)).otherwise(0.0)).otherwise(score)
         return score
 

@@ -241,6 +241,18 @@ def test_license_scan_of_many_notices(spark):
     assert all(got[k]["labels"] == "" and got[k]["score"] == 0.0 for k in (5, 200, 201))
 
 
+def test_license_scan_of_files_that_begin_within_a_notice(spark):
+    rows = [(1, "Licensed under the GNU General Public License version 3"), (2, "Subject to the terms of the Mozilla Public License"),
+            (3, "Licensed under a Creative Commons Attribution 4.0 International License"), (4, "public license version 3"),
+            (5, "terms of the Mozilla Public License")]
+    rows += [(10 + k, "stone moss " + t) for k, t in rows]
+    rows += [(100 + k, "this work source code form is v 2 0 4") for k in range(40)]  # frequent words, as in a corpus
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for k, label, n, size in ((1, "gpl-3", 9, 12), (2, "mpl-2", 9, 17), (3, "cc-by", 10, 13), (4, "", 0, 1), (5, "mpl-2", 6, 17)):
+        assert (got[k]["labels"], got[k]["score"]) == (label, n / size)
+        assert (got[10 + k]["labels"], got[10 + k]["score"]) == (label, n / size)
+
+
 # ---- fixity audit
 
 
