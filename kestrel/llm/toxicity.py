@@ -168,8 +168,9 @@ def _scorer(model: OrdinalModel):
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           per_class: int = 4000, sample_bytes: int = 48 << 20) -> OrdinalModel:
-    """Fit on at most ``per_class`` clean and ``per_class`` toxic labelled documents, of
-    each class as many as hold half of ``sample_bytes`` of text, but at least one.
+    """Fit on at most ``per_class`` clean and ``per_class`` toxic labelled documents: of
+    each class those that fit into half of ``sample_bytes`` of text in hash order, where
+    one that does not fit is skipped and uses up nothing; the smallest if none fits.
 
     Rows whose toxic label or id is null are left out; an id labelled more than once
     takes its worst labels; a null quality counts as good. The sample's ids (at most
@@ -187,13 +188,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sizes = texts.join(F.broadcast(asked), F.col("doc_id") == F.col("label_id")) \
         .groupBy("label_id", "grade").agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("rows")) \
         .orderBy(F.xxhash64("label_id"), "label_id").collect()
-    total, chosen, count = {True: 0, False: 0}, [], 0
+    total, chosen = {True: 0, False: 0}, []
     for r in sizes:
         toxic = r["grade"] > 0
-        if total[toxic] + (r["size"] or 0) <= sample_bytes // 2 or toxic not in {g > 0 for _, g in chosen}:
-            chosen.append((r["label_id"], r["grade"]))
-            count += r["rows"]
-        total[toxic] += r["size"] or 0
+        if total[toxic] + (r["size"] or 0) <= sample_bytes // 2:
+            chosen.append(r)
+            total[toxic] += r["size"] or 0
+    for toxic in (True, False):  # documents that are all too large: the smallest
+        own = [r for r in sizes if (r["grade"] > 0) == toxic]
+        if own and not any((r["grade"] > 0) == toxic for r in chosen):
+            chosen.append(min(own, key=lambda r: (r["size"], r["label_id"])))
+    count = sum(r["rows"] for r in chosen)
+    chosen = [(r["label_id"], r["grade"]) for r in chosen]
     seen = sorted({g for _, g in chosen})
     if len(seen) < 2:
         return OrdinalModel()

@@ -152,6 +152,19 @@ def test_toxicity_without_labels(spark, odd_docs, no_docs):
     assert toxicity.score(no_docs, model).count() == 0
 
 
+@pytest.mark.parametrize("toxic", [0, 1])
+def test_toxicity_with_an_oversized_document_first(spark, toxic):
+    """A labelled document larger than its class's share of the sample comes first in hash order."""
+    rng = random.Random(11)
+    text = lambda bad, n: " ".join([rng.choice(["ri", "la", "och"]) + str(rng.randrange(90)) for _ in range(n)] + ["grobnix"] * bad)
+    order = [r[0] for r in spark.range(300).orderBy(F.xxhash64("id"), "id").collect()]
+    marks = [(i, 1, toxic if i == order[0] else int(i % 5 == 0)) for i in range(300)]
+    docs = spark.createDataFrame([(i, text(t, 30 if i != order[0] else 9000)) for i, _, t in marks], "doc_id bigint, text string")
+    model = toxicity.train(docs, spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int"), sample_bytes=60_000)
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.score(docs, model).collect()}
+    assert got == {i: bool(t) for i, _, t in marks}
+
+
 # ---- URL filter
 
 URLS = [None, "", "no scheme", "http://", "http://a.com", "http://a.com/", "HTTP://A.Com/X?y=/z#w", "http://com/x",
