@@ -79,9 +79,16 @@ STRENGTH = 0.05
 LEAST_DOCS = 4
 
 
+def _noise(weight: np.ndarray, excess: np.ndarray) -> float:
+    """What 1 / sqrt(rows) is for rows of equal weight: the noise of a weighted mean slope
+    in units of the spread."""
+    return float(np.sqrt((weight ** 2 * excess ** 2).sum() / (weight * excess ** 2).sum() / weight.sum()))
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH, rounds: int = 500,
-        least_docs: int = LEAST_DOCS) -> OrdinalModel:
-    """Cumulative-link fit by proximal AdaGrad over all rows (feature ids per row).
+        least_docs: int = LEAST_DOCS, weight: np.ndarray | None = None) -> OrdinalModel:
+    """Cumulative-link fit by proximal AdaGrad over all rows (feature ids per row, and
+    the number of rows that each stands for).
 
     The L1 penalty is strength / sqrt(rows), as the noise of a feature's mean slope
     shrinks. Only features whose slope at weight 0 exceeds it enter the fit. With fewer than two different grades there is nothing to learn: no thresholds,
@@ -92,14 +99,16 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH,
     n = np.array([len(r) for r in rows])
     flat = np.concatenate(rows).astype(np.int64) if n.sum() else np.empty(0, np.int64)
     row_of = np.repeat(np.arange(len(rows)), n)
-    penalty = strength / np.sqrt(len(rows))
+    weight = np.ones(len(rows)) if weight is None else weight
+    share_of = weight / weight.sum()
     step_of = np.searchsorted(seen, grades)  # grade's place among those seen
-    excess = step_of - step_of.mean()
+    excess = step_of - share_of @ step_of
+    penalty = strength * _noise(weight, excess)
     held = np.bincount(flat, minlength=1 << BITS) >= least_docs
-    held &= np.bincount(flat, weights=excess[row_of], minlength=1 << BITS) / len(rows) > penalty
+    held &= np.bincount(flat, weights=(share_of * excess)[row_of], minlength=1 << BITS) > penalty
     cuts = len(seen) - 1
     above = step_of[:, None] > np.arange(cuts)[None, :]
-    share = np.clip(above.mean(axis=0), 1e-3, 1 - 1e-3)
+    share = np.clip(share_of @ above, 1e-3, 1 - 1e-3)
     t = -np.log(share / (1 - share))
     # The penalty selects features and shrinks their weights; a second fit of those
     # selected, under a fiftieth of it, takes the shrinkage back.
@@ -108,15 +117,16 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH,
         place = np.zeros(1 << BITS, dtype=np.int64)
         place[used] = np.arange(len(used))
         keep = held[flat]
-        w, t = _descend(place[flat[keep]], row_of[keep], len(used), step_of, t, weaker * penalty, rounds, speed)
+        w, t = _descend(place[flat[keep]], row_of[keep], len(used), step_of, share_of, t, weaker * penalty, rounds, speed)
         held[used[w == 0]] = False
     found = np.flatnonzero(w)
     return OrdinalModel({int(used[k]): float(w[k]) for k in found}, t.tolist(), seen[1:])
 
 
-def _descend(col: np.ndarray, row: np.ndarray, features: int, step_of: np.ndarray, t: np.ndarray, penalty: float,
-             rounds: int, speed: float) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by proximal AdaGrad; (row, col): the features' places."""
+def _descend(col: np.ndarray, row: np.ndarray, features: int, step_of: np.ndarray, share_of: np.ndarray, t: np.ndarray,
+             penalty: float, rounds: int, speed: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds by proximal AdaGrad; (row, col): the features' places;
+    share_of: each row's share of the loss."""
     m, cuts = len(step_of), len(t)
     w, w_sum, t_sum = np.zeros(features), np.full(features, 1e-8), np.full(cuts, 1e-8)
     for _ in range(rounds):
@@ -128,11 +138,11 @@ def _descend(col: np.ndarray, row: np.ndarray, features: int, step_of: np.ndarra
         p = np.maximum(padded[at, step_of] - padded[at, step_of + 1], 1e-9)
         slope = padded * (1 - padded)
         d_upper, d_lower = slope[at, step_of] / p, slope[at, step_of + 1] / p  # of s_{j-1} and s_j
-        g = -(d_upper - d_lower) / m  # gradient of the mean loss by x
+        g = -(d_upper - d_lower) * share_of  # gradient of the mean loss by x
         grad_w = np.bincount(col, weights=g[row], minlength=features)
         grad_t = np.zeros(cuts)
-        np.add.at(grad_t, step_of[step_of > 0] - 1, d_upper[step_of > 0] / m)
-        np.add.at(grad_t, step_of[step_of < cuts], -d_lower[step_of < cuts] / m)
+        np.add.at(grad_t, step_of[step_of > 0] - 1, (d_upper * share_of)[step_of > 0])
+        np.add.at(grad_t, step_of[step_of < cuts], -(d_lower * share_of)[step_of < cuts])
         w_sum += grad_w ** 2
         t_sum += grad_t ** 2
         rate = speed / np.sqrt(w_sum)
@@ -171,6 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most ``per_class`` clean and ``per_class`` toxic labelled documents: of
     each class those that fit into half of ``sample_bytes`` of text in hash order, where
     one that does not fit is skipped and uses up nothing; the smallest if none fits.
+    A row of the sample weighs as many labelled rows as it stands for, so that the share
+    of each grade is that of the whole table, whatever its size.
 
     Rows whose toxic label or id is null are left out; an id labelled more than once
     takes its worst labels; a null quality counts as good. The sample's ids (at most
@@ -180,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.max("toxic").alias("toxic"), F.min(F.coalesce("quality", F.lit(1))).alias("quality")).select(
         F.col("doc_id").alias("label_id"),
         F.when(F.col("toxic") > 0, 1 + (F.col("quality") <= 0).cast("int")).otherwise(0).alias("grade"))
+    graded_rows = {r["grade"]: r["n"] for r in graded.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64("label_id")
     parts = [graded.where(c).orderBy(order, "label_id").limit(per_class)
              for c in (F.col("grade") > 0, F.col("grade") == 0)]
@@ -198,7 +211,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         own = [r for r in sizes if (r["grade"] > 0) == toxic]
         if own and not any((r["grade"] > 0) == toxic for r in chosen):
             chosen.append(min(own, key=lambda r: (r["size"], r["label_id"])))
-    count = sum(r["rows"] for r in chosen)
+    # Rows of the whole table that a row of the sample stands for, by grade: what
+    # per_class and sample_bytes have left out of its class counts in the fit.
+    stands_for = {}
+    for g in {r["grade"] for r in chosen}:
+        own = sum(n for k, n in graded_rows.items() if (k > 0) == (g > 0))
+        found, taken = (sum(r["rows"] for r in x if r["grade"] == g) for x in (sizes, chosen))
+        stands_for[g] = own / min(own, per_class) * found / taken
+    rows_of = [r["rows"] for r in chosen]
     chosen = [(r["label_id"], r["grade"]) for r in chosen]
     seen = sorted({g for _, g in chosen})
     if len(seen) < 2:
@@ -207,21 +227,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("doc_id", "grade", "text")
 
     # Of the features, only those that the fit can use come to the driver.
-    mean = sum(seen.index(g) for _, g in chosen) / len(chosen)
+    mass = np.array([n * stands_for[g] for n, (_, g) in zip(rows_of, chosen, strict=True)])
+    steps = np.array([seen.index(g) for _, g in chosen])
+    mean = float(mass @ steps / mass.sum())
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, excess = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS)
         for ids, grade in _features(batches):
             n[ids] += 1
-            excess[ids] += seen.index(grade) - mean
+            excess[ids] += (seen.index(grade) - mean) * stands_for[grade]
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at]), pa.array(excess[at])],
                                          names=["feature", "n", "excess"])
 
-    least = 0.9 * STRENGTH / np.sqrt(count)  # fit() applies the exact bound
+    each = np.repeat([stands_for[g] for _, g in chosen], rows_of)
+    least = 0.9 * STRENGTH * _noise(each, np.repeat(steps - mean, rows_of))  # fit() applies the exact bound
     useful = common.map_arrow(rows, counted, "feature int, n bigint, excess double").groupBy("feature").agg(
         F.sum("n").alias("n"), F.sum("excess").alias("excess")).where((F.col("n") >= LEAST_DOCS) & (
-            F.col("excess") / count > least))
+            F.col("excess") / float(mass.sum()) > float(least)))
     keep = np.zeros(1 << BITS, dtype=bool)
     keep[[r["feature"] for r in useful.select("feature").collect()]] = True
     bits = docs.sparkSession.sparkContext.broadcast(np.packbits(keep))
@@ -238,7 +261,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         held = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade", "f")),
                                                     strict=True)]
         held.sort()  # the same model whatever order the rows came in
-        m = fit([np.array(f, dtype=np.int64) for _, _, f in held], np.array([g for _, g, _ in held]))
+        m = fit([np.array(f, dtype=np.int64) for _, _, f in held], np.array([g for _, g, _ in held]),
+                weight=np.array([stands_for[g] for _, g, _ in held]))
         yield pa.RecordBatch.from_arrays(
             [pa.array([list(m.weights)], pa.list_(pa.int32())), pa.array([list(m.weights.values())], pa.list_(pa.float64())),
              pa.array([m.thresholds], pa.list_(pa.float64())), pa.array([m.levels], pa.list_(pa.int32()))],

@@ -165,6 +165,26 @@ def test_toxicity_with_an_oversized_document_first(spark, toxic):
     assert got == {i: bool(t) for i, _, t in marks}
 
 
+def test_toxicity_with_and_without_the_cap_of_a_class(spark):
+    """Clean documents hold a word of toxic ones now and then; eleven of twelve are clean."""
+    rng = random.Random(13)
+    rows, marks = [], []
+    for i in range(2400):
+        toxic = int(i % 12 == 0)
+        words = [rng.choice(["ri", "la", "och"]) + str(rng.randrange(90)) for _ in range(25)]
+        words += ["grobnix"] * (rng.random() < (0.7 if toxic else 0.05))
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, toxic))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    asked = spark.createDataFrame([(0, "la1 la2 moss"), (1, "la1 grobnix moss"), (2, "")], "doc_id bigint, text string")
+    whole, capped = ({r["doc_id"]: r for r in toxicity.score(asked, toxicity.train(docs, labels, per_class=n)).collect()}
+                     for n in (4000, 200))
+    for k in whole:
+        assert abs(whole[k]["severity"] - capped[k]["severity"]) < 0.15
+        assert whole[k]["toxic"] == capped[k]["toxic"]
+
+
 # ---- URL filter
 
 URLS = [None, "", "no scheme", "http://", "http://a.com", "http://a.com/", "HTTP://A.Com/X?y=/z#w", "http://com/x",
