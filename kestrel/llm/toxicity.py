@@ -5,9 +5,10 @@ text's sparse features x, one weight vector w serves all thresholds:
 P(grade > k) = sigmoid(w.x - t_k), t_0 < t_1. Expected severity is the sum of these
 probabilities; a document is rejected when P(grade > 0) reaches the cut.
 
-Features are the hashed words and 5-character pieces of a text, each counted once
-however often it occurs, so that neither length nor repetition adds up to
-toxicity. Weights are not negative, so no amount of clean text around it makes up
+Features are the words and 5-character pieces of a text, each counted once however
+often it occurs, so that repetition does not add up to toxicity. The model holds them
+as strings: only the selected words and pieces themselves count, never others of the
+same hash, however many different words a text has. Weights are not negative, so no amount of clean text around it makes up
 for a toxic passage; an L1 penalty sets those of pieces that tell nothing to 0.
 
 The model is fitted on a bounded sample of labelled rows (``per_class`` for each
@@ -18,9 +19,10 @@ every row and whole texts.
 from __future__ import annotations
 
 import re
-import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +33,18 @@ from kestrel.llm import common
 from kestrel.llm.common import cut
 
 _WORD = re.compile(r"[^\W_]+")
-BITS = 20
 
 
-def word_features(word: str, n: int = 5) -> set[int]:
-    """Hashed features of one lower-case word: itself and its n-character pieces
-    with the word's borders marked."""
-    mask = (1 << BITS) - 1
+def word_features(word: str, n: int = 5) -> set[str]:
+    """Features of one lower-case word: itself and its n-character pieces with the
+    word's borders marked."""
     shown = f"<{word}>"
-    grams = {shown, *(shown[i:i + n] for i in range(len(shown) - n + 1))}
-    return {zlib.crc32(g.encode("utf-8", "replace")) & mask for g in grams}
+    return {shown, *(shown[i:i + n] for i in range(len(shown) - n + 1))}
+
+
+def _hash(feature: str) -> int:
+    """64 bits; counts features, which are then told apart by their strings."""
+    return int.from_bytes(blake2b(feature.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 def words(text: str | None) -> set[str]:
@@ -52,7 +56,7 @@ class OrdinalModel:
     """Shared weights (features whose weight is not 0) and ordered thresholds.
     ``levels`` are the grades above each threshold."""
 
-    weights: dict[int, float] = field(default_factory=dict)
+    weights: dict[str, float] = field(default_factory=dict)
     thresholds: list[float] = field(default_factory=list)
     levels: list[int] = field(default_factory=list)
 
@@ -86,9 +90,9 @@ def _noise(weight: np.ndarray, excess: np.ndarray) -> float:
 
 
 def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH, rounds: int = 500,
-        least_docs: int = LEAST_DOCS, weight: np.ndarray | None = None) -> OrdinalModel:
-    """Cumulative-link fit by proximal AdaGrad over all rows (feature ids per row, and
-    the number of rows that each stands for).
+        least_docs: int = LEAST_DOCS, weight: np.ndarray | None = None, names: list[str] | None = None) -> OrdinalModel:
+    """Cumulative-link fit by proximal AdaGrad over all rows (places of the features in
+    ``names`` per row, and the number of rows that each stands for).
 
     The L1 penalty is strength / sqrt(rows), as the noise of a feature's mean slope
     shrinks. Only features whose slope at weight 0 exceeds it enter the fit. With fewer than two different grades there is nothing to learn: no thresholds,
@@ -100,12 +104,14 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH,
     flat = np.concatenate(rows).astype(np.int64) if n.sum() else np.empty(0, np.int64)
     row_of = np.repeat(np.arange(len(rows)), n)
     weight = np.ones(len(rows)) if weight is None else weight
+    names = [str(k) for k in range(int(flat.max(initial=-1)) + 1)] if names is None else names
+    width = len(names)
     share_of = weight / weight.sum()
     step_of = np.searchsorted(seen, grades)  # grade's place among those seen
     excess = step_of - share_of @ step_of
     penalty = strength * _noise(weight, excess)
-    held = np.bincount(flat, minlength=1 << BITS) >= least_docs
-    held &= np.bincount(flat, weights=(share_of * excess)[row_of], minlength=1 << BITS) > penalty
+    held = np.bincount(flat, minlength=width) >= least_docs
+    held &= np.bincount(flat, weights=(share_of * excess)[row_of], minlength=width) > penalty
     cuts = len(seen) - 1
     above = step_of[:, None] > np.arange(cuts)[None, :]
     share = np.clip(share_of @ above, 1e-3, 1 - 1e-3)
@@ -114,13 +120,13 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH,
     # selected, under a fiftieth of it, takes the shrinkage back.
     for weaker, speed in ((1.0, 0.3), (0.02, 1.0)):
         used = np.flatnonzero(held)
-        place = np.zeros(1 << BITS, dtype=np.int64)
+        place = np.zeros(width, dtype=np.int64)
         place[used] = np.arange(len(used))
         keep = held[flat]
         w, t = _descend(place[flat[keep]], row_of[keep], len(used), step_of, share_of, t, weaker * penalty, rounds, speed)
         held[used[w == 0]] = False
     found = np.flatnonzero(w)
-    return OrdinalModel({int(used[k]): float(w[k]) for k in found}, t.tolist(), seen[1:])
+    return OrdinalModel({names[used[k]]: float(w[k]) for k in found}, t.tolist(), seen[1:])
 
 
 def _descend(col: np.ndarray, row: np.ndarray, features: int, step_of: np.ndarray, share_of: np.ndarray, t: np.ndarray,
@@ -155,7 +161,7 @@ def _descend(col: np.ndarray, row: np.ndarray, features: int, step_of: np.ndarra
 def _scorer(model: OrdinalModel):
     """Function from texts to w.x; what a word adds is looked up once per word."""
     weight = model.weights
-    known: dict[str, tuple[int, ...]] = {}
+    known: dict[str, tuple[str, ...]] = {}
 
     def index(texts: list[str | None]) -> np.ndarray:
         nonlocal known
@@ -163,7 +169,7 @@ def _scorer(model: OrdinalModel):
             known = {}
         out = np.zeros(len(texts))
         for k, text in enumerate(texts):
-            found: set[int] = set()
+            found: set[str] = set()
             for word in words(text):
                 own = known.get(word)
                 if own is None:
@@ -232,66 +238,87 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     mean = float(mass @ steps / mass.sum())
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, excess = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS)
-        for ids, grade in _features(batches):
-            n[ids] += 1
-            excess[ids] += (seen.index(grade) - mean) * stands_for[grade]
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at]), pa.array(excess[at])],
-                                         names=["feature", "n", "excess"])
+        for batch in batches:
+            for part in common.pieces(batch, 4 << 20):
+                held = list(_features([part]))
+                ids, where = np.unique(np.concatenate([f for f, _ in held]), return_inverse=True)
+                slope = np.repeat([(seen.index(g) - mean) * stands_for[g] for _, g in held], [len(f) for f, _ in held])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(np.bincount(where, minlength=len(ids)), pa.int64()),
+                     pa.array(np.bincount(where, weights=slope, minlength=len(ids)), pa.float64())],
+                    names=["feature", "n", "excess"])
 
     each = np.repeat([stands_for[g] for _, g in chosen], rows_of)
     least = 0.9 * STRENGTH * _noise(each, np.repeat(steps - mean, rows_of))  # fit() applies the exact bound
-    useful = common.map_arrow(rows, counted, "feature int, n bigint, excess double").groupBy("feature").agg(
+    useful = common.map_arrow(rows, counted, "feature bigint, n bigint, excess double").groupBy("feature").agg(
         F.sum("n").alias("n"), F.sum("excess").alias("excess")).where((F.col("n") >= LEAST_DOCS) & (
             F.col("excess") / float(mass.sum()) > float(least)))
-    keep = np.zeros(1 << BITS, dtype=bool)
-    keep[[r["feature"] for r in useful.select("feature").collect()]] = True
-    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(keep))
+    keep = np.sort(np.array([r["feature"] for r in useful.select("feature").collect()], dtype=np.int64))
+    kept = docs.sparkSession.sparkContext.broadcast(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(bits.value).astype(bool)
+        """Places in ``keep`` for each row; last, in a row without grade, the strings found
+        and their places."""
+        wanted = kept.value
+        names: dict[int, str] = {}
+        place_of = {h: k for k, h in enumerate(wanted.tolist())}
         for batch in batches:
             for part in common.pieces(batch, 4 << 20):
-                found = [ids[wanted[ids]] for ids, _ in _features([part])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("grade"),
-                                                  pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "grade", "f"])
+                found = [np.flatnonzero(np.isin(wanted, ids, assume_unique=True)) for ids, _ in _features([part], place_of, names)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("grade"), pa.array(found, pa.list_(pa.int32())),
+                                                  pa.nulls(len(found), pa.list_(pa.string()))], names=["doc_id", "grade", "f", "names"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([list(names)], pa.list_(pa.int32())),
+             pa.array([list(names.values())], pa.list_(pa.string()))], names=["doc_id", "grade", "f", "names"])
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade", "f")),
-                                                    strict=True)]
+        names, held = [""] * len(kept.value), []
+        for batch in batches:
+            for doc, grade, f, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade", "f", "names")), strict=True):
+                if grade is None:
+                    for k, name in zip(f, own, strict=True):
+                        names[k] = min(name, names[k] or name)
+                else:
+                    held.append((doc, grade, f))
         held.sort()  # the same model whatever order the rows came in
         m = fit([np.array(f, dtype=np.int64) for _, _, f in held], np.array([g for _, g, _ in held]),
-                weight=np.array([stands_for[g] for _, g, _ in held]))
+                weight=np.array([stands_for[g] for _, g, _ in held]), names=names)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([list(m.weights)], pa.list_(pa.int32())), pa.array([list(m.weights.values())], pa.list_(pa.float64())),
+            [pa.array([list(m.weights)], pa.list_(pa.string())), pa.array([list(m.weights.values())], pa.list_(pa.float64())),
              pa.array([m.thresholds], pa.list_(pa.float64())), pa.array([m.levels], pa.list_(pa.int32()))],
-            names=["ids", "weights", "thresholds", "levels"])
+            names=["names", "weights", "thresholds", "levels"])
 
     # One task fits the bounded sample; the driver gets the weights that are not 0.
-    got = common.map_arrow(common.map_arrow(rows, run, "doc_id bigint, grade int, f array<int>").repartition(1), fitted,
-                           "ids array<int>, weights array<double>, thresholds array<double>, levels array<int>").collect()
+    got = common.map_arrow(common.map_arrow(
+        rows, run, "doc_id bigint, grade int, f array<int>, names array<string>").repartition(1), fitted,
+                           "names array<string>, weights array<double>, thresholds array<double>, levels array<int>").collect()
     if not got or not got[0]["thresholds"]:
         return OrdinalModel()
     m = got[0]
-    return OrdinalModel(dict(zip(m["ids"], m["weights"], strict=True)), list(m["thresholds"]), list(m["levels"]))
+    return OrdinalModel(dict(zip(m["names"], m["weights"], strict=True)), list(m["thresholds"]), list(m["levels"]))
 
 
-def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
-    """(sorted feature ids, grade) of each row (text, grade)."""
+def _features(batches: Iterable[pa.RecordBatch], place_of: dict[int, int] | None = None,
+              names: dict[int, str] | None = None) -> Iterator[tuple[np.ndarray, int]]:
+    """(sorted feature hashes, grade) of each row (text, grade). With ``place_of`` only
+    hashes in it count, and ``names`` gets the strings by place."""
     known: dict[str, tuple[int, ...]] = {}
     for batch in batches:
         for part in common.pieces(batch, 4 << 20):
-            if len(known) > 200_000:
-                known = {}
             for text, grade in zip(part.column("text").to_pylist(), part.column("grade").to_pylist(), strict=True):
-                found: set[int] = set()
+                if len(known) > 200_000:
+                    known = {}
+                found = array("q")
                 for word in words(text):
                     own = known.get(word)
                     if own is None:
-                        own = known[word] = tuple(word_features(word))
-                    found.update(own)
-                yield np.array(sorted(found), dtype=np.int64), grade
+                        hashed = {_hash(f): f for f in word_features(word)}
+                        if place_of is not None:
+                            hashed = {h: f for h, f in hashed.items() if h in place_of}
+                            names.update((place_of[h], f) for h, f in hashed.items())
+                        own = known[word] = tuple(hashed)
+                    found.extend(own)
+                yield np.unique(np.frombuffer(found, dtype=np.int64)), grade
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text",

@@ -185,6 +185,22 @@ def test_toxicity_with_and_without_the_cap_of_a_class(spark):
         assert whole[k]["toxic"] == capped[k]["toxic"]
 
 
+def test_toxicity_of_clean_documents_with_many_words(spark):
+    """Words that the model has never seen add nothing, however many there are."""
+    rng = random.Random(17)
+    bad = [f"grob{chr(97 + k % 26)}{chr(97 + k // 26)}nix" for k in range(60)]
+    rows = [(i, " ".join([f"ri{rng.randrange(90)}" for _ in range(20)] + ([rng.choice(bad) for _ in range(6)] if i % 2 else [])))
+            for i in range(800)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id bigint, text string"),
+                           spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id bigint, quality int, toxic int"))
+    many = ["".join(rng.choice("0123456789") for _ in range(9)) for _ in range(60_000)]
+    asked = spark.createDataFrame([(0, "moss"), (1, " ".join(many[:20_000])), (2, " ".join(many)), (3, " ".join([*many, *bad[:6]]))],
+                                  "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(asked, model).collect()}
+    assert got[1]["severity"] == got[2]["severity"] == got[0]["severity"] and not got[2]["toxic"]
+    assert got[3]["toxic"]
+
+
 # ---- URL filter
 
 URLS = [None, "", "no scheme", "http://", "http://a.com", "http://a.com/", "HTTP://A.Com/X?y=/z#w", "http://com/x",
