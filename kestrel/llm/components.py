@@ -1,45 +1,83 @@
-"""Connected components of an edge list, distributed."""
+"""Connected components of an edge list, distributed.
+
+A round is one shuffle and one check. Every task reduces the edges it holds to a
+forest of stars before they are sent, and again after all edges of a larger end
+have met; then each star's centre is replaced by its own centre. Copies of a hot
+node meet at most once per task, and rounds get few because a task contracts
+whole paths at once.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut, shuffled
+from kestrel.llm.common import cut, map_arrow, shuffle_partitions, shuffled
 
+HELD = 1 << 20  # edges a task holds before it reduces them
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component) for every end of the edges (a, b) that lead to another node; the
-    component is the smallest id reachable.
-
-    Each round points every node at its smallest neighbour, follows the pointers to
-    their ends by halving the way, and contracts the edges: those inside a contracted
-    node are gone, so rounds get smaller fast. Minima are combined before the shuffle,
-    and each round is cut off from its lineage."""
-    edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    labels = None
-    while labels is None or not edges.isEmpty():
-        # Every node is the larger end of some edge, or the smallest of its neighbourhood.
-        roots = cut(edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("up")))
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, smallest node of its component) for all other nodes of the edges (a, b)."""
+    node, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = place[:len(a)], place[len(a):]
+    root = np.arange(len(node))
+    while True:
+        rx, ry = root[x], root[y]
+        apart = np.flatnonzero(rx != ry)
+        if not len(apart):
+            break
+        x, y, rx, ry = x[apart], y[apart], rx[apart], ry[apart]
+        np.minimum.at(root, np.maximum(rx, ry), np.minimum(rx, ry))
         while True:
-            step = cut(_followed(_followed(roots)))
-            roots = step.select("id", "up")
-            if step.where("moved").isEmpty():
+            further = root[root]
+            if (further == root).all():
                 break
-        if labels is None:
-            every = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-            labels = every.select("id", F.col("id").alias("component"))
-        to = shuffled(roots.select(F.col("id").alias("component"), "up"))
-        labels = cut(labels.join(to, "component", "left").select("id", F.coalesce("up", "component").alias("component")))
-        left, right = (shuffled(roots.select(F.col("id").alias(c), F.col("up").alias(f"up_{c}"))) for c in ("a", "b"))
-        moved = edges.join(right, "b").join(left, "a", "left") \
-            .select(F.coalesce("up_a", "a").alias("x"), F.col("up_b").alias("y"))
-        edges = cut(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    return labels
-
-
-def _followed(roots: DataFrame) -> DataFrame:
-    """Pointers (id, up) followed one step further; moved: whether there was a step."""
-    further = shuffled(roots.select(F.col("id").alias("up"), F.col("up").alias("further")))
-    return roots.select("id", "up").join(further, "up", "left").select(
-        "id", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved"))
+            root = further
+    leaf = np.flatnonzero(root != np.arange(len(node)))
+    return node[leaf], node[root[leaf]]
+
+
+def _reduced(edges: DataFrame) -> DataFrame:
+    """The edges (a, b) as stars (v, u), u < v, task by task, in bounded memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+
+        def joined() -> tuple[np.ndarray, np.ndarray]:
+            return stars(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+        for batch in batches:
+            held.append(tuple(batch.column(c).to_numpy() for c in ("a", "b")))
+            n += batch.num_rows
+            if n >= HELD:
+                held = [joined()]
+                n = len(held[0][0])
+                if n >= HELD // 2:  # more nodes than are held at once: pass the forest on
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], names=["v", "u"])
+                    held, n = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in joined()], names=["v", "u"])
+
+    return map_arrow(edges, run, "v bigint, u bigint")
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(id, component) for every end of the edges (a, b) that lead to another node; the
+    component is the smallest id reachable. Edges with a null end lead nowhere."""
+    parts = shuffle_partitions(edges.sparkSession)
+    now = edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")).where("a <> b")
+    while True:
+        met = _reduced(_reduced(now).repartition(parts, "v").select(F.col("v").alias("a"), F.col("u").alias("b")))
+        above = shuffled(met.groupBy(F.col("v").alias("u")).agg(F.min("u").alias("up")))
+        pointers = cut(met.join(above, "u", "left").select("v", F.coalesce("up", "u").alias("u"), F.col("up").isNotNull().alias("moved")))
+        ends = pointers.groupBy("v").agg(F.min("u").alias("u"), F.max("u").alias("other"), F.max("moved").alias("moved"))
+        if ends.where("moved OR u <> other").isEmpty():
+            roots = pointers.select("u").distinct().select(F.col("u").alias("id"), F.col("u").alias("component"))
+            return ends.select(F.col("v").alias("id"), F.col("u").alias("component")).union(roots)
+        now = pointers.select(F.col("v").alias("a"), F.col("u").alias("b"))
