@@ -63,23 +63,32 @@ def word_places(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first, np.flatnonzero(stops) + 1 - first, np.searchsorted(ends, first, side="right")
 
 
+_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
+_kept: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """1, s, s**2, ... and their inverses; those for usual shards are kept."""
+    if len(_kept.get("up", ())) < n:
+        up, down = np.full(n, _STEP), np.full(n, _BACK)
+        up[0] = down[0] = 1
+        np.cumprod(up, out=up)
+        np.cumprod(down, out=down)
+        if n > 1 << 22:
+            return up, down
+        _kept["up"], _kept["down"] = up, down
+    return _kept["up"][:n], _kept["down"][:n]
+
+
 def word_codes(data: np.ndarray, first: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
     """The dictionary's code of each word: a fingerprint of its bytes in order."""
     if not len(first):
         return np.empty(0, np.uint64)
-    powers = np.empty(len(data), dtype=np.uint64)
-    powers[0] = 1
-    powers[1:] = _STEP
-    powers = np.cumprod(powers)
-    table = mix(_BYTE + np.uint64(seed))
-    total = np.concatenate([[np.uint64(0)], np.cumsum(table[data] * powers)])
-    sums = total[first + size] - total[first]
-    back = np.uint64(pow(int(_STEP), -1, 1 << 64))
-    inverse = np.empty(len(data), dtype=np.uint64)
-    inverse[0] = 1
-    inverse[1:] = back
-    inverse = np.cumprod(inverse)
-    return mix(sums * inverse[first] + size.astype(np.uint64))
+    up, down = _powers(len(data))
+    total = np.empty(len(data) + 1, dtype=np.uint64)
+    total[0] = 0
+    np.cumsum(mix(_BYTE + np.uint64(seed))[data] * up, out=total[1:])
+    return mix((total[first + size] - total[first]) * down[first] + size.astype(np.uint64))
 
 
 def shard(data: np.ndarray, ends: np.ndarray, seed: int = 0) -> Shard:
@@ -97,26 +106,29 @@ def _texts(df: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFram
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", seed: int = 0, held: int = 1 << 19) -> DataFrame:
+def dictionary(docs: DataFrame, text_col: str = "text", seed: int = 0, seen_bits: int = 20) -> DataFrame:
     """code, word, last: every code of the corpus with its smallest and largest word (one
-    word, unless the code is shared). Tasks combine equal words before they are sent."""
+    word, unless the code is shared). A task remembers about 2 ** seen_bits words it has
+    sent, with a second fingerprint, so that it sends most words once; a word whose code it
+    knows from another word is always sent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.empty(0, np.uint64)
+        seen, seen_check = (np.zeros(1 << seen_bits, dtype=np.uint64) for _ in range(2))
         for batch in batches:
             for part in common.pieces(batch, 1 << 20):
                 data, ends = common.text_bytes(part.column("text"))
                 first, size, _ = word_places(data, ends)
                 codes, check = (word_codes(data, first, size, x) for x in (seed, seed + (1 << 32)))
-                code, at, back = np.unique(codes, return_index=True, return_inverse=True)
-                # Words of one code that differ here all go out; other tasks' words meet in the grouping.
-                odd = np.flatnonzero(check != check[at][back])
-                fresh = np.union1d(at[~np.isin(code, known, assume_unique=True)], odd)
-                raw = data.tobytes()
-                words = [raw[f:f + n] for f, n in zip(first[fresh].tolist(), size[fresh].tolist(), strict=True)]
-                known = np.union1d(known, code) if len(known) < held else code
-                yield pa.RecordBatch.from_arrays([pa.array(codes[fresh].view(np.int64)), pa.array(words, pa.binary())],
-                                                 names=["code", "word"])
+                slot = (codes & np.uint64(len(seen) - 1)).astype(np.int64)
+                new = np.flatnonzero((seen[slot] != codes) | (seen_check[slot] != check))
+                # Of equal words here one is sent.
+                order = new[np.lexsort((check[new], codes[new]))]
+                fresh = order[np.concatenate([[True], (codes[order][1:] != codes[order][:-1]) | (check[order][1:] != check[order][:-1])])[:len(order)]]
+                seen[slot[fresh]], seen_check[slot[fresh]] = codes[fresh], check[fresh]
+                stop = np.concatenate([[0], np.cumsum(size[fresh])])
+                letters = data[np.repeat(first[fresh] - stop[:-1], size[fresh]) + np.arange(stop[-1])]
+                words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(fresh), [None, pa.py_buffer(stop.astype(np.int64)), pa.py_buffer(letters)])
+                yield pa.RecordBatch.from_arrays([pa.array(codes[fresh].view(np.int64)), words.cast(pa.binary())], names=["code", "word"])
 
     rows = common.map_arrow(docs.select(F.col(text_col).cast("string").alias("text")), run, "code bigint, word binary")
     return rows.groupBy("code").agg(F.min("word").alias("word"), F.max("word").alias("last"))
