@@ -21,7 +21,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the ordinal model rejects go. Null and empty texts stay."""
+    """Documents the ordinal model rejects go. Null and empty texts stay, and all others
+    that hold none of the model's words and pieces."""
     return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -33,9 +34,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that occur earlier are cut out of the texts and n_chars follows. A
     document of which nothing is left goes; untouched ones stay as they are."""
-    return suffix_dedup.remove_repeats(docs).where("size(removed) = 0 OR text <> ''") \
-        .withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                    .otherwise(F.col("n_chars"))).drop("removed")
+    out = suffix_dedup.remove_repeats(docs)
+    cut = F.size(F.col(f"`{out.columns[-1]}`")) > 0  # the last column, whatever the documents' own are called
+    return out.where(~cut | (F.col("text") != "")) \
+        .withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))) \
+        .select(*(f"`{c}`" for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -107,6 +107,24 @@ def json_text(c, key: str) -> Column:
     return F.get_json_object(col(c), f"$.{key}")
 
 
+def parsed_json(c) -> Column:
+    """A JSON text as VARIANT, for several reads of one payload; NULL if it is no JSON. Of a key
+    named twice the last value counts, as in Postgres (``spark.sql.variant.allowDuplicateKeys``)."""
+    return F.try_parse_json(col(c))
+
+
+def variant_has_key(c, key: str) -> Column:
+    """``json_has_key`` of a parsed payload: a JSON null is a VARIANT, not a NULL. NULL if there is no payload."""
+    return F.when(col(c).isNotNull(), F.variant_get(col(c), f"$.{key}", "variant").isNotNull())
+
+
+def variant_text(c, key: str) -> Column:
+    """``json_text`` of a parsed payload: strings as they are, anything else as JSON."""
+    value = F.try_variant_get(col(c), f"$.{key}", "variant")
+    kind = F.schema_of_variant(value)
+    return F.when(kind == "STRING", F.try_variant_get(col(c), f"$.{key}", "string")).when(kind != "VOID", F.to_json(value))
+
+
 def nullif_blank(c) -> Column:
     return F.nullif(F.trim(col(c)), F.lit(""))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,6 +35,10 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .withColumnRenamed("count", "n_records"))
 
 
+ROW_KINDS = ("not_null", "accepted_values")
+KEY_KINDS = ("unique", "unique_combination")
+
+
 @dataclass(frozen=True)
 class Check:
     model: str
@@ -59,13 +63,15 @@ class Check:
         raise ValueError(self.kind)
 
 
+def bad_rows(ck: Check) -> Column:
+    """Aggregate: rows that fail a row check."""
+    col = F.col(ck.columns[0])
+    return F.count_if(col.isNull() if ck.kind == "not_null" else col.isNotNull() & ~col.isin(*ck.values))
+
+
 def _row_checks(model: str, df: DataFrame, cks: Sequence[Check]) -> DataFrame:
     """Every not_null / accepted_values check of a model in one aggregation pass."""
-    counts = []
-    for i, ck in enumerate(cks):
-        col = F.col(ck.columns[0])
-        bad = col.isNull() if ck.kind == "not_null" else (col.isNotNull() & ~col.isin(*ck.values))
-        counts.append(F.count_if(bad).alias(f"c{i}"))
+    counts = [bad_rows(ck).alias(f"c{i}") for i, ck in enumerate(cks)]
     return _stack(model, df.agg(*counts), cks)
 
 
@@ -97,12 +103,13 @@ def _stack(model: str, one_row: DataFrame, cks: Sequence[Check]) -> DataFrame:
         F.lit(model).alias("model"), "test", "severity", "failures")
 
 
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+def union_all(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
     """UNION ALL of many frames as a balanced tree: each union call re-checks
-    the plan it builds, so a left-deep chain of n unions costs O(n^2)."""
+    the plan it builds, so a left-deep chain of n unions costs O(n^2).
+    ``allow_missing``: a column that a frame lacks is NULL there."""
     frames = list(frames)
     while len(frames) > 1:
-        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+        frames = [frames[i].unionByName(frames[i + 1], allow_missing) if i + 1 < len(frames) else frames[i]
                   for i in range(0, len(frames), 2)]
     return frames[0]
 
@@ -118,8 +125,8 @@ def run_checks(frames: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
     for ck in checks:
         by_model.setdefault(ck.model, []).append(ck)
     for model, cks in by_model.items():
-        row = [ck for ck in cks if ck.kind in ("not_null", "accepted_values")]
-        key = [ck for ck in cks if ck.kind in ("unique", "unique_combination")]
+        row = [ck for ck in cks if ck.kind in ROW_KINDS]
+        key = [ck for ck in cks if ck.kind in KEY_KINDS]
         if row:
             parts.append(_row_checks(model, frames[model], row))
         if key:

@@ -1,7 +1,7 @@
 """Canonical output types, so a result can be compared across engines.
 
 Every published column is cast to one of: BIGINT, DOUBLE, VARCHAR, BOOLEAN,
-DATE, TIMESTAMP (wall clock, no zone) or DECIMAL(38, s) with s <= 6.
+DATE, TIMESTAMP (wall clock, no zone) or DECIMAL(38, s) with s <= 8.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ _SPARK_NAME = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOO
 
 def canonical_type(dt: T.DataType) -> str:
     if isinstance(dt, T.DecimalType):
-        return f"DECIMAL(38,{min(dt.scale, 6)})"
+        return f"DECIMAL(38,{min(dt.scale, 8)})"
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return "BIGINT"
     if isinstance(dt, (T.FloatType, T.DoubleType)):

@@ -19,7 +19,8 @@ from ..functions import (
     json_has_key, json_text, nullif_blank, pct, seconds_between, trunc_date, utc_wall_to_eastern, within_days,
 )
 from ..operators import (
-    asof_both, earliest_by, first_in_group_rows, full_outer_merge, latest_by, left_join_spread_nulls,
+    asof_both, asof_scan, distinct_bitmaps, earliest_by, first_in_group_rows, full_outer_merge, latest_by,
+    left_join_spread_nulls, merged_counts,
 )
 from ..operators.quality import accepted_values, not_null, unique, unique_combination
 from .registry import Build
@@ -223,6 +224,20 @@ def jn07_asof_forward(b: Build):
     return r.where(c("has_after")).select("user_id", "first_error_event_id")
 
 
+@generic("jn07_asof_scan", "JN-07", "WIN-03")
+def jn07_asof_scan(b: Build):
+    """For every purchase: the user's last view strictly before it and first error
+    at or after it. A user has many purchases; both logs are scanned in cells of time."""
+    ev = raw(b, "events").select("event_id", "event_type", "user_id", "ts")
+    bought = ev.where(c("event_type") == "purchase").select("event_id", "user_id", "ts")
+    seen = asof_scan(bought, ev.where(c("event_type") == "view"), "user_id", "ts", "ts", "event_id", before_value="event_id",
+                     after_value="event_id", before_alias="last_view_event_id", after_alias="__next_view") \
+        .select("event_id", "user_id", "ts", "last_view_event_id")
+    found = asof_scan(seen, ev.where(c("event_type") == "error"), "user_id", "ts", "ts", "event_id", before_value="event_id",
+                      after_value="event_id", before_alias="__last_error", after_alias="first_error_event_id")
+    return found.select("event_id", "user_id", "last_view_event_id", "first_error_event_id")
+
+
 @generic("jn08_existence_flag", "JN-08")
 def jn08_existence_flag(b: Build):
     urgent = raw(b, "orders").where(c("o_orderpriority") == "1-URGENT").groupBy(c("o_custkey").alias("__ck")) \
@@ -258,6 +273,16 @@ def agg03_count_distinct(b: Build):
                                     F.count_distinct(F.to_date("ts")).alias("n_active_days"))
 
 
+@generic("agg03_distinct_bitmaps", "AGG-03", "AGG-07")
+def agg03_distinct_bitmaps(b: Build):
+    """Ordering customers per month, all, of finished and of urgent orders: daily bitmaps by
+    status and priority, merged. The months' counts are not sums of the days'."""
+    o = raw(b, "orders")
+    daily = distinct_bitmaps(o, [F.to_date("o_orderdate").alias("day"), "o_orderstatus", "o_orderpriority"], "o_custkey")
+    return merged_counts(daily, [F.trunc("day", "month").alias("month_start")], {
+        "n_customers": None, "n_finished": c("o_orderstatus") == "F", "n_urgent": c("o_orderpriority") == "1-URGENT"})
+
+
 @generic("agg04_sum_flags", "AGG-04")
 def agg04_sum_flags(b: Build):
     li = raw(b, "lineitem")

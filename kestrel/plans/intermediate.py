@@ -214,9 +214,63 @@ def int_business_application_milestones(b: Build):
     )
 
 
+def _policy_and_ledger(b: Build):
+    """The policy and the revenue rollup (INT-01c, INT-01e) in one aggregation: the
+    policies' context is read once, not once for each.
+
+    The ledger is reduced to one row per policy and day (in the map tasks, so one
+    policy with a third of the ledger is a few hundred rows), then to one row per policy
+    that holds its days. Joined to the context both sides are unique on the policy; each
+    of its days becomes a row, the first of which (or the only one) carries the policy's own measures."""
+    amt = "signed_amount"
+    per_day = b.ref("stg_policy_transaction").where(~c("is_partial_installment")).groupBy("policy_id", "created_date").agg(
+        _sum_if(c("is_gross_revenue"), amt).alias("gross"), _sum_if(c("is_core_revenue"), amt).alias("core"),
+        _sum_if(c("is_cancellation"), amt).alias("canc"), _min_if(c("is_cancellation"), "created_at").alias("canc_at"))
+    ledger = per_day.groupBy("policy_id").agg(
+        F.collect_list(F.struct(c("created_date").alias("booked"), "gross", "core", "canc", "canc_at")).alias("days"))
+    rows = _policy_context(b).join(ledger, "policy_id", "left").select(
+        "business_id", "created_at", "created_date", "premium", "is_active", "is_new_business", "carrier_group",
+        "business_created_date", F.posexplode_outer("days").alias("pos", "day")).select("*", "day.*")
+    own = F.coalesce(c("pos") == 0, F.lit(True))  # once for each policy
+    nb = c("is_new_business")
+    bound_d30 = own & (days_between("created_date", "business_created_date") <= 30)
+    days = days_between("booked", "business_created_date")
+    chubb, gaig = c("carrier_group") == "Chubb", c("carrier_group") == "GAIG"
+    return rows.groupBy("business_id").agg(
+        F.min("created_at").alias("first_policy_created_at"),
+        F.count_if(own).alias("policy_count"),
+        _sum_if(own, "premium").alias("total_premium"),
+        F.count_if(own & c("is_active")).alias("active_policy_count"),
+        _sum_if(own & c("is_active"), "premium").alias("active_premium"),
+        _min_if(nb, "created_at").alias("first_nb_policy_created_at"),
+        F.count_if(own & nb).alias("nb_policy_count"),
+        _sum_if(own & nb, "premium").alias("nb_premium"),
+        _sum_if(bound_d30 & nb, "premium").alias("d30_nb_premium"),
+        _min_if(nb & chubb, "created_at").alias("first_nb_chubb_policy_created_at"),
+        _sum_if(own & nb & chubb, "premium").alias("nb_chubb_premium"),
+        _sum_if(bound_d30 & nb & chubb, "premium").alias("d30_nb_chubb_premium"),
+        _min_if(nb & gaig, "created_at").alias("first_nb_gaig_policy_created_at"),
+        _sum_if(own & nb & gaig, "premium").alias("nb_gaig_premium"),
+        _sum_if(bound_d30 & nb & gaig, "premium").alias("d30_nb_gaig_premium"),
+        _sum_if(nb & (days <= 7), "gross").alias("d7_nb_gross_revenue"),
+        _sum_if(nb & (days <= 14), "gross").alias("d14_nb_gross_revenue"),
+        _sum_if(nb & (days <= 30), "gross").alias("d30_nb_gross_revenue"),
+        _sum_if(nb, "gross").alias("nb_gross_revenue"),
+        _sum_if(nb & chubb & (days <= 30), "gross").alias("d30_nb_chubb_gross_revenue"),
+        _sum_if(nb & gaig & (days <= 30), "gross").alias("d30_nb_gaig_gross_revenue"),
+        _sum_if(nb & (days <= 30), "core").alias("d30_nb_core_revenue"),
+        _sum_if(nb, "core").alias("nb_core_revenue"),
+        _sum_if(nb, "canc").alias("nb_cancellation_amount"),
+        _min_if(nb, "canc_at").alias("first_nb_cancellation_booked_at"),
+        F.sum("core").alias("total_core_revenue"),
+    )
+
+
+# Models of their own; int_business reads the two about policies as one (_policy_and_ledger).
 _ROLLUPS = ("int_business_lead", "int_business_warm_transfer", "int_business_policy_rollup",
             "int_business_quote_rollup", "int_business_revenue_rollup", "int_business_close_status",
             "int_business_opportunity_milestones", "int_business_application_milestones")
+_OF_POLICIES = ("int_business_policy_rollup", "int_business_revenue_rollup")
 
 # days_to_<name> = <milestone>::date - business created date
 _DAYS_TO = (
@@ -257,8 +311,8 @@ def int_business_joined(b: Build):
     reuse one hash partitioning; dimensions are broadcast when proven small;
     the owner join runs last, with NULL owner ids spread across buckets."""
     j = b.ref("stg_business")
-    for name in _ROLLUPS:
-        j = j.join(b.ref(name), "business_id", "left")
+    for rollup in [*(b.ref(n) for n in _ROLLUPS if n not in _OF_POLICIES), _policy_and_ledger(b)]:
+        j = j.join(rollup, "business_id", "left")
     lic = b.dim("stg_license", c("license_name").alias("__lic"), "partner_name", "partner_profile_type",
                 "transfer_type")
     emp = b.dim("stg_employee_contact_information", c("employee_name").alias("__emp"),
@@ -333,18 +387,22 @@ def int_business(b: Build):
 # INT-02 .. INT-07
 # ---------------------------------------------------------------------------
 
+def _campaigns(b: Build):
+    """One row per campaign with its partner's name: the fact then joins once, on the campaign."""
+    cmp = b.dim("stg_campaign_status", c("campaign_status_id").alias("__cmp"), c("partner_id").alias("__cmp_partner"),
+                c("campaign_name").alias("__cmp_name"), c("is_high_revenue_campaign").alias("__cmp_hr"))
+    par = b.dim("stg_partner", c("partner_id").alias("__par"), c("partner_name").alias("__partner_name"))
+    return cmp.join(par, c("__cmp_partner") == par["__par"], "left").drop("__cmp_partner", "__par")
+
+
 @model("int_warm_transfer", "intermediate",
        deps=("stg_warm_transfer", "stg_campaign_status", "stg_partner", "int_business"))
 def int_warm_transfer(b: Build):
     """INT-02: one row per ping with partner / campaign resolved and the created
-    business's outcome. Half the pings have no business: their NULL keys are
-    spread over buckets instead of landing in one task."""
-    w = b.ref("stg_warm_transfer")
-    cmp = b.dim("stg_campaign_status", c("campaign_status_id").alias("__cmp"), c("partner_id").alias("__cmp_partner"),
-                c("campaign_name").alias("__cmp_name"), c("is_high_revenue_campaign").alias("__cmp_hr"))
-    par = b.dim("stg_partner", c("partner_id").alias("__par"), c("partner_name").alias("__cp_name"))
-    w = (w.join(cmp, w["campaign_status_id"] == cmp["__cmp"], "left")
-          .join(par, c("__cmp_partner") == par["__par"], "left"))
+    business's outcome. Half the pings have no business, most no campaign: their NULL
+    keys are spread over buckets instead of landing in one task."""
+    w = left_join_spread_nulls(b.ref("stg_warm_transfer"), _campaigns(b), "campaign_status_id", "__cmp",
+                               spread_by=["warm_transfer_id"]).withColumnRenamed("__partner_name", "__cp_name")
     biz = b.ref("int_business").select(
         c("business_id").alias("__bid"), c("partner_name").alias("__b_partner"),
         c("warm_transfer_campaign").alias("__b_campaign"),
@@ -449,14 +507,23 @@ def snapshot_instant(created_at) -> Column:
     return start + F.expr(f"INTERVAL '{months}' MONTH") + F.expr(f"INTERVAL '{hours}:{minutes:02d}' HOUR TO MINUTE")
 
 
+def _snapshot_cell(ts) -> Column:
+    """Months between the snapshot instants, numbered: a snapshot is the first instant of its cell."""
+    _, hours, minutes = S.SNAPSHOT_OFFSET
+    shifted = ts - F.expr(f"INTERVAL '{hours}:{minutes:02d}' HOUR TO MINUTE")
+    return F.year(shifted) * 12 + F.month(shifted)
+
+
 @model("int_ae_sales_snapshot_status", "intermediate", deps=("stg_policy", "stg_policy_status_change"))
 def int_ae_sales_snapshot_status(b: Build):
-    """INT-05a..c: each policy's snapshot instant and the status log around it."""
+    """INT-05a..c: each policy's snapshot instant and the status log around it. All
+    snapshots lie on a monthly grid, so the log is reduced to one row per policy and
+    month in the map tasks before it meets the policies."""
     pol = b.ref("stg_policy").select("policy_id", snapshot_instant(c("created_at")).alias("snapshot_at"))
     changes = b.ref("stg_policy_status_change")
     looked = asof_both(pol, changes, "policy_id", "snapshot_at", "changed_at", "change_log_id",
                        before_value="new_status", after_value="old_status",
-                       before_alias="last_new_status_before", after_alias="first_old_status_after")
+                       before_alias="last_new_status_before", after_alias="first_old_status_after", grid=_snapshot_cell)
     return looked.select("policy_id", "last_new_status_before", "first_old_status_after")
 
 
@@ -521,12 +588,8 @@ def int_ringba_call(b: Build):
     """INT-06: one row per inbound call with partner, campaign and outcome."""
     calls = b.ref("stg_ringba_call")
     ev = b.ref("int_ringba_call_events").withColumnRenamed("ringba_call_id", "__eid")
-    cmp = b.dim("stg_campaign_status", c("campaign_status_id").alias("__cmp"), c("partner_id").alias("__cmp_partner"),
-                c("campaign_name").alias("__cmp_name"), c("is_high_revenue_campaign").alias("__cmp_hr"))
-    par = b.dim("stg_partner", c("partner_id").alias("__par"), c("partner_name").alias("__p_name"))
-    j = (calls.join(ev, calls["ringba_call_id"] == ev["__eid"], "left")
-              .join(cmp, calls["campaign_status_id"] == cmp["__cmp"], "left")
-              .join(par, c("__cmp_partner") == par["__par"], "left"))
+    j = left_join_spread_nulls(calls.join(ev, calls["ringba_call_id"] == ev["__eid"], "left"), _campaigns(b),
+                               "campaign_status_id", "__cmp", spread_by=["ringba_call_id"])
     routed = F.coalesce(c("is_routed"), F.lit(False))
     answered = F.coalesce(c("is_answered"), F.lit(False))
     return j.select(
@@ -534,7 +597,7 @@ def int_ringba_call(b: Build):
         trunc_date("call_date", "week").alias("call_week"),
         trunc_date("call_date", "month").alias("call_month"),
         F.when(c("campaign_status_id").isNull(), F.lit("Other"))
-        .otherwise(F.coalesce(c("__p_name"), F.lit("Other"))).alias("partner_name"),
+        .otherwise(F.coalesce(c("__partner_name"), F.lit("Other"))).alias("partner_name"),
         F.coalesce(c("__cmp_name"), F.lit("(no campaign)")).alias("campaign_name"),
         F.coalesce(c("__cmp_hr"), F.lit(False)).alias("is_high_revenue_campaign"),
         F.coalesce(c("event_count"), F.lit(0)).alias("event_count"),

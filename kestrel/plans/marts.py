@@ -7,22 +7,24 @@ ordering when a caller wants it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..functions import MONEY, WIDE, flag, iso_weekday, pct, trunc_date
-from ..operators import first_in_group_rows, full_outer_merge, left_join_spread_nulls
+from ..operators import full_outer_merge
+from ..operators.quality import union_all
 from .registry import Build, model
 
 c = F.col
 
 
-def exact_mean(x: str | Column) -> Column:
-    """avg() of a decimal or integer column as a decimal quotient: the sum keeps the
-    column's own scale."""
+def exact_mean(x: str | Column, scale: int = 6) -> Column:
+    """avg() of a decimal or integer column, rounded HALF_UP to ``scale`` decimals. The sum
+    keeps ``scale`` decimals: pass the column's own if it has more than 6."""
     col = c(x) if isinstance(x, str) else x
-    return F.sum(col).cast("decimal(34,6)") / F.count(col).cast("decimal(20,0)")
+    mean = F.sum(col).cast(f"decimal(34,{scale})") / F.count(col).cast("decimal(20,0)")
+    return mean.cast(f"decimal(38,{scale})")
 
 
 def _count_if(cond: Column) -> Column:
@@ -207,43 +209,53 @@ def ae_performance_monthly(b: Build):
 
 
 @model("business_funnel_daily", "marts",
-       deps=("stg_business", "stg_application_submission", "stg_quote", "int_policy_revenue"))
+       deps=("stg_business", "stg_application_submission", "stg_quote", "stg_policy"))
 def business_funnel_daily(b: Build):
-    """MRT-02: daily funnel per business license (apps ⟗ quotes ⟗ policies)."""
-    bl = b.ref("stg_business").select(c("business_id").alias("__bid"),
-                                      F.coalesce(c("license_name"), F.lit("(no license)")).alias("__lic"))
-    no_lic = F.coalesce(c("__lic"), F.lit("(no license)"))
-    apps = left_join_spread_nulls(b.ref("stg_application_submission").where(~c("is_admin_quoting_tool")),
-                                  bl, "business_id", "__bid", ["application_submission_id"])
-    daily_apps = apps.groupBy(F.to_date("created_at").alias("activity_date"), no_lic.alias("license_name")).agg(
-        F.count_distinct("business_id").alias("businesses_with_app"),
-        F.count("application_submission_id").alias("applications_started"))
-    quotes = left_join_spread_nulls(b.ref("stg_quote"), bl, "business_id", "__bid", ["quote_id"])
-    daily_quotes = quotes.groupBy(F.to_date("created_at").alias("activity_date"), no_lic.alias("license_name")).agg(
-        F.count_distinct("business_id").alias("businesses_quoted"),
-        F.count("quote_id").alias("quotes_generated"))
-    # int_policy_revenue already carries the business's license with the same default
-    pol = b.ref("int_policy_revenue")
-    daily_policies = pol.groupBy(c("bound_date").alias("activity_date"), "license_name").agg(
-        F.count_distinct("business_id").alias("businesses_bound"),
-        F.count("policy_id").alias("policies_bound"),
-        F.sum("premium").alias("total_premium_bound"),
-        F.sum("estimated_commission").alias("total_estimated_commission"))
-    j = full_outer_merge([daily_apps, daily_quotes, daily_policies], ["activity_date", "license_name"])
-    # int_business has exactly one row per business (business left-joined to
-    # rollups unique per business), so signups per day come from the business
-    # table itself and this mart need not wait for int_business.
-    signups = b.ref("stg_business").groupBy(F.to_date("created_at").alias("__sday")).agg(
-        F.count("business_id").alias("businesses_created"))
-    z = lambda x: F.coalesce(c(x), F.lit(0))
-    j = j.select(
-        "activity_date", "license_name",
-        *[z(x).alias(x) for x in ("businesses_with_app", "applications_started", "businesses_quoted",
-                                  "quotes_generated", "businesses_bound", "policies_bound",
-                                  "total_premium_bound", "total_estimated_commission")],
-        pct(z("policies_bound"), c("quotes_generated")).alias("quote_to_bind_rate_pct"),
-    )
-    return j.join(signups, j["activity_date"] == signups["__sday"], "left").drop("__sday")
+    """MRT-02: daily funnel per business license (apps, quotes, bound policies, signups).
+
+    Each fact is first reduced to one row per business and day, so counting distinct
+    businesses later is counting rows. These rows and the business's own meet in one
+    aggregation by business, which hands every day the license: the business table is read
+    once and nothing is joined. Facts without a business (a NULL key) are reduced to one
+    row a day before they are sent."""
+    def per_day(df: DataFrame, kind: str, day: Column, *sums: Column) -> DataFrame:
+        return df.groupBy("business_id", day.alias("day")).agg(F.count(F.lit(1)).alias("n"), *sums).withColumn("kind", F.lit(kind))
+
+    apps = per_day(b.ref("stg_application_submission").where(~c("is_admin_quoting_tool")), "app", F.to_date("created_at"))
+    quotes = per_day(b.ref("stg_quote"), "quote", F.to_date("created_at"))
+    # the bound policies of int_policy_revenue, whose license is the business's too
+    bound = per_day(b.ref("stg_policy").where(c("status") == "BOUND"), "policy", trunc_date("created_at", "day"),
+                    F.sum("premium").alias("premium"), F.sum("estimated_commission").alias("commission"))
+    business = b.ref("stg_business").select("business_id", c("license_name"), F.to_date("created_at").alias("day"),
+                                            F.lit(1).cast("bigint").alias("n"), F.lit("signup").alias("kind"))
+    rows = union_all([apps, quotes, bound, business], allow_missing=True)
+    days = F.collect_list(F.struct("kind", "day", "n", "premium", "commission"))  # at most a few entries per calendar day
+    each = rows.groupBy("business_id").agg(F.max("license_name").alias("license_name"), days.alias("days")).select(
+        "business_id", F.coalesce("license_name", F.lit("(no license)")).alias("license"), F.inline("days"))
+    kind = c("kind")
+
+    def businesses(k: str) -> Column:
+        return F.count_if((kind == k) & c("business_id").isNotNull())
+
+    def total(k: str, x: str = "n") -> Column:
+        return F.coalesce(F.sum(F.when(kind == k, c(x))), F.lit(0))
+
+    # Signups have no license; rows without a day stay apart by kind, as full outer joins on the day keep them.
+    grouped = each.groupBy(c("day").alias("activity_date"), F.when(kind != "signup", c("license")).alias("license_name"),
+                           F.when(c("day").isNull(), kind).alias("__apart")).agg(
+        businesses("app").alias("businesses_with_app"), total("app").alias("applications_started"),
+        businesses("quote").alias("businesses_quoted"), total("quote").alias("quotes_generated"),
+        businesses("policy").alias("businesses_bound"), total("policy").alias("policies_bound"),
+        total("policy", "premium").alias("total_premium_bound"),
+        total("policy", "commission").alias("total_estimated_commission"),
+        F.sum(F.when(kind == "signup", c("n"))).alias("__signups"))
+    # One row per day and license by now: the day's signups go to each of them.
+    signups = F.max("__signups").over(Window.partitionBy("activity_date"))
+    return grouped.withColumn("businesses_created", F.when(c("activity_date").isNotNull(), signups)) \
+        .where(c("license_name").isNotNull()).select(
+        "activity_date", "license_name", "businesses_with_app", "applications_started", "businesses_quoted", "quotes_generated",
+        "businesses_bound", "policies_bound", "total_premium_bound", "total_estimated_commission",
+        pct(c("policies_bound"), c("quotes_generated")).alias("quote_to_bind_rate_pct"), "businesses_created")
 
 
 @model("nb_sales_daily", "marts",
@@ -253,40 +265,37 @@ def nb_sales_daily(b: Build):
     """MRT-04: daily net NB revenue and AE-sales policies per license and AE.
 
     The reference flags each business's first counted transaction of a month
-    with row_number(); here that first transaction becomes its own row with
-    first_in_month = 1 (picked by min_by, which combines map-side), so no
-    window sorts a hot business in one task. Rows are then pre-aggregated per
-    (business, day) before the business join, bounding what a hot business
-    sends through that shuffle."""
+    with row_number(). Here each (business, day) aggregate, which combines in the map tasks,
+    also keeps its first transaction; the month's first is the smallest of at most 31
+    of them. The ledger is read once, no window sorts a hot business in one task, and
+    what a hot business sends through the join is bounded by the calendar."""
     zero = F.lit(0).cast(MONEY)
-    none = F.lit(None).cast("string")
     rev = b.ref("int_nb_revenue_transaction")
-    revenue_rows = rev.select("business_id", c("booked_date").alias("activity_date"),
-                              c("signed_amount").alias("amount"), "revenue_bucket",
-                              F.lit(0).alias("first_in_month"), F.lit(0).alias("policy_count"),
-                              zero.alias("policy_premium"))
-    first = first_in_group_rows(
-        rev, ["business_id", F.trunc("booked_date", "month")],
-        [c("booked_at").isNull(), "booked_at", "policy_transaction_id"], ["business_id", "booked_date"])
-    first_rows = first.select("business_id", c("booked_date").alias("activity_date"), zero.alias("amount"),
-                              none.alias("revenue_bucket"), F.lit(1).alias("first_in_month"),
-                              F.lit(0).alias("policy_count"), zero.alias("policy_premium"))
+    revenue_rows = rev.select(
+        "business_id", c("booked_date").alias("activity_date"), c("signed_amount").alias("amount"), "revenue_bucket",
+        F.struct(c("booked_at").isNull().alias("undated"), "booked_at", "policy_transaction_id").alias("first"),
+        F.lit(0).alias("policy_count"), zero.alias("policy_premium"))
     pol = b.ref("int_ae_sales_policy").where(c("is_ae_sales_policy"))
     policy_rows = pol.select("business_id", c("policy_created_date").alias("activity_date"), zero.alias("amount"),
-                             none.alias("revenue_bucket"), F.lit(0).alias("first_in_month"),
                              F.lit(1).alias("policy_count"), c("premium").alias("policy_premium"))
-    rows = revenue_rows.unionByName(first_rows).unionByName(policy_rows)
+    rows = revenue_rows.unionByName(policy_rows, allowMissingColumns=True)
     bucket = c("revenue_bucket")
-    per_day = rows.groupBy("business_id", "activity_date").agg(
+    sums = ("amount", "commission", "tech_fee", "endorsement", "cancellation", "policy_count", "policy_premium")
+    each_day = rows.groupBy("business_id", "activity_date").agg(
         F.sum("amount").alias("amount"),
         F.sum(F.when(bucket == "COMMISSION", c("amount"))).alias("commission"),
         F.sum(F.when(bucket == "TECH_FEE", c("amount"))).alias("tech_fee"),
         F.sum(F.when(bucket == "ENDORSEMENT", c("amount"))).alias("endorsement"),
         F.sum(F.when(bucket == "CANCELLATION", c("amount"))).alias("cancellation"),
-        F.sum("first_in_month").alias("first_in_month"),
         F.sum("policy_count").alias("policy_count"),
         F.sum("policy_premium").alias("policy_premium"),
+        F.min("first").alias("first"),
     )
+    months = each_day.groupBy("business_id", F.trunc("activity_date", "month").alias("__month")).agg(
+        F.collect_list(F.struct("activity_date", *sums, "first")).alias("days"), F.min("first").alias("month_first"))
+    per_day = months.select("business_id", "month_first", F.inline("days")).select(
+        "business_id", "activity_date", *sums,
+        flag(c("first.policy_transaction_id") == c("month_first.policy_transaction_id")).alias("first_in_month"))
     biz = b.ref("stg_business").select(c("business_id").alias("__bid"), c("license_name").alias("__lic"),
                                        "sold_by", c("created_month").alias("__cm"))
     lic = b.dim("stg_license", c("license_name").alias("__l"), "partner_name", "transfer_type")

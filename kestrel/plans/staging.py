@@ -10,7 +10,7 @@ from .. import settings as S
 from ..functions import (
     PRODUCT,
     contains_any_upper, distinct_from, ilike_any, instant_to_eastern, instant_to_utc_wall,
-    json_has_key, json_text, money, nullif_blank, rate, to_date, trunc_date, utc_wall_to_eastern,
+    money, nullif_blank, parsed_json, rate, to_date, trunc_date, utc_wall_to_eastern, variant_has_key, variant_text,
 )
 from .registry import Build, model
 
@@ -475,8 +475,10 @@ def stg_warm_transfer(b: Build):
     category = category.otherwise(S.REJECTION_OTHER)
     vendor = F.lit(None).cast("string")
     for key, name in reversed(S.PAYLOAD_VENDOR_KEYS):
-        vendor = F.when(json_has_key("apiRequestJson", key), name).otherwise(vendor)
-    return b.source("WarmTransfer").select(
+        vendor = F.when(variant_has_key("payload", key), name).otherwise(vendor)
+    # The payload is parsed once a row, in a projection of its own that the reads below share.
+    parsed = b.source("WarmTransfer").withColumn("payload", parsed_json("apiRequestJson"))
+    return parsed.select(
         c("id").alias("warm_transfer_id"),
         c("businessId").alias("business_id"),
         c("campaignStatusId").alias("campaign_status_id"),
@@ -491,7 +493,7 @@ def stg_warm_transfer(b: Build):
         reason.alias("rejection_reason"),
         category.alias("rejection_reason_category"),
         vendor.alias("payload_vendor"),
-        nullif_blank(json_text("apiRequestJson", "awlCampaign")).alias("awl_campaign"),
+        nullif_blank(variant_text("payload", "awlCampaign")).alias("awl_campaign"),
         money("bidPrice").alias("bid_price"),
         c("createdAt").alias("created_at"),
         to_date("createdAt").alias("created_date"),

@@ -23,6 +23,8 @@ ENGINE_CONF = {
     # Split a skewed partition of a big join side even if the aggregation above
     # then needs its own (map-side combined) shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A JSON payload may name a key twice; the last value counts, as in Postgres.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Literal timestamps in shared SQL text are wall-clock values.
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
 }

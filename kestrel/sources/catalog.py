@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from .adapters import ADAPTERS, render
+from .schemas import declared
 
 SOURCE_NAMES = (
     "Business", "Lead", "Policy", "Quote", "ApplicationSubmission", "User", "Opportunity",
@@ -24,39 +25,44 @@ SOURCE_NAMES = (
 
 
 class Sources:
-    """Base: a name -> DataFrame lookup."""
+    """A name -> DataFrame lookup with the declared columns (``schemas``). Each table is
+    opened, and its schema checked, once per build; a subclass says how it is read."""
 
-    spark: SparkSession
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._tables: dict[str, DataFrame] = {}
 
-    def table(self, name: str) -> DataFrame:  # pragma: no cover - interface
+    def read(self, name: str) -> DataFrame:  # pragma: no cover - interface
         raise NotImplementedError
 
+    def table(self, name: str) -> DataFrame:
+        if name not in SOURCE_NAMES:
+            raise KeyError(f"no source {name!r}")
+        if name not in self._tables:
+            self._tables[name] = declared(name, self.read(name))
+        return self._tables[name]
+
 
 class ParquetSources(Sources):
     """Each source is a Parquet dataset at ``<root>/<Name>`` (optionally partitioned)."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self._tables: dict[str, DataFrame] = {}
+        super().__init__(spark)
+        self.root = root.rstrip("/")
 
-    def table(self, name: str) -> DataFrame:
-        # one file listing / footer read per table per build
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}")
-        return self._tables[name]
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
 
 
 class CatalogSources(Sources):
     """Each source is a metastore table ``<database>.<Name>``."""
 
     def __init__(self, spark: SparkSession, database: str):
-        self.spark, self.database = spark, database
-        self._tables: dict[str, DataFrame] = {}
+        super().__init__(spark)
+        self.database = database
 
-    def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = self.spark.table(f"`{self.database}`.`{name}`")
-        return self._tables[name]
+    def read(self, name: str) -> DataFrame:
+        return self.spark.table(f"`{self.database}`.`{name}`")
 
 
 class JdbcSources(Sources):
@@ -70,9 +76,9 @@ class JdbcSources(Sources):
 
     def __init__(self, spark: SparkSession, url: str, schema: str, properties: dict[str, str],
                  partitioning: dict[str, tuple[str, int, int, int]] | None = None):
-        self.spark, self.url, self.schema = spark, url, schema
+        super().__init__(spark)
+        self.url, self.schema = url, schema
         self.properties, self.partitioning = dict(properties), dict(partitioning or {})
-        self._tables: dict[str, DataFrame] = {}
 
     def options(self, name: str) -> dict[str, str]:
         opts = {"url": self.url, "dbtable": f'"{self.schema}"."{name}"', **self.properties}
@@ -82,19 +88,18 @@ class JdbcSources(Sources):
                         numPartitions=str(n))
         return opts
 
-    def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.format("jdbc").options(**self.options(name)).load()
-        return self._tables[name]
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**self.options(name)).load()
 
 
 class DataFrameSources(Sources):
     """Sources given directly as DataFrames (tests, or tables already loaded)."""
 
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame]):
-        self.spark, self.tables = spark, dict(tables)
+        super().__init__(spark)
+        self.tables = dict(tables)
 
-    def table(self, name: str) -> DataFrame:
+    def read(self, name: str) -> DataFrame:
         return self.tables[name]
 
 
@@ -102,20 +107,18 @@ class FixtureSources(Sources):
     """Sources derived from the driver's test tables (see ``adapters``)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        super().__init__(spark)
+        self.sf_dir = sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
-        self._built: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
             self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
-    def table(self, name: str) -> DataFrame:
-        if name not in self._built:
-            inputs, _ = ADAPTERS[name]
-            self._built[name] = self.spark.sql(render(name, "spark"), **{t: self.raw(t) for t in inputs})
-        return self._built[name]
+    def read(self, name: str) -> DataFrame:
+        inputs, _ = ADAPTERS[name]
+        return self.spark.sql(render(name, "spark"), **{t: self.raw(t) for t in inputs})
 
 
 # How production would lay out the application tables as files: the audit log

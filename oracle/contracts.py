@@ -12,7 +12,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                             ('renewals_bound', 'BIGINT'),
                             ('unique_businesses_bound', 'BIGINT'),
                             ('total_premium', 'DECIMAL(38,4)'),
-                            ('total_estimated_commission', 'DECIMAL(38,6)'),
+                            ('total_estimated_commission', 'DECIMAL(38,8)'),
                             ('avg_premium_per_policy', 'DECIMAL(38,6)'),
                             ('distinct_policy_types', 'BIGINT'),
                             ('contact_rate_pct', 'DECIMAL(38,2)'),
@@ -25,6 +25,10 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                     ('count_order', 'BIGINT'),
                     ('count_shipped', 'BIGINT')],
  'agg03_count_distinct': [('user_id', 'BIGINT'), ('n_event_types', 'BIGINT'), ('n_active_days', 'BIGINT')],
+ 'agg03_distinct_bitmaps': [('month_start', 'DATE'),
+                            ('n_customers', 'BIGINT'),
+                            ('n_finished', 'BIGINT'),
+                            ('n_urgent', 'BIGINT')],
  'agg04_sum_flags': [('l_partkey', 'BIGINT'), ('qty', 'DECIMAL(38,4)'), ('n_returned', 'BIGINT')],
  'agg05_avg': [('l_suppkey', 'BIGINT'), ('avg_qty', 'DECIMAL(38,6)'), ('avg_price', 'DECIMAL(38,6)')],
  'agg06_min_max': [('user_id', 'BIGINT'),
@@ -55,7 +59,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                            ('businesses_bound', 'BIGINT'),
                            ('policies_bound', 'BIGINT'),
                            ('total_premium_bound', 'DECIMAL(38,4)'),
-                           ('total_estimated_commission', 'DECIMAL(38,6)'),
+                           ('total_estimated_commission', 'DECIMAL(38,8)'),
                            ('quote_to_bind_rate_pct', 'DECIMAL(38,2)'),
                            ('businesses_created', 'BIGINT')],
  'dim_date': [('date_day', 'DATE'),
@@ -471,7 +475,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                         ('premium', 'DECIMAL(38,4)'),
                         ('commissionable_premium', 'DECIMAL(38,4)'),
                         ('commission_rate', 'DECIMAL(38,6)'),
-                        ('estimated_commission', 'DECIMAL(38,6)'),
+                        ('estimated_commission', 'DECIMAL(38,8)'),
                         ('mmr_fee', 'DECIMAL(38,4)'),
                         ('effective_date', 'DATE'),
                         ('expiry_date', 'DATE'),
@@ -594,6 +598,10 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                          ('first_order_at', 'TIMESTAMP')],
  'jn07_asof_backward': [('user_id', 'BIGINT'), ('last_view_event_id', 'BIGINT')],
  'jn07_asof_forward': [('user_id', 'BIGINT'), ('first_error_event_id', 'BIGINT')],
+ 'jn07_asof_scan': [('event_id', 'BIGINT'),
+                    ('user_id', 'BIGINT'),
+                    ('last_view_event_id', 'BIGINT'),
+                    ('first_error_event_id', 'BIGINT')],
  'jn08_existence_flag': [('c_custkey', 'BIGINT'), ('has_urgent_order', 'BOOLEAN')],
  'jn_left_null_keys': [('event_id', 'BIGINT'), ('k', 'BIGINT'), ('c_name', 'VARCHAR')],
  'nb_sales_daily': [('activity_date', 'DATE'),
@@ -631,7 +639,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                             ('unique_businesses', 'BIGINT'),
                             ('gross_written_premium', 'DECIMAL(38,4)'),
                             ('total_commissionable_premium', 'DECIMAL(38,4)'),
-                            ('total_estimated_commission', 'DECIMAL(38,6)'),
+                            ('total_estimated_commission', 'DECIMAL(38,8)'),
                             ('total_mmr_fees', 'DECIMAL(38,4)'),
                             ('avg_premium', 'DECIMAL(38,6)'),
                             ('avg_commission_rate', 'DECIMAL(38,6)'),
@@ -921,7 +929,7 @@ CONTRACTS: dict[str, list[tuple[str, str]]] = {'ae_performance_monthly': [('acti
                 ('premium', 'DECIMAL(38,4)'),
                 ('commissionable_premium', 'DECIMAL(38,4)'),
                 ('commission_rate', 'DECIMAL(38,6)'),
-                ('estimated_commission', 'DECIMAL(38,6)'),
+                ('estimated_commission', 'DECIMAL(38,8)'),
                 ('down_payment', 'DECIMAL(38,4)'),
                 ('monthly_payment', 'DECIMAL(38,4)'),
                 ('mmr_fee', 'DECIMAL(38,4)'),

@@ -98,6 +98,14 @@ SELECT DISTINCT ON (fp.user_id) fp.user_id, v.event_id AS last_view_event_id
 FROM fp JOIN events v ON v.user_id = fp.user_id AND v.event_type = 'view' AND v.ts < fp.fp
 ORDER BY fp.user_id, v.ts DESC, v.event_id DESC""",
 
+    "jn07_asof_scan": """
+WITH v AS (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'view' GROUP BY user_id, ts),
+e AS (SELECT user_id, ts, min(event_id) AS event_id FROM events WHERE event_type = 'error' GROUP BY user_id, ts),
+p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+pv AS (SELECT p.*, v.event_id AS last_view_event_id FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts > v.ts)
+SELECT pv.event_id, pv.user_id, last_view_event_id, e.event_id AS first_error_event_id
+FROM pv ASOF LEFT JOIN e ON pv.user_id = e.user_id AND pv.ts <= e.ts""",
+
     "jn07_asof_forward": f"""
 WITH fp AS ({_FP})
 SELECT DISTINCT ON (fp.user_id) fp.user_id, v.event_id AS first_error_event_id
@@ -123,6 +131,12 @@ FROM lineitem GROUP BY 1, 2""",
 SELECT user_id, count(DISTINCT event_type) AS n_event_types, count(DISTINCT CAST(ts AS DATE)) AS n_active_days
 FROM events GROUP BY 1""",
 
+    "agg03_distinct_bitmaps": """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, count(DISTINCT o_custkey) AS n_customers,
+  count(DISTINCT o_custkey) FILTER (o_orderstatus = 'F') AS n_finished,
+  count(DISTINCT o_custkey) FILTER (o_orderpriority = '1-URGENT') AS n_urgent
+FROM orders GROUP BY 1""",
+
     "agg04_sum_flags": f"""
 SELECT l_partkey, sum(CAST(l_quantity AS {D})) AS qty, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_returned
 FROM lineitem GROUP BY 1""",
