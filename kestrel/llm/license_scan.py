@@ -5,15 +5,15 @@ come from licence templates:
 
 1. Every template is indexed under its words of highest IDF in the corpus, with
    their places in the template.
-2. In each file all index words it holds are looked up, for the templates whose
-   mandatory words it holds. Every occurrence votes for a template and an offset (place
+2. Each file is split into words once. If it holds all mandatory words of a template, all
+   index words in it are looked up. Every occurrence votes for a template and an offset (place
    in the file less place in the template; negative where a template begins before the
    file does). Offsets on which different words agree are alignments.
 3. At an alignment the template's mandatory key phrases must stand word by word; the
    share of the template's words that stand there is the alignment's score.
 
-All of it is DataFrame expressions, joins and aggregates. Texts are never shuffled
-but for files with an alignment, whose words are joined to it.
+All of it is DataFrame expressions, joins and aggregates. Texts are never shuffled: what
+stays of a file are the places of its template words.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.common import cut
+
 #: Phrase and label.
 PHRASES: list[tuple[str, str]] = [
     ("under the mit license", "mit"),
@@ -60,7 +62,6 @@ TEMPLATES: list[Template] = [
              ("all rights reserved",)),
 ]
 INDEX_WORDS = 6  # of a template
-FILE_WORDS = 8  # looked up for a file, in oracle_sql() alone: the scan looks up all
 AGREE = 2  # different words that make an alignment
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -103,85 +104,75 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases:
     strings are empty. Null and empty texts have no words. Rows that agree in id and
     text get the same result, rows without an id are judged like others. Other columns
     are not read."""
-    spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .select("doc_id", F.xxhash64("doc_id", "text").alias("key"), words_of(F.col("text")).alias("words"))
+    words, n = F.col("words"), F.size("words").cast("bigint")
+    vocabulary = sorted({w for t in templates for w in t.text.split()})
+
+    # Texts are split into words once. Of each file stay: its number of words, its base
+    # places, the templates' words it holds and, if all mandatory words of a template
+    # are among them, where these words stand.
+    def places(present: Column) -> Column:
+        mandatory = [F.size(F.array_except(_strings(sorted({w for p in t.phrases for w in p.split()})), present)) == 0 for t in templates]
+        some = mandatory[0]
+        for m in mandatory[1:]:
+            some |= m
+        at = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(present, w), F.struct(i.alias("at"), w.alias("word")))),
+                      lambda x: x.isNotNull())
+        return F.struct(present.alias("present"), F.when(some, at).alias("hits"))
+
+    found = F.element_at(F.transform(F.array(F.array_intersect(_strings(vocabulary), words)), places), 1)
+    files = cut(docs.select("doc_id", "key", n.alias("n_words"), found.alias("found"),
+                            *(_places(words, n, p).alias(f"p{k}") for k, (p, _) in enumerate(phrases))))
 
     # Document frequencies of the templates' words: as many rows as these have words.
-    vocabulary = sorted({w for t in templates for w in t.text.split()})
-    n_docs = F.lit("")  # no word; every document has it once
-    held = F.concat(F.array(n_docs), F.array_intersect(_strings(vocabulary), F.col("words")))
-    df_of = {r["w"]: r["n"] for r in docs.select(F.explode(held).alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
+    df_of = {r["w"]: r["n"] for r in files.select(F.explode("found.present").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
     rank = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (df_of.get(w, 0), w)))}
     index = {t.label: sorted(set(t.text.split()), key=rank.get)[:INDEX_WORDS] for t in templates}
-    entries = [F.struct(F.lit(w).alias("word"), F.lit(k).alias("template"), F.lit(i).alias("place"))
-               for k, t in enumerate(templates) for i, w in enumerate(t.text.split()) if w in index[t.label]]
-    postings = spark.range(1).select(F.explode(F.array(*entries)).alias("p")).select("p.*")  # INDEX_WORDS for a template
-
-    # Templates that can stand in a file: AGREE of the index words and all mandatory words
-    # are there. A word is looked up if it is one of theirs. The lambdas' arguments are
-    # computed once; a pushed-down filter would repeat a column for each of its uses.
-    def can_stand(present: Column) -> Column:
-        known = [F.when((F.size(F.array_intersect(_strings(index[t.label]), present)) >= AGREE) & (F.size(F.array_except(
-            _strings(sorted({w for p in t.phrases for w in p.split()})), present)) == 0), F.lit(k)) for k, t in enumerate(templates)]
-        return F.filter(F.array(*known), lambda x: x.isNotNull())
 
-    words, n = F.col("words"), F.size("words").cast("bigint")
-    possible = F.element_at(F.transform(F.array(F.array_intersect(_strings(vocabulary), words)), can_stand), 1)
-    own = docs.withColumn("possible", possible).where(F.size("possible") > 0)
-    looked_up = F.flatten(F.transform("possible", lambda k: F.element_at(
-        F.array(*(_strings(index[t.label]) for t in templates)), k + 1)))
-    own = own.select("key", "words", "possible", F.array_distinct(looked_up).alias("top"))
-    hits = own.select("key", "possible", "top", F.posexplode("words").alias("at", "word")) \
-        .where(F.array_contains("top", F.col("word"))).select("key", "possible", "at", "word")
-    votes = hits.join(F.broadcast(postings), "word").where(F.array_contains("possible", F.col("template"))).select(
-        "key", "template", (F.col("at") - F.col("place")).alias("offset"), "word")
-    aligned = votes.groupBy("key", "template", "offset").agg(F.countDistinct("word").alias("agree")) \
-        .where(F.col("agree") >= AGREE)
-    near = aligned.groupBy("key").agg(F.collect_set(F.struct("template", "offset")).alias("spots"))
-
-    # Phrases and shares at the alignments, word by word. A template can begin before the
-    # file does; its words there are missing.
-    def stands(spot: Column, text: str, shift: int = 0) -> Column:
-        at = spot["offset"] + shift
-        return (at >= 0) & (F.slice(words, F.greatest(at, F.lit(0)) + 1, F.lit(len(text.split()))) == _strings(text.split()))
-
-    def share(spot: Column) -> Column:
-        score = F.lit(0.0)
-        for k, t in enumerate(templates):
-            wanted = t.text.split()
-            ok = F.lit(True)
-            for p in t.phrases:
-                ok &= stands(spot, p, _find(wanted, p.split()))
-            same = F.size(F.filter(_strings(wanted), lambda w, i: F.coalesce(F.get(words, spot["offset"] + i) == w, F.lit(False))))
-            score = F.when(spot["template"] == k, F.when(ok, same / len(wanted)).otherwise(0.0)).otherwise(score)
-        return score
-
-    def label(spot: Column) -> Column:
-        return F.element_at(_strings([t.label for t in templates]), spot["template"] + 1)
-
-    shares = F.filter(F.transform("spots", lambda s: F.struct(label(s).alias("label"), share(s).alias("score"))),
-                      lambda x: x["score"] > 0)
-    verified = own.select("key", "words").join(near, "key").select("key", shares.alias("shares")) \
-        .groupBy("key").agg(F.first("shares").alias("shares")).select(
-            "key", F.array_distinct(F.transform("shares", lambda x: x["label"])).alias("more"),
-            F.array_max(F.transform("shares", lambda x: x["score"])).alias("best"))
-
-    base = docs.select("doc_id", "key", n.alias("n_words"), *(
-        _places(words, n, p).alias(f"p{k}") for k, (p, _) in enumerate(phrases)))
+    # Postings of all template words; those of the rarest vote. An alignment is kept as
+    # two sets of bits: template places that match, and index words that agree.
+    entries = []
+    for k, t in enumerate(templates):
+        for i, w in enumerate(t.text.split()):
+            vote = 1 << index[t.label].index(w) if w in index[t.label] else 0
+            entries.append(f"struct('{w}' AS word, {k} AS template, {i} AS place, {1 << i}L AS bit, {vote} AS vote)")
+    postings = df.sparkSession.range(1).select(F.inline(F.expr(f"array({', '.join(entries)})")))  # one row a template word
+    hits = files.where("found.hits IS NOT NULL").select("key", F.inline("found.hits"))
+    aligned = hits.join(F.broadcast(postings), "word").groupBy("key", "template", (F.col("at") - F.col("place")).alias("offset")) \
+        .agg(F.bit_or("bit").alias("stands"), F.bit_or("vote").alias("agree")).where(F.bit_count("agree") >= AGREE)
+
+    # The mandatory phrases at the alignments, and the share of the template that stands there.
+    # A template can begin before the file does; its words there are missing.
+    def of_template(values: list) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), F.col("template") + 1)
+
+    must = of_template([sum(((1 << len(p.split())) - 1) << _find(t.text.split(), p.split()) for p in _apart(t)) for t in templates]).cast("bigint")
+    verified = aligned.where(F.col("stands").bitwiseAND(must) == must).groupBy("key").agg(
+        F.collect_set(of_template([t.label for t in templates])).alias("more"),
+        F.max(F.bit_count("stands") / of_template([len(t.text.split()) for t in templates])).alias("best"))
+
     each = [F.col(f"p{k}") for k in range(len(phrases))]
     firsts, lasts = F.array(*(p["first"] for p in each)), F.array(*(p["last"] for p in each))
     own_labels = F.filter(F.array(*(F.when(p["n"] > 0, F.lit(v)) for p, (_, v) in zip(each, phrases, strict=True))),
                           lambda x: x.isNotNull())
-    base = base.select("doc_id", "key", "n_words", sum((p["n"] for p in each), F.lit(0).cast("bigint")).alias("n_base"),
-                       F.array_min(firsts).alias("first_word"), F.array_max(lasts).alias("last_word"),
-                       F.array_sort(F.array_distinct(own_labels)).alias("own"))
+    base = files.select("doc_id", "key", "n_words", sum((p["n"] for p in each), F.lit(0).cast("bigint")).alias("n_base"),
+                        F.array_min(firsts).alias("first_word"), F.array_max(lasts).alias("last_word"),
+                        F.array_sort(F.array_distinct(own_labels)).alias("own"))
     return base.join(verified, "key", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("own", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("own", F.coalesce("more", F.array().cast("array<string>")))), ",").alias("labels"),
         F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"))
 
 
+def _apart(t: Template) -> list[str]:
+    """The mandatory phrases; sets of bits can be added if none overlap."""
+    at = sorted((_find(t.text.split(), p.split()), len(p.split())) for p in t.phrases)
+    if any(a + n > b for (a, n), (b, _) in zip(at, at[1:], strict=False)) or len(t.text.split()) > 62:
+        raise ValueError(f"template {t.label!r}: phrases overlap or it has more than 62 words")
+    return list(t.phrases)
+
+
 def _find(words: list[str], phrase: list[str]) -> int:
     """Where a mandatory phrase stands in its template."""
     for i in range(len(words) - len(phrase) + 1):
@@ -195,7 +186,7 @@ def oracle_sql(phrases: list[tuple[str, str]] = PHRASES, templates: list[Templat
     def rows(values: list[tuple]) -> str:
         return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in values)
 
-    cond = {k: " AND ".join(f"array_slice(words, o + {_find(t.text.split(), p.split()) + 1}, "
+    cond = {k: " AND ".join(f"o + {_find(t.text.split(), p.split())} >= 0 AND array_slice(words, o + {_find(t.text.split(), p.split()) + 1}, "
                             f"o + {_find(t.text.split(), p.split()) + len(p.split())}) = {p.split()}" for p in t.phrases)
             for k, t in enumerate(templates)}
     verify = " ".join(f"WHEN t = {k} THEN {c}" for k, c in cond.items())
@@ -215,12 +206,10 @@ freq AS (SELECT v.word, count(DISTINCT rid) AS df FROM (SELECT DISTINCT word FRO
 ranked AS (SELECT t, word, row_number() OVER (PARTITION BY t ORDER BY df, word) AS k
            FROM (SELECT DISTINCT t, word FROM tw) JOIN freq USING (word)),
 posting AS (SELECT t, i, word FROM tw JOIN ranked USING (t, word) WHERE k <= {INDEX_WORDS}),
-held AS (SELECT rid, word, row_number() OVER (PARTITION BY rid ORDER BY df, word) AS k
-         FROM (SELECT DISTINCT rid, word FROM w WHERE word IN (SELECT word FROM posting)) JOIN freq USING (word)),
-vote AS (SELECT rid, t, pos - i AS o, count(DISTINCT word) AS agree FROM w JOIN held USING (rid, word) JOIN posting USING (word)
-         WHERE k <= {FILE_WORDS} AND pos >= i GROUP BY ALL HAVING count(DISTINCT word) >= {AGREE}),
+vote AS (SELECT rid, t, pos - i AS o, count(DISTINCT word) AS agree FROM w JOIN posting USING (word)
+         GROUP BY ALL HAVING count(DISTINCT word) >= {AGREE}),
 good AS (SELECT rid, t, o FROM vote JOIN r USING (rid) WHERE CASE {verify} END),
-share AS (SELECT rid, t, o, count(*) FILTER (tw.word = r.words[o + i + 1]) / count(*) AS score
+share AS (SELECT rid, t, o, count(*) FILTER (o + i >= 0 AND tw.word = r.words[o + i + 1]) / count(*) AS score
           FROM good JOIN tw USING (t) JOIN r USING (rid) GROUP BY ALL),
 more AS (SELECT rid, list(DISTINCT label) AS more, max(score) AS best FROM share JOIN tn USING (t) GROUP BY rid)
 SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,

@@ -313,4 +313,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
     twice = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     left = docs.join(gone, id_col, "left_anti")
-    return left if twice.isEmpty() else left.dropDuplicates([id_col, text_col])
+    if twice.isEmpty():
+        return left
+    # Rows without an id are never repeats of each other: each gets a number of its own.
+    mark = next(c for c in (f"row{k}" for k in range(len(docs.columns) + 1)) if c not in docs.columns)
+    return left.withColumn(mark, F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())) \
+        .dropDuplicates([id_col, text_col, mark]).drop(mark)

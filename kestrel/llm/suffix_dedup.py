@@ -648,9 +648,9 @@ def repeat_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
-    """All rows and columns of ``df``, the text without its repeated passages, and
-    ``removed``: the byte ranges cut out (start, stop). A character that a cut went
-    through goes as a whole. Columns may have any other names."""
+    """All rows and columns of ``df``, the text without its repeated passages, and as last
+    column ``removed`` (another name, ``removed_ranges`` first, if there is a column of that name):
+    the byte ranges cut out (start, stop). A character that a cut went through goes as a whole."""
     names = {id_col: "doc_id", text_col: "text"}
     inner = [names.get(c, f"c{k}") for k, c in enumerate(df.columns)]
     docs = df.toDF(*inner)
@@ -659,4 +659,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
     schema = T.StructType([*docs.schema.fields, T.StructField("removed", T.ArrayType(span))])
     out = _meet(gone.union(texts), partitions).mapInArrow(_cut_task("rows"), schema)
-    return out.toDF(*df.columns, "removed" if "removed" not in df.columns else "removed_ranges")
+    free = ("removed", "removed_ranges", *(f"removed_ranges_{k}" for k in range(len(df.columns))))
+    return out.toDF(*df.columns, next(name for name in free if name not in df.columns))

@@ -70,9 +70,11 @@ class OrdinalModel:
         return out
 
     def rejects(self, index: np.ndarray, cut: float) -> np.ndarray:
+        """Texts whose P(grade > 0) reaches the cut by features of their own: a text without
+        any weighted feature (w.x = 0) is kept, however many of the labels are toxic."""
         if not self.thresholds:
             return np.zeros(len(index), dtype=bool)
-        return _sigmoid(index - self.thresholds[0]) >= cut
+        return (index > 0) & (_sigmoid(index - self.thresholds[0]) >= cut)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -324,8 +326,8 @@ def _features(batches: Iterable[pa.RecordBatch], place_of: dict[int, int] | None
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text",
           cut: float = 0.3) -> DataFrame:
     """doc_id, severity (expected grade), toxic (rejected), one row for each row.
-    A null or empty text has no features and counts as clean unless the thresholds
-    alone say otherwise. No shuffle."""
+    A text without any weighted feature, null and empty ones included, is not rejected;
+    its severity is that of the thresholds alone. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index_of = _scorer(model)
@@ -340,7 +342,8 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
 
 
 def keep_clean(docs: DataFrame, model: OrdinalModel, text_col: str = "text", cut: float = 0.3) -> DataFrame:
-    """The rows that are not rejected, with all their columns as they are."""
+    """The rows that are not rejected, with all their columns as they are; null and empty
+    texts, and all others without any weighted feature, stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index_of = _scorer(model)

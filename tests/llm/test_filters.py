@@ -282,6 +282,7 @@ def test_license_scan_of_many_notices(spark):
             (4, rare + " moss " + texts["cc-by-sa"] + " moss " + texts["proprietary"]), (5, "all rights stone reserved no part of this")]
     rows += [(100 + k, "licensed under cc by sa 4 0") for k in range(40)] + [(200, "licensed under cc reserved rights all"), (201, "moss")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    against_sql(license_scan.scan(docs), license_scan.oracle_sql(), documents=docs.toPandas())
     got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
     for k in (1, 2, 3):
         assert got[k]["labels"] == ",".join(sorted(texts)) and got[k]["score"] == 1.0
@@ -296,7 +297,9 @@ def test_license_scan_of_files_that_begin_within_a_notice(spark):
             (5, "terms of the Mozilla Public License")]
     rows += [(10 + k, "stone moss " + t) for k, t in rows]
     rows += [(100 + k, "this work source code form is v 2 0 4") for k in range(40)]  # frequent words, as in a corpus
-    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    against_sql(license_scan.scan(docs), license_scan.oracle_sql(), documents=docs.toPandas())
+    got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
     for k, label, n, size in ((1, "gpl-3", 9, 12), (2, "mpl-2", 9, 17), (3, "cc-by", 10, 13), (4, "", 0, 1), (5, "mpl-2", 6, 17)):
         assert (got[k]["labels"], got[k]["score"]) == (label, n / size)
         assert (got[10 + k]["labels"], got[10 + k]["score"]) == (label, n / size)
