@@ -2,10 +2,11 @@
 
 Every document is seen through windows of each benchmark item's own word count. A
 window's fingerprint is the SimHash of its 5-word shingles, each with its number of
-occurrences as weight. The items' fingerprints are indexed in blocks: two
-fingerprints within the radius differ in at most radius // BLOCKS bits of at least
-one block, so looking up every block value that near finds all of them. Candidates
-are verified by the exact weighted similarity of window and item,
+occurrences as weight, 256 bits. The items' fingerprints are indexed by blocks of a
+byte: two fingerprints within the radius differ by more than BLOCK_BITS in at most
+RADIUS // (BLOCK_BITS + 1) blocks, so an item that is close to the window in fewer than
+the other blocks is out, and all items within the radius stay. Unrelated items agree
+that well in a few per cent of cases at most. Candidates are verified by the exact weighted similarity of window and item,
 sum of minima / sum of maxima of the shingles' counts >= 0.75.
 
 A window that holds fewer shingles of the items of its size than the threshold
@@ -28,24 +29,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm import common
+from kestrel.llm.common import cut
 from kestrel.llm.shingles import NOT_ALNUM, mix, shingle_sums, word_hashes
 
 WIDTH = 5
-BLOCKS = 8
-#: Of 64 bits. Two windows at the threshold differ in 11 bits on average, with a
-#: standard deviation of 3.
-RADIUS = 24
-_NEAR = [[v ^ d for d in range(256) if d.bit_count() <= RADIUS // BLOCKS] for v in range(256)]
+BLOCKS = 32  # bytes of a fingerprint
+#: Of 256 bits. Two windows at the threshold differ in 44 bits on average, with a
+#: standard deviation of 6.
+RADIUS = 68
+BLOCK_BITS = 2  # a block is close if it differs in no more bits
+CLOSE_BLOCKS = BLOCKS - RADIUS // (BLOCK_BITS + 1)  # at least, of fingerprints within the radius
+_BITS = np.array([v.bit_count() for v in range(256)], dtype=np.uint8)
+_CLOSE = _BITS <= BLOCK_BITS
+_SEEDS = np.array([0x2545F491, 0x9E3779B9, 0xC2B2AE35, 0x27D4EB2F], dtype=np.uint64)
 
 
 def sim_signs(prints: np.ndarray) -> np.ndarray:
-    """64 signs (+1, -1) of every shingle."""
-    bits = np.unpackbits(mix(prints + np.uint64(0x2545F491)).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
+    """256 signs (+1, -1) of every shingle."""
+    bits = np.unpackbits(mix(prints[:, None] + _SEEDS).astype("<u8").view(np.uint8).reshape(-1, BLOCKS), axis=1)
     return bits.astype(np.int32) * 2 - 1
 
 
 def fingerprints(sums: np.ndarray) -> np.ndarray:
-    """SimHash of rows of summed signs, 8 bytes each."""
+    """SimHash of rows of summed signs, BLOCKS bytes each."""
     return np.packbits(sums > 0, axis=1)
 
 
@@ -58,7 +64,7 @@ class Item:
 
 
 class Index:
-    """Items by word count, each with block tables of their fingerprints."""
+    """Items by word count, with the blocks of their fingerprints."""
 
     def __init__(self, rows: list[tuple[int, bytes]], threshold: float) -> None:
         self.threshold = threshold
@@ -78,25 +84,18 @@ class Index:
         self.sizes = [known[p] for p in self.known.tolist()]
         self.bits = np.zeros(1 << 20, dtype=bool)
         self.bits[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        self.tables = {n: self._blocks(items) for n, items in self.by_words.items()}
+        self.blocks = {n: np.array([i.print for i in items]) for n, items in self.by_words.items()}
         self.lengths = sorted(self.by_words)
 
-    @staticmethod
-    def _blocks(items: list[Item]) -> list[dict[int, list[int]]]:
-        tables: list[dict[int, list[int]]] = [{} for _ in range(BLOCKS)]
-        for k, item in enumerate(items):
-            for b, value in enumerate(item.print.tolist()):
-                for near in _NEAR[value]:
-                    tables[b].setdefault(near, []).append(k)
-        return tables
+    def candidates(self, words: int, print_: np.ndarray) -> np.ndarray:
+        """Items of that word count close to the fingerprint in enough blocks."""
+        return np.flatnonzero(_CLOSE[self.blocks[words] ^ print_].sum(axis=1) >= CLOSE_BLOCKS)
 
     def within(self, words: int, print_: np.ndarray) -> list[Item]:
         """All items of that word count whose fingerprint is within the radius."""
-        items, found = self.by_words[words], set()
-        for table, value in zip(self.tables[words], print_.tolist(), strict=True):
-            found.update(table.get(value, ()))
-        return [items[k] for k in sorted(found)
-                if int(np.unpackbits(items[k].print ^ print_).sum()) <= RADIUS]
+        found = self.candidates(words, print_)
+        apart = _BITS[self.blocks[words][found] ^ print_].sum(axis=1)
+        return [self.by_words[words][k] for k in found[apart <= RADIUS].tolist()]
 
     def hits(self, prints: np.ndarray) -> np.ndarray:
         """Which of the shingles occur in some item."""
@@ -140,7 +139,7 @@ class Index:
                 if not len(starts):
                     continue
                 if signs is None:
-                    signs = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(sim_signs(prints[a:b]), axis=0)])
+                    signs = np.concatenate([np.zeros((1, 8 * BLOCKS), np.int32), np.cumsum(sim_signs(prints[a:b]), axis=0)])
                 marks = fingerprints(signs[starts + size] - signs[starts])
                 for start, mark in zip((starts + a).tolist(), marks, strict=True):
                     near = self.within(words, mark)
@@ -168,15 +167,15 @@ def _found(index: Index, part: pa.RecordBatch, text_col: str) -> list[dict[int,
             for lo, hi, n in zip(edge[:-1].tolist(), edge[1:].tolist(), some, strict=True)]
 
 
-def _portions(benchmark: DataFrame, portion_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
-    """The benchmark's items in portions of bounded size for the driver; a benchmark
-    within the bound is one portion."""
+def _portions(benchmark: DataFrame, portion_bytes: int) -> Iterator[tuple[list[tuple[int, bytes]], bool]]:
+    """The benchmark's items in portions of bounded size for the driver, and whether there
+    are several; a benchmark within the bound is one portion."""
     items = common.narrow(benchmark, "item_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-2 * total // portion_bytes)) if total > portion_bytes else 1
     for k in range(n):
         own = items if n == 1 else items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)) == k)
-        yield [(r[0], r[1].encode()) for r in own.orderBy("doc_id", "text").collect()]
+        yield [(r[0], r[1].encode()) for r in own.orderBy("doc_id", "text").collect()], n > 1
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -190,7 +189,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     An item id with several texts matches by any. The benchmark is broadcast in
     portions of at most ``portion_bytes``, one pass over the documents for each."""
     out = None
-    for rows in _portions(benchmark, portion_bytes):
+    for rows, several in _portions(benchmark, portion_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(rows)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -208,6 +207,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         own = common.map_arrow(common.narrow(docs, id_col, text_col), run,
                                "doc_id bigint, item_id bigint, similarity double, first_word bigint, n_words bigint")
+        if several:  # one portion at a time is held
+            own = cut(own)
+            shared.destroy()
         out = own if out is None else out.union(own)
     return out
 
@@ -215,7 +217,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.75,
                         portion_bytes: int = 32 << 20) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns."""
-    for rows in _portions(benchmark, portion_bytes):
+    for rows, several in _portions(benchmark, portion_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(rows)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -225,4 +227,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if several:
+            docs = cut(docs)
+            shared.destroy()
     return docs

@@ -126,14 +126,14 @@ def _queries(items: list[tuple[int, bytes]]) -> tuple[np.ndarray, list[tuple[int
     return vocabulary, out
 
 
-def _portions(queries: DataFrame, portion_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
-    """The distinct items in portions of bounded size for the driver."""
+def _portions(queries: DataFrame, portion_bytes: int) -> Iterator[tuple[list[tuple[int, bytes]], bool]]:
+    """The distinct items in portions of bounded size for the driver, and whether there are several."""
     items = queries.where("text IS NOT NULL").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-2 * total // portion_bytes)) if total > portion_bytes else 1
     for k in range(n):
         own = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r[0], r[1].encode()) for r in own.orderBy("item_id", "text").toLocalIterator()]
+        yield [(r[0], r[1].encode()) for r in own.orderBy("item_id", "text").collect()], n > 1
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -154,7 +154,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     texts = common.narrow(docs, id_col, text_col)
     asked = queries.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(query_col).cast("string").alias("text"))
     out = None
-    for items in _portions(asked, portion_bytes):
+    for items, several in _portions(asked, portion_bytes):
         vocabulary, wanted = _queries(items)
         terms = spark.sparkContext.broadcast(vocabulary)
         n_docs, n_terms, df = _statistics(texts, terms)
@@ -167,6 +167,10 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
         names = spark.createDataFrame([(number, item) for number, (item, _, _) in enumerate(wanted)], "query bigint, item_id bigint")
         ranked = own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
             .join(names, "query").select("item_id", "rank", "doc_id", "score")
+        if several:  # one portion at a time is held
+            ranked = common.cut(ranked)
+            terms.destroy()
+            index.destroy()
         out = ranked if out is None else out.union(ranked)
     return out
 

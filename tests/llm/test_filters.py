@@ -101,6 +101,42 @@ def test_index_finds_all_within_the_radius():
         assert {i.item_id for i in index.within(12, mark)} == near
 
 
+def test_index_selects():
+    """Of 10,000 equally long items fewer than a tenth are compared with a window, and none within the radius is lost."""
+    rng = np.random.default_rng(9)
+    items = [(k, " ".join(f"t{x}" for x in rng.integers(0, 5000, 20)).encode()) for k in range(10_000)]
+    index = decontamination.Index(items, 0.75)
+    prints = np.array([i.print for i in index.by_words[20]])
+    share = []
+    for _ in range(50):
+        mark = prints[rng.integers(10_000)].copy()
+        for bit in rng.choice(256, rng.integers(0, 75), replace=False):
+            mark[bit // 8] ^= 1 << (bit % 8)
+        found = index.candidates(20, mark)
+        share.append(len(found) / 10_000)
+        near = np.flatnonzero(np.unpackbits(prints ^ mark, axis=1).sum(axis=1) <= decontamination.RADIUS)
+        assert set(near.tolist()) <= set(found.tolist())
+    assert max(share) < 0.1 and np.mean(share) < 0.03
+
+
+def test_decontamination_of_odd_rows(spark, odd_docs):
+    """Null ids and texts, clashing columns, very long texts, and a benchmark in several portions."""
+    rows = odd_docs.collect()
+    text_of = {r["doc_id"]: r["text"] for r in rows if r["kind"] == "kept"}
+    long = text_of[11].split()
+    items = [(k, " ".join(long[1000 * k:1000 * k + 12 + k])) for k in range(8)] + [
+        (20, " ".join(text_of[0].split()[30:60])), (21, "a b c"), (22, ""), (None, text_of[0])]
+    bench = spark.createDataFrame([*items, (23, None)], "item_id bigint, text string")
+    want = brute_matches(enumerate(r["text"] for r in rows), [i for i in items if i[0] is not None])  # by row
+    assert {item for _, item in want} == {*range(8), 20}
+    for portion in (32 << 20, 400):
+        got = decontamination.contaminated(odd_docs, bench, portion_bytes=portion).collect()
+        assert bag((r["doc_id"], r["item_id"]) for r in got) == bag((rows[k]["doc_id"], item) for k, item in want)
+        kept = decontamination.keep_uncontaminated(odd_docs, bench, portion_bytes=portion)
+        assert kept.columns == odd_docs.columns
+        assert bag(kept.collect()) == bag(r for k, r in enumerate(rows) if k not in {d for d, _ in want})
+
+
 # ---- toxicity
 
 
