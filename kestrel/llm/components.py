@@ -1,10 +1,9 @@
 """Connected components of an edge list, distributed.
 
-A round is one shuffle and one check. Every task reduces the edges it holds to a
-forest of stars before they are sent, and again after all edges of a larger end
-have met; then each star's centre is replaced by its own centre. Copies of a hot
-node meet at most once per task, and rounds get few because a task contracts
-whole paths at once.
+Every task reduces the edges it holds to a forest of stars before they are sent, and
+again after all edges of a larger end have met; then each star's centre is replaced by
+its own centre. A task sends a star as one row, so a centre with a third of all nodes
+is one row per task in that join, and rounds get few because a task contracts whole paths at once.
 """
 
 from __future__ import annotations
@@ -43,7 +42,7 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _reduced(edges: DataFrame) -> DataFrame:
-    """The edges (a, b) as stars (v, u), u < v, task by task, in bounded memory."""
+    """The edges (a, b) as stars (u, vs): the centre and its larger nodes, task by task, in bounded memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -52,6 +51,15 @@ def _reduced(edges: DataFrame) -> DataFrame:
         def joined() -> tuple[np.ndarray, np.ndarray]:
             return stars(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
+        def rows(v: np.ndarray, u: np.ndarray) -> Iterator[pa.RecordBatch]:
+            order = np.argsort(u, kind="stable")
+            v, u = v[order], u[order]
+            for lo in range(0, len(u), HELD // 8):  # a star larger than that is several rows
+                own, first = np.unique(u[lo:lo + HELD // 8], return_index=True)
+                ends = np.append(first, min(HELD // 8, len(u) - lo)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.ListArray.from_arrays(pa.array(ends), pa.array(v[lo:lo + HELD // 8]))], names=["u", "vs"])
+
         for batch in batches:
             held.append(tuple(batch.column(c).to_numpy() for c in ("a", "b")))
             n += batch.num_rows
@@ -59,12 +67,12 @@ def _reduced(edges: DataFrame) -> DataFrame:
                 held = [joined()]
                 n = len(held[0][0])
                 if n >= HELD // 2:  # more nodes than are held at once: pass the forest on
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], names=["v", "u"])
+                    yield from rows(*held[0])
                     held, n = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in joined()], names=["v", "u"])
+            yield from rows(*joined())
 
-    return map_arrow(edges, run, "v bigint, u bigint")
+    return map_arrow(edges, run, "u bigint, vs array<bigint>")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -73,11 +81,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     parts = shuffle_partitions(edges.sparkSession)
     now = edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")).where("a <> b")
     while True:
-        met = _reduced(_reduced(now).repartition(parts, "v").select(F.col("v").alias("a"), F.col("u").alias("b")))
-        above = shuffled(met.groupBy(F.col("v").alias("u")).agg(F.min("u").alias("up")))
-        pointers = cut(met.join(above, "u", "left").select("v", F.coalesce("up", "u").alias("u"), F.col("up").isNotNull().alias("moved")))
+        sent = _reduced(now).select(F.explode("vs").alias("a"), F.col("u").alias("b"))
+        met = _reduced(sent.repartition(parts, "a"))
+        above = shuffled(met.select(F.explode("vs").alias("v"), F.col("u").alias("up")).groupBy(F.col("v").alias("u")).agg(F.min("up").alias("up")))
+        pointers = cut(met.join(above, "u", "left").select(
+            F.explode("vs").alias("v"), F.coalesce("up", "u").alias("u"), F.col("up").isNotNull().alias("moved")))
         ends = pointers.groupBy("v").agg(F.min("u").alias("u"), F.max("u").alias("other"), F.max("moved").alias("moved"))
-        if ends.where("moved OR u <> other").isEmpty():
+        if not ends.agg(F.count_if(F.col("moved") | (F.col("u") != F.col("other")))).first()[0]:
             roots = pointers.select("u").distinct().select(F.col("u").alias("id"), F.col("u").alias("component"))
             return ends.select(F.col("v").alias("id"), F.col("u").alias("component")).union(roots)
         now = pointers.select(F.col("v").alias("a"), F.col("u").alias("b"))
