@@ -36,15 +36,16 @@ from kestrel.llm.components import connected_components, stars
 @dataclass(frozen=True)
 class Settings:
     """sample and sample_bytes bound what pivots are chosen from; per_root: pivots for
-    each root of the number of rows, between least and most; prefix: pivots that
-    describe a vector; shared: pivots a pair shares to be verified; part: members of a
-    list that are compared at once."""
+    each root of the number of rows, between least and most, and most_bytes at most (they are
+    broadcast); prefix: pivots that describe a vector; shared: pivots a pair shares to be
+    verified; part: members of a list that are compared at once."""
 
     sample: int = 20_000
     sample_bytes: int = 64 << 20
     per_root: int = 4
     least: int = 16
     most: int = 4096
+    most_bytes: int = 32 << 20
     prefix: int = 6
     shared: int = 2
     part: int = 1024
@@ -123,7 +124,8 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, id_col: str = "vec_id",
     most = max(2, min(s.sample, s.sample_bytes // (8 * dim)))
     sample = classes.orderBy(F.xxhash64("digest", "label"), "digest", "label").limit(most).select("v").toArrow()
     x = _matrix(sample.column("v").combine_chunks(), dim) if total else np.zeros((0, dim))
-    pivots = spread_pivots(unit_rows(x), min(s.most, max(s.least, int(s.per_root * total ** 0.5)))) if total else x
+    wanted = min(s.most, max(2, s.most_bytes // (8 * dim)), max(s.least, int(s.per_root * total ** 0.5)))
+    pivots = spread_pivots(unit_rows(x), wanted) if total else x
     shared = spark.sparkContext.broadcast(pivots)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

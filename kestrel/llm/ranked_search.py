@@ -138,7 +138,7 @@ def _portions(queries: DataFrame, portion_bytes: int) -> Iterator[tuple[list[tup
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
            item_col: str = "item_id", query_col: str = "text", portion_bytes: int = 8 << 20,
-           shard_postings: int = 1 << 22) -> DataFrame:
+           shard_postings: int = 1 << 20) -> DataFrame:
     """item_id, rank, doc_id, score: the ``k`` best documents with a score above 0 for
     each query text, ties to the smaller id.
 
@@ -149,7 +149,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     document is ranked as often as it stands there; a query listed twice is one, and
     an item id with several texts is answered for each text. Other columns are not read. Queries are
     broadcast in portions of at most ``portion_bytes``, two passes over the documents
-    for each; a shard holds about ``shard_postings`` postings."""
+    for each; a shard holds about ``shard_postings`` postings, some 150 bytes each."""
     spark = docs.sparkSession
     texts = common.narrow(docs, id_col, text_col)
     asked = queries.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(query_col).cast("string").alias("text"))
