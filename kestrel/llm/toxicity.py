@@ -167,7 +167,7 @@ def _scorer(model: OrdinalModel):
 
     def index(texts: list[str | None]) -> np.ndarray:
         nonlocal known
-        if len(known) > 500_000:  # bounds memory; entries are made again when needed
+        if len(known) > 100_000:  # bounds memory, which a worker keeps for later stages; entries are made again when needed
             known = {}
         out = np.zeros(len(texts))
         for k, text in enumerate(texts):
@@ -308,7 +308,7 @@ def _features(batches: Iterable[pa.RecordBatch], place_of: dict[int, int] | None
     for batch in batches:
         for part in common.pieces(batch, 4 << 20):
             for text, grade in zip(part.column("text").to_pylist(), part.column("grade").to_pylist(), strict=True):
-                if len(known) > 200_000:
+                if len(known) > 50_000:
                     known = {}
                 found = array("q")
                 for word in words(text):
