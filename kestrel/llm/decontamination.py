@@ -85,17 +85,23 @@ class Index:
         self.bits = np.zeros(1 << 20, dtype=bool)
         self.bits[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.blocks = {n: np.array([i.print for i in items]) for n, items in self.by_words.items()}
+        self.repeats = {n: np.array([max(i.counts.values()) > 1 for i in items]) for n, items in self.by_words.items()}
         self.lengths = sorted(self.by_words)
 
     def candidates(self, words: int, print_: np.ndarray) -> np.ndarray:
         """Items of that word count close to the fingerprint in enough blocks."""
         return np.flatnonzero(_CLOSE[self.blocks[words] ^ print_].sum(axis=1) >= CLOSE_BLOCKS)
 
-    def within(self, words: int, print_: np.ndarray) -> list[Item]:
-        """All items of that word count whose fingerprint is within the radius."""
+    def within(self, words: int, print_: np.ndarray, repeated: bool = False) -> list[Item]:
+        """All items of that word count whose fingerprint is within the radius; and, as a
+        shingle's weight can outweigh all others in a fingerprint, whatever theirs: those with
+        repeated shingles, and all for a window with ``repeated`` ones."""
+        if repeated:
+            return self.by_words[words]
+        near = np.zeros(len(self.blocks[words]), dtype=bool)
         found = self.candidates(words, print_)
-        apart = _BITS[self.blocks[words][found] ^ print_].sum(axis=1)
-        return [self.by_words[words][k] for k in found[apart <= RADIUS].tolist()]
+        near[found] = _BITS[self.blocks[words][found] ^ print_].sum(axis=1) <= RADIUS
+        return [self.by_words[words][k] for k in np.flatnonzero(near | self.repeats[words]).tolist()]
 
     def hits(self, prints: np.ndarray) -> np.ndarray:
         """Which of the shingles occur in some item."""
@@ -142,10 +148,10 @@ class Index:
                     signs = np.concatenate([np.zeros((1, 8 * BLOCKS), np.int32), np.cumsum(sim_signs(prints[a:b]), axis=0)])
                 marks = fingerprints(signs[starts + size] - signs[starts])
                 for start, mark in zip((starts + a).tolist(), marks, strict=True):
-                    near = self.within(words, mark)
+                    window = Counter(prints[start:start + size].tolist())
+                    near = self.within(words, mark, len(window) < size)
                     if not near:
                         continue
-                    window = Counter(prints[start:start + size].tolist())
                     for item in near:
                         both = sum(min(n, window[s]) for s, n in item.counts.items() if s in window)
                         alike = both / (full + size - both)
