@@ -47,3 +47,29 @@ def test_dense_ids(spark):
     numbered = df.join(dense_ids(df, "w"), "w", "left")
     assert merged_counts(distinct_bitmaps(numbered, ["w"], "id"), [F.lit(1).alias("all")], {"n": None}).first()["n"] == 5
     assert dense_ids(df.limit(0), "w").count() == 0
+
+
+def test_bitmaps_of_far_apart_ids_take_a_few_bytes_each(spark):
+    """One id in each of 2,000 pieces: lists of places, not 4 KB each; a full piece is bits."""
+    far = spark.range(2000).selectExpr("'far' AS k", "id * 40000 + 5 AS id")
+    full = spark.range(1, 30001).selectExpr("'full' AS k", "id")
+    daily = distinct_bitmaps(far.union(full), ["k"], "id")
+    size = F.coalesce(F.size("__ids.ids") * 4, F.length("__ids.bits"))
+    got = {r["k"]: (r["n"], r["size"]) for r in daily.groupBy("k").agg(F.count("*").alias("n"), F.sum(size).alias("size")).collect()}
+    assert got == {"far": (2000, 8000), "full": (1, 4096)}
+    counts = {r["k"]: r["n"] for r in merged_counts(daily, ["k"], {"n": None}).collect()}
+    assert counts == {"far": 2000, "full": 30000}
+    assert merged_counts(daily, [F.lit(1).alias("all")], {"n": None}).first()["n"] == 31999  # 5 is in both
+
+
+def test_no_bitmap_is_sorted_or_sent(spark):
+    """Rows meet as places; bits are built after the last sort and shuffle of the daily bitmaps."""
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = distinct_bitmaps(rows(spark), ["day", "kind"], "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)
+    lines = plan.splitlines()
+    last = max(i for i, x in enumerate(lines) if "bitmap_construct_agg" in x)
+    assert not any("Exchange" in x or "Sort [" in x for x in lines[:last + 1])
