@@ -307,12 +307,12 @@ _MILESTONES = (
 def int_business_joined(b: Build):
     """INT-01i: business with its dimensions and every rollup (one row per business).
 
+    The dimensions are joined first, while the rows are narrow: to the business, and
+    the campaign to the rollup that names it. Most keys are NULL for many
+    businesses (no campaign, nobody credited), so NULLs are spread across buckets.
     All rollups are unique per business_id, so the business-keyed left joins
-    reuse one hash partitioning; dimensions are broadcast when proven small;
-    the owner join runs last, with NULL owner ids spread across buckets."""
+    reuse one hash partitioning, and no row of all columns is sorted or sent."""
     j = b.ref("stg_business")
-    for rollup in [*(b.ref(n) for n in _ROLLUPS if n not in _OF_POLICIES), _policy_and_ledger(b)]:
-        j = j.join(rollup, "business_id", "left")
     lic = b.dim("stg_license", c("license_name").alias("__lic"), "partner_name", "partner_profile_type",
                 "transfer_type")
     emp = b.dim("stg_employee_contact_information", c("employee_name").alias("__emp"),
@@ -321,13 +321,16 @@ def int_business_joined(b: Build):
                 "classification_name", "naics_code", "industry", "sub_industry", "naics_sub_industry")
     cmp = b.dim("stg_campaign_status", c("campaign_status_id").alias("__cmp"),
                 c("campaign_name").alias("warm_transfer_campaign_name"))
-    j = (j.join(lic, j["license_name"] == lic["__lic"], "left")
-          .join(emp, j["credited_account_executive"] == emp["__emp"], "left")
-          .join(cls, j["business_classification_id"] == cls["__cls"], "left")
-          .join(cmp, j["warm_transfer_campaign_status_id"] == cmp["__cmp"], "left"))
     users = b.ref("stg_user").select(c("user_id").alias("__uid"), c("full_name").alias("owner_name"),
                                      c("email").alias("owner_email"), "is_test_name")
-    j = left_join_spread_nulls(j, users, "user_id", "__uid", spread_by=["business_id"])
+    for dim, left_key, key in ((lic, "license_name", "__lic"), (emp, "credited_account_executive", "__emp"),
+                               (cls, "business_classification_id", "__cls"), (users, "user_id", "__uid")):
+        j = left_join_spread_nulls(j, dim, left_key, key, spread_by=["business_id"])
+    pings = left_join_spread_nulls(b.ref("int_business_warm_transfer"), cmp, "warm_transfer_campaign_status_id", "__cmp",
+                                   spread_by=["business_id"])
+    for rollup in [*(b.ref(n) for n in _ROLLUPS if n not in (*_OF_POLICIES, "int_business_warm_transfer")), pings,
+                   _policy_and_ledger(b)]:
+        j = j.join(rollup, "business_id", "left")
 
     out = [
         "business_id", "user_id", "close_lead_id", "business_name", "owner_name", "owner_email",

@@ -80,3 +80,28 @@ def test_products_keep_eight_decimals(spark):
     df = spark.sql("SELECT CAST(0.12345679 AS DECIMAL(24,8)) AS r FROM range(3)")
     assert canonical_type(df.schema["r"].dataType) == "DECIMAL(38,8)"
     assert str(df.agg(exact_mean("r", 8).cast("decimal(38,8)").alias("m")).first()["m"]) == "0.12345679"
+
+
+def test_dimensions_meet_narrow_rows(spark, stored, plain_joins):
+    """int_business_joined: NULL keys of every dimension are spread, and no dimension is joined to the
+    rows that hold the rollups, which are sorted for no join."""
+    b = Build(spark, stored, fixture_settings())
+    df = b.ref("int_business_joined")
+    plain_joins()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for key in ("credited_account_executive", "business_classification_id", "user_id", "warm_transfer_campaign_status_id"):
+        assert re.search(rf"hashpartitioning\({key}#\d+L?, __salt_l#\d+L", plan), key
+    first = next(x for x in plan.splitlines() if "Join" in x)
+    assert "[business_id#" in first, first
+
+
+def test_partitions_are_merged_to_a_bounded_size(spark):
+    """Some 40 MB of a shuffle in 8 partitions do not become one task."""
+    flag = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    keep = spark.conf.get(flag)
+    spark.conf.set(flag, "false")
+    try:
+        rows = spark.range(0, 600000, 1, 4).select("id", *[F.xxhash64("id", F.lit(i)).alias(f"h{i}") for i in range(8)])
+        assert 3 <= rows.repartition("id").rdd.getNumPartitions() <= 8
+    finally:
+        spark.conf.set(flag, keep)
