@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.quality import Check, run_checks
+from ..operators.quality import Check, run_checks, union_all
 from ..session import ensure_checkpoint_dir
 from .registry import Build
 
@@ -99,7 +99,9 @@ def model_checks(b: Build, checks: list[Check] | None = None, cut_shared: bool =
     With ``cut_shared``, each intermediate model (read by several marts) is
     computed once and checkpointed to the shared ``spark.checkpoint.dir``, so
     the marts' checks read it instead of recomputing the chain; the lineage
-    is cut there as well."""
+    is cut there as well. Then one model is checked after the other, and its
+    few result rows are kept there too: as one query, the plan of all models and
+    every table they broadcast would be in the driver's memory at once."""
     checks = checks or CHECKS
     if cut_shared:
         ensure_checkpoint_dir(b.spark)
@@ -107,4 +109,7 @@ def model_checks(b: Build, checks: list[Check] | None = None, cut_shared: bool =
                      "int_ringba_call", "int_ringba_call_ae", "int_warm_transfer"):
             b.pin(name, b.ref(name).checkpoint(eager=True))
     frames = {ck.model: frame(b, ck.model) for ck in checks}
-    return run_checks(frames, checks)
+    if not cut_shared:
+        return run_checks(frames, checks)
+    return union_all([run_checks({name: df}, [ck for ck in checks if ck.model == name]).checkpoint(eager=True)
+                      for name, df in frames.items()])

@@ -105,3 +105,17 @@ def test_partitions_are_merged_to_a_bounded_size(spark):
         assert 3 <= rows.repartition("id").rdd.getNumPartitions() <= 8
     finally:
         spark.conf.set(flag, keep)
+
+
+def test_models_are_checked_one_after_the_other(spark, stored):
+    """What model_checks returns is each model's kept result rows, not one plan of all models."""
+    from kestrel.operators.quality import Check, run_checks
+    from kestrel.plans.quality_checks import model_checks
+    b = Build(spark, stored, fixture_settings())
+    checks = [Check("stg_lead", "unique", ("lead_id",)), Check("source:Lead", "not_null", ("businessId",), severity="warn"),
+              Check("stg_lead", "not_null", ("lead_id",))]
+    got = model_checks(b, checks)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Aggregate" not in plan
+    frames = {"stg_lead": b.ref("stg_lead"), "source:Lead": b.source("Lead")}
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, run_checks(frames, checks).collect()))
