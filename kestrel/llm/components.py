@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import cut, map_arrow, shuffle_partitions, shuffled
 
 HELD = 1 << 20  # edges a task holds before it reduces them
+FEW = 1 << 18  # edges that one task is left with: 4 MB
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,19 +76,42 @@ def _reduced(edges: DataFrame) -> DataFrame:
     return map_arrow(edges, run, "u bigint, vs array<bigint>")
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def _joined(edges: DataFrame) -> DataFrame:
+    """(id, component) of every end of the edges (a, b) of each task, which hold only few."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [tuple(batch.column(c).to_numpy() for c in ("a", "b")) for batch in batches]
+        if not held:
+            return
+        v, u = stars(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        roots = np.unique(u)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in ((v, roots), (u, roots))],
+                                         names=["id", "component"])
+
+    return map_arrow(edges, run, "id bigint, component bigint")
+
+
+def connected_components(edges: DataFrame, few: int = FEW) -> DataFrame:
     """(id, component) for every end of the edges (a, b) that lead to another node; the
-    component is the smallest id reachable. Edges with a null end lead nowhere."""
+    component is the smallest id reachable. Edges with a null end lead nowhere.
+
+    Rounds end when no node moves, or as soon as the tasks' forests have at most ``few``
+    edges: one task then holds them all. Each task of a round gets about so many."""
     parts = shuffle_partitions(edges.sparkSession)
     now = edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")).where("a <> b")
     while True:
-        sent = _reduced(now).select(F.explode("vs").alias("a"), F.col("u").alias("b"))
-        met = _reduced(sent.repartition(parts, "a"))
+        stars_ = cut(_reduced(now))
+        n = stars_.agg(F.sum(F.size("vs"))).first()[0] or 0
+        sent = stars_.select(F.explode("vs").alias("a"), F.col("u").alias("b"))
+        if n <= few:
+            return cut(_joined(sent.coalesce(1)))
+        tasks = min(parts, -(-n // few))
+        met = cut(_reduced(sent.repartition(parts, "a").coalesce(tasks)))
         above = shuffled(met.select(F.explode("vs").alias("v"), F.col("u").alias("up")).groupBy(F.col("v").alias("u")).agg(F.min("up").alias("up")))
         pointers = cut(met.join(above, "u", "left").select(
-            F.explode("vs").alias("v"), F.coalesce("up", "u").alias("u"), F.col("up").isNotNull().alias("moved")))
+            F.explode("vs").alias("v"), F.coalesce("up", "u").alias("u"), F.col("up").isNotNull().alias("moved")).coalesce(tasks))
         ends = pointers.groupBy("v").agg(F.min("u").alias("u"), F.max("u").alias("other"), F.max("moved").alias("moved"))
         if not ends.agg(F.count_if(F.col("moved") | (F.col("u") != F.col("other")))).first()[0]:
             roots = pointers.select("u").distinct().select(F.col("u").alias("id"), F.col("u").alias("component"))
-            return ends.select(F.col("v").alias("id"), F.col("u").alias("component")).union(roots)
+            return cut(ends.select(F.col("v").alias("id"), F.col("u").alias("component")).union(roots))
         now = pointers.select(F.col("v").alias("a"), F.col("u").alias("b"))

@@ -81,7 +81,7 @@ def likely_similarity(greater: np.ndarray, smaller: np.ndarray, equal: np.ndarra
     return best_at
 
 
-def sketch(docs: DataFrame, piece_bytes: int = 1 << 20) -> DataFrame:
+def sketch(docs: DataFrame, piece_bytes: int = 1 << 18) -> DataFrame:
     """doc_id, n (set size), s1, s2 (fingerprint of the set), regs, one row per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +103,7 @@ def sketch(docs: DataFrame, piece_bytes: int = 1 << 20) -> DataFrame:
     return common.map_arrow(docs, run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, regs binary")
 
 
-def _full_sets(docs: DataFrame, piece_bytes: int = 1 << 20) -> DataFrame:
+def _full_sets(docs: DataFrame, piece_bytes: int = 1 << 18) -> DataFrame:
     """rep, members (the sorted 64-bit fingerprints of its set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +226,14 @@ def _tiled(rows: DataFrame, percent: int, tile: int) -> DataFrame:
     their own (a tile), and a tile gives out only links that join components it has
     not joined yet: never more than it has members."""
     weight = F.greatest(F.length("members") / 8, F.lit(100))
-    total = rows.groupBy("group").agg(F.ceil(F.sum(weight) / tile).cast("int").alias("blocks"))
-    placed = rows.join(shuffled(total), "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    parts = common.shuffle_partitions(rows.sparkSession)
+    # Only groups of several blocks need their number; one copy of it a part, so that the
+    # rows of a large group meet it in as many tasks.
+    total = rows.groupBy("group").agg(F.ceil(F.sum(weight) / tile).cast("int").alias("blocks")).where("blocks > 1") \
+        .select("group", "blocks", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(parts)).cast("int"))
+    placed = dealt.join(shuffled(total), ["group", "part"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
+        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
         "rep", "component", "members")
@@ -248,7 +254,7 @@ def _tiled(rows: DataFrame, percent: int, tile: int) -> DataFrame:
         if held:
             yield _joining_links(held, percent)
 
-    return common.map_arrow(met.repartition(common.shuffle_partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys),
+    return common.map_arrow(met.repartition(parts, *keys).sortWithinPartitions(*keys),
                             run, "a bigint, b bigint")
 
 
@@ -267,7 +273,8 @@ def _intersections(sets: list[np.ndarray], often: int = 32, columns: int = 2048)
         inside = (at >= lo) & (at < lo + columns)
         has = np.zeros((len(sets), min(columns, len(many) - lo)), dtype=np.float32)
         has[owner[inside], at[inside] - lo] = 1
-        out += has @ has.T
+        for k in range(0, len(sets), 256):  # a product of all rows would be another matrix of all pairs
+            out[k:k + 256] += has[k:k + 256] @ has.T
     few = np.flatnonzero((count[place] > 1) & (at < 0))
     few = few[np.argsort(place[few], kind="stable")]
     who, what = owner[few], place[few]
@@ -286,8 +293,6 @@ def _joining_links(rows: list[tuple], percent: int) -> pa.RecordBatch:
     size = np.array([len(r[2]) for r in rows])
     component = np.array([r[1] for r in rows])
     both = _intersections([r[2] for r in rows])
-    near = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-    near &= component[:, None] != component[None, :]
     parent = {c: c for c in component.tolist()}
 
     def root(c: int) -> int:
@@ -297,12 +302,17 @@ def _joining_links(rows: list[tuple], percent: int) -> pa.RecordBatch:
         return c
 
     a, b = [], []
-    for i, j in zip(*np.nonzero(np.triu(near)), strict=True):
-        x, y = root(int(component[i])), root(int(component[j]))
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            a.append(rows[i][0])
-            b.append(rows[j][0])
+    for lo in range(0, len(rows), 256):
+        own = slice(lo, lo + 256)
+        near = 100 * both[own] >= percent * (size[own, None] + size[None, :] - both[own])
+        near &= component[own, None] != component[None, :]
+        for i, j in zip(*np.nonzero(np.triu(near, lo)), strict=True):
+            i += lo
+            x, y = root(int(component[i])), root(int(component[j]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                a.append(rows[i][0])
+                b.append(rows[j][0])
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 

@@ -1,6 +1,7 @@
 """Near duplicates against brute force over full shingle sets."""
 import random
 import re
+import tracemalloc
 
 import numpy as np
 
@@ -136,3 +137,52 @@ def test_components(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: root(x) for x in linked}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_components_in_rounds(spark):
+    """With no more than a few edges a task, paths and a large star take several rounds."""
+    rng = random.Random(8)
+    nodes = [rng.randrange(1 << 40) for _ in range(400)]
+    edges = [*zip(nodes[:200], nodes[1:200], strict=False), *((nodes[200], v) for v in nodes[201:390]), (nodes[390], nodes[391])]
+    df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(9)
+    want = {v: min(part) for part in (nodes[:200], nodes[200:390], nodes[390:392]) for v in part}
+    assert dict(connected_components(df, few=20).collect()) == want == dict(connected_components(df).collect())
+
+
+def test_few_edges_take_few_tasks(spark):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    sc = spark.sparkContext
+    try:
+        for k, v in zip(held, ("101", "false"), strict=True):
+            spark.conf.set(k, v)
+        df = spark.createDataFrame([(i, i + 1) for i in range(300)], "a bigint, b bigint").coalesce(3)
+        sc.setJobGroup("few edges", "few edges")
+        assert {r["component"] for r in connected_components(df).collect()} == {0}
+        tracker = sc.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("few edges") for s in tracker.getJobInfo(j).stageIds}
+        assert sum(info.numTasks for s in stages if (info := tracker.getStageInfo(s))) < 101
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_tile_memory():
+    """Beside the one matrix of all pairs a tile holds only rows of others."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    rows = [(k, k, np.unique(np.concatenate([base[:38], rng.integers(0, 1 << 63, 2, dtype=np.uint64)]))) for k in range(2000)]
+    tracemalloc.start()
+    out = near_dedup._joining_links(rows, 75)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.num_rows == len(rows) - 1
+    assert peak < 12 * len(rows) ** 2
+
+
+def test_a_large_group_is_dealt_out_before_its_sets_are_joined(spark):
+    """No exchange of the tiles' rows is by the group alone, but for the totals."""
+    rows = spark.createDataFrame([(k, k, 1, bytes(800)) for k in range(40)], "rep bigint, component bigint, group bigint, members binary")
+    plan = near_dedup._tiled(rows, 75, 1000)._jdf.queryExecution().executedPlan().toString()
+    by_group = [x for x in plan.splitlines() if re.search(r"hashpartitioning\(group#\d+L?, \d+\)", x)]
+    assert len(by_group) <= 1 and re.search(r"hashpartitioning\(group#\d+L?, part#\d+", plan)

@@ -42,3 +42,18 @@ def test_pipeline_with_clashing_columns(spark, tmp_path):
     cut = now.where((F.col("doc_id") % 4 == 0) & (F.col("doc_id") > 0) & (F.col("doc_id") < 24)).collect()
     assert len(cut) == 5 and all(r["n_chars"] == len(r["text"]) < 400 for r in cut)
     assert corpus_pipeline.STAGES[4][1](spark, now, str(tmp_path)).count() == now.count()
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """Few long texts make a batch, not ten thousand."""
+    import pyarrow as pa
+
+    from kestrel.llm import common
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    df = spark.range(60).selectExpr("id AS doc_id", "repeat('long text ', 100000) AS text").coalesce(1)
+    got = [r["n"] for r in common.map_arrow(df, sizes, "n bigint").collect()]
+    assert sum(got) >= 60 * 1_000_000 and max(got) < 2 * common.BATCH_BYTES
