@@ -103,8 +103,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH,
     if len(seen) < 2:
         return OrdinalModel()
     n = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows).astype(np.int64) if n.sum() else np.empty(0, np.int64)
-    row_of = np.repeat(np.arange(len(rows)), n)
+    flat = np.concatenate(rows) if n.sum() else np.empty(0, np.int32)
+    row_of = np.repeat(np.arange(len(rows), dtype=np.int32), n)
     weight = np.ones(len(rows)) if weight is None else weight
     names = [str(k) for k in range(int(flat.max(initial=-1)) + 1)] if names is None else names
     width = len(names)
@@ -112,8 +112,12 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, strength: float = STRENGTH,
     step_of = np.searchsorted(seen, grades)  # grade's place among those seen
     excess = step_of - share_of @ step_of
     penalty = strength * _noise(weight, excess)
-    held = np.bincount(flat, minlength=width) >= least_docs
-    held &= np.bincount(flat, weights=(share_of * excess)[row_of], minlength=width) > penalty
+    docs, slopes = np.zeros(width, dtype=np.int64), np.zeros(width)
+    for lo in range(0, len(flat), 1 << 20):  # without temporary copies of all places
+        some = flat[lo:lo + (1 << 20)]
+        docs += np.bincount(some, minlength=width)
+        np.add.at(slopes, some, (share_of * excess)[row_of[lo:lo + (1 << 20)]])
+    held = (docs >= least_docs) & (slopes > penalty)
     cuts = len(seen) - 1
     above = step_of[:, None] > np.arange(cuts)[None, :]
     share = np.clip(share_of @ above, 1e-3, 1 - 1e-3)
@@ -136,9 +140,11 @@ def _descend(col: np.ndarray, row: np.ndarray, features: int, step_of: np.ndarra
     """Weights and thresholds by proximal AdaGrad; (row, col): the features' places;
     share_of: each row's share of the loss."""
     m, cuts = len(step_of), len(t)
+    row = row.astype(np.int64)
+    each = np.empty(len(col))  # what a round gathers at every place
     w, w_sum, t_sum = np.zeros(features), np.full(features, 1e-8), np.full(cuts, 1e-8)
     for _ in range(rounds):
-        x = np.bincount(row, weights=w[col], minlength=m)
+        x = np.bincount(row, weights=np.take(w, col, out=each, mode="clip"), minlength=m)
         # P(step = j) = s_{j-1} - s_j with s_k = sigmoid(x - t_k)
         s = _sigmoid(x[:, None] - t[None, :])
         padded = np.concatenate([np.ones((m, 1)), s, np.zeros((m, 1))], axis=1)
@@ -147,7 +153,7 @@ def _descend(col: np.ndarray, row: np.ndarray, features: int, step_of: np.ndarra
         slope = padded * (1 - padded)
         d_upper, d_lower = slope[at, step_of] / p, slope[at, step_of + 1] / p  # of s_{j-1} and s_j
         g = -(d_upper - d_lower) * share_of  # gradient of the mean loss by x
-        grad_w = np.bincount(col, weights=g[row], minlength=features)
+        grad_w = np.bincount(col, weights=np.take(g, row, out=each, mode="clip"), minlength=features)
         grad_t = np.zeros(cuts)
         np.add.at(grad_t, step_of[step_of > 0] - 1, (d_upper * share_of)[step_of > 0])
         np.add.at(grad_t, step_of[step_of < cuts], -(d_lower * share_of)[step_of < cuts])
@@ -241,7 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in common.pieces(batch, 4 << 20):
+            for part in common.pieces(batch, 1 << 20):
                 held = list(_features([part]))
                 ids, where = np.unique(np.concatenate([f for f, _ in held]), return_inverse=True)
                 slope = np.repeat([(seen.index(g) - mean) * stands_for[g] for _, g in held], [len(f) for f, _ in held])
@@ -265,7 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         names: dict[int, str] = {}
         place_of = {h: k for k, h in enumerate(wanted.tolist())}
         for batch in batches:
-            for part in common.pieces(batch, 4 << 20):
+            for part in common.pieces(batch, 1 << 20):
                 found = [np.flatnonzero(np.isin(wanted, ids, assume_unique=True)) for ids, _ in _features([part], place_of, names)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("grade"), pa.array(found, pa.list_(pa.int32())),
                                                   pa.nulls(len(found), pa.list_(pa.string()))], names=["doc_id", "grade", "f", "names"])
@@ -276,14 +282,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held = [""] * len(kept.value), []
         for batch in batches:
-            for doc, grade, f, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade", "f", "names")), strict=True):
+            ends, places = batch.column("f").offsets.to_numpy(), batch.column("f").values.to_numpy()
+            for k, (doc, grade) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade")), strict=True)):
+                f = places[ends[k]:ends[k + 1]]
                 if grade is None:
-                    for k, name in zip(f, own, strict=True):
-                        names[k] = min(name, names[k] or name)
+                    for at, name in zip(f.tolist(), batch.column("names")[k].as_py(), strict=True):
+                        names[at] = min(name, names[at] or name)
                 else:
-                    held.append((doc, grade, f))
-        held.sort()  # the same model whatever order the rows came in
-        m = fit([np.array(f, dtype=np.int64) for _, _, f in held], np.array([g for _, g, _ in held]),
+                    held.append((doc, grade, f.copy()))
+        # The same model whatever order the rows came in; the bytes are ordered as the places are.
+        held.sort(key=lambda r: (r[0], r[1], r[2].astype(">i4").tobytes()))
+        m = fit([f for _, _, f in held], np.array([g for _, g, _ in held]),
                 weight=np.array([stands_for[g] for _, g, _ in held]), names=names)
         yield pa.RecordBatch.from_arrays(
             [pa.array([list(m.weights)], pa.list_(pa.string())), pa.array([list(m.weights.values())], pa.list_(pa.float64())),
@@ -332,7 +341,7 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index_of = _scorer(model)
         for batch in batches:
-            for part in common.pieces(batch, 8 << 20):
+            for part in common.pieces(batch, 1 << 20):
                 x = index_of(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(model.severity(x), pa.float64()),
@@ -349,7 +358,7 @@ def keep_clean(docs: DataFrame, model: OrdinalModel, text_col: str = "text", cut
         index_of = _scorer(model)
         for batch in batches:
             x = np.concatenate([np.zeros(0), *(index_of(part.column(text_col).to_pylist())
-                                               for part in common.pieces(batch, 8 << 20, text_col))])
+                                               for part in common.pieces(batch, 1 << 20, text_col))])
             yield batch.filter(pa.array(~model.rejects(x, cut)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return common.map_arrow(docs, run, docs.schema)

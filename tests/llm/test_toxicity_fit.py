@@ -1,6 +1,7 @@
 """The ordinal fit against a plain minimiser, the scorer against a naive one, and what a high share of toxic labels keeps."""
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -90,3 +91,16 @@ def test_many_toxic_labels_keep_clean_texts(spark, tmp_path, share):
             assert kept == {900, 901, 902} | {i for i, _, t in labels if not t}
         else:
             assert kept == {r[0] for r in rows}
+
+
+def test_fit_memory():
+    """The fit holds the places a few times, whatever the number of features in use."""
+    rng = np.random.default_rng(4)
+    grades = (rng.random(4000) < 0.4).astype(np.int64)
+    rows = [np.flatnonzero(rng.random(3000) < (0.45 if g else 0.3)).astype(np.int32) for g in grades]
+    places = sum(map(len, rows))
+    tracemalloc.start()
+    model = toxicity.fit(rows, grades, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.thresholds and peak < 37 * places
