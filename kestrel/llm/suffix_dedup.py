@@ -25,10 +25,12 @@ Consecutive strings with one anchor are a block. The steps:
 4. Each document's repeats are united and cut out.
 
 A piece with very many different blocks (where a common passage begins or ends in
-different surroundings) is sent string by string, dealt by the string's own hash;
-equal strings meet in one in every run before they are sent, so that neither the
-passage nor its borders gather in one task. What tasks exchange are compressed
-batches, one for each range of the keys; nothing is collected by key.
+different surroundings) is sent string by string, each as a 128-bit hash and its place,
+dealt by that hash; equal strings meet in one in every task before they are sent, so
+that neither the passage nor its borders gather in one task. Such strings are many (a
+block has up to 69), so they are handled as columns and their bytes stay where they are.
+What tasks exchange are compressed batches, one for each range of the keys; nothing is
+collected by key.
 """
 
 from __future__ import annotations
@@ -49,16 +51,20 @@ from kestrel.llm import common, loser_tree
 from kestrel.llm.common import cut
 
 GRAM = 32
-HOT = 256  # different blocks of one anchor piece from which on its strings are sent one by one
+HOT = 256  # different blocks of one anchor piece from which on its strings are settled one by one
 SLICE = 2 << 20  # a longer text is worked on in overlapping slices
+PIECE = 1 << 18  # texts worked on at once, whose hashes stay in the cache
 NO_ID = np.int64((1 << 63) - 1)  # a null id counts as the largest
 
 U = np.uint64
 _RNG = np.random.default_rng(20240315)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = _RNG.integers(1, 1 << 63, 32, dtype=np.uint64) | U(1)
+# Of the second half of a string's hash.
+_BYTE_2 = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
+_ODD_2 = _RNG.integers(1, 1 << 63, 32, dtype=np.uint64) | U(1)
 BLOB = "part int, kind int, blob binary"
-BLOCKS, GONE, WANTED, TEXTS, RUNS = range(5)
+BLOCKS, GONE, WANTED, TEXTS, RUNS, STRINGS = range(6)
 
 
 # ---- anchors and blocks
@@ -68,11 +74,12 @@ def _fold(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _window_hashes(data: np.ndarray, widths: tuple[int, ...]) -> dict[int, np.ndarray]:
+def _window_hashes(data: np.ndarray, widths: tuple[int, ...], byte: np.ndarray = _BYTE, odd: np.ndarray = _ODD
+                   ) -> dict[int, np.ndarray]:
     """Hash of the bytes in every window of each width (powers of two)."""
-    h, k, i, out = _BYTE[data], 1, 0, {}
+    h, k, i, out = byte[data], 1, 0, {}
     while k < max(widths):
-        h = _fold(h[:len(h) - k] * _ODD[i] + h[k:] * _ODD[i + 8])
+        h = _fold(h[:len(h) - k] * odd[i] + h[k:] * odd[i + 8])
         k, i = 2 * k, i + 1
         if k in widths:
             out[k] = h
@@ -120,18 +127,31 @@ def blocks(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray,
     return _fold(_fold(piece[at] * _ODD[21]) * _ODD[22]) * _ODD[23], block, text[first], first - (ends - sizes)[text[first]], count, at - first
 
 
+def _string_hashes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the ``length`` bytes from each place on."""
+    n, out = len(data) - length + 1, []
+    width = 1 << length.bit_length() - 1  # the windows at a string's begin and end cover it
+    for byte, odd in ((_BYTE, _ODD), (_BYTE_2, _ODD_2)):
+        h = _window_hashes(data, (width,), byte, odd)[width]
+        # Mixed, so that the ranges of the first are even.
+        out.append(_fold(_fold(h[:n] * odd[20] + h[length - width:length - width + n] * odd[21]) * odd[22]) * odd[23])
+    return out[0], out[1]
+
+
 # ---- compressed batches
 
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
 
 def _pack(*columns: np.ndarray) -> bytes:
     """Columns byte plane by byte plane, compressed."""
     planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
-    return struct.pack("<q", len(columns[0])) + zstandard.ZstdCompressor(level=3).compress(b"".join(planes))
+    return struct.pack("<q", len(columns[0])) + _COMPRESSOR.compress(b"".join(planes))
 
 
 def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     n = struct.unpack_from("<q", blob)[0]
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[8:], max_output_size=1 << 31), np.uint8)
+    raw = np.frombuffer(_DECOMPRESSOR.decompress(blob[8:], max_output_size=1 << 31), np.uint8)
     out, at = [], 0
     for kind in kinds:
         size = np.dtype(kind).itemsize
@@ -170,6 +190,19 @@ def _rows(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
                                        pa.array(blob, pa.binary())], names=["part", "kind", "blob"])
 
 
+def _few(found: Iterator[tuple[int, int, bytes]], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in Arrow batches of about a MB: one for each would cost more than what it holds."""
+    held, size = [], 0
+    for one in found:
+        held.append(one)
+        size += len(one[2])
+        if size > most:
+            yield _rows(held)
+            held, size = [], 0
+    if held:
+        yield _rows(held)
+
+
 def _split(kind: int, part: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
     """One batch for each part, in the columns' order."""
     if not len(part):
@@ -227,9 +260,9 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _slices(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, ends, ids, tags, offset of each text): pieces of some MB; a long text
-    comes in slices that overlap by one byte less than a string."""
-    for part in common.pieces(batch, SLICE // 2):
+    """(bytes, ends, ids, tags, offset of each text): pieces of a quarter of a MB; a text
+    longer than a slice comes in slices that overlap by one byte less than a string."""
+    for part in common.pieces(batch, PIECE):
         texts, ids = _texts(part), _ids(part)
         tags = np.array([_tag(t) for t in texts], dtype=np.uint32)
         if len(texts) == 1 and len(texts[0]) > SLICE:
@@ -315,36 +348,43 @@ def _settle_task(length: int, parts: np.ndarray):
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _few(each(batches))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         held: list[bytes] = []
         now = -1
         for part, kind, blob in _by_part(batches):
             if kind != BLOCKS:
-                yield _rows([(part, kind, blob)])
+                yield part, kind, blob
                 continue
             if part != now and held:
-                yield _rows(done(held))
+                yield from done(held)
                 held = []
             now = part
             held.append(blob)
         if held:
-            yield _rows(done(held))
+            yield from done(held)
 
     return run
 
 
-def _text_task(parts: np.ndarray, most: int = 16 << 20):
+def _text_task(parts: np.ndarray, most: int = 32 << 20):
     """Whole rows, as compressed Arrow batches dealt by document."""
     def flush(rows: pa.Table) -> pa.RecordBatch:
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
         ids = pc.fill_null(rows.column("doc_id"), int(NO_ID)).to_numpy().astype(np.int64)
         part = _by_doc(ids, parts)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        # Texts are copied into the parts' order once; take() for each part would copy all of them each time.
+        rows = rows.combine_chunks().take(pa.array(order)).combine_chunks()
+        head = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist()
         found = []
-        for p in np.unique(part):
+        for lo, hi in zip(head, [*head[1:], len(part)], strict=True):
             sink = pa.BufferOutputStream()
-            own = rows.take(pa.array(np.flatnonzero(part == p))).combine_chunks()
-            with pa.ipc.new_stream(sink, own.schema, options=options) as out:
-                out.write_table(own)
-            found.append((int(p), TEXTS, sink.getvalue().to_pybytes()))
+            with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                out.write_table(rows.slice(lo, hi - lo))
+            found.append((int(part[lo]), TEXTS, sink.getvalue().to_pybytes()))
         return _rows(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,6 +408,32 @@ def _text_batches(blob: bytes) -> Iterator[pa.RecordBatch]:
         yield from stream
 
 
+def _part_texts(batches: Iterator[pa.RecordBatch], kind: int, most: int = 1 << 20
+                ) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+    """The rows of each part, joined to batches of about a MB, each beside all the part's
+    batches of ``kind`` (for one part the same list)."""
+    def joined() -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+        for batch in pa.Table.from_batches(rows).combine_chunks().to_batches() if rows else ():
+            yield held, batch
+
+    held: list[bytes] = []
+    rows: list[pa.RecordBatch] = []
+    now, size = -1, 0
+    for part, what, blob in _by_part(batches):
+        if part != now or size > most:
+            yield from joined()
+            rows, size = [], 0
+        if part != now:
+            held, now = [], part
+        if what == kind:
+            held.append(blob)
+            continue
+        for batch in _text_batches(blob):
+            rows.append(batch)
+            size += batch.nbytes
+    yield from joined()
+
+
 def _spots(doc: np.ndarray, tag: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
     """Where each document's rows lie in columns sorted by (doc, tag)."""
     if not len(doc):
@@ -397,13 +463,13 @@ def _front_coded(keys: list[bytes], lefts: list[bytes], cols: list[np.ndarray])
     body = b"".join(rest) + b"".join(lefts)
     head = _pack(np.array(shared, np.uint16), np.array([len(r) for r in rest], np.uint16),
                  np.array([len(x) for x in lefts], np.uint16), *cols)
-    return struct.pack("<q", len(head)) + head + zstandard.ZstdCompressor(level=3).compress(body)
+    return struct.pack("<q", len(head)) + head + _COMPRESSOR.compress(body)
 
 
 def _decoded(blob: bytes) -> tuple[list[bytes], list[int], list[bytes], list[np.ndarray]]:
     size = struct.unpack_from("<q", blob)[0]
     shared, rest, left, *cols = _unpack(blob[8:8 + size], *_RUN)
-    body = zstandard.ZstdDecompressor().decompress(blob[8 + size:], max_output_size=1 << 31)
+    body = _DECOMPRESSOR.decompress(blob[8 + size:], max_output_size=1 << 31)
     keys, at, last = [], 0, b""
     for s, r in zip(shared.tolist(), rest.tolist(), strict=True):
         last = last[:s] + body[at:at + r]
@@ -416,8 +482,44 @@ def _decoded(blob: bytes) -> tuple[list[bytes], list[int], list[bytes], list[np.
     return keys, shared.tolist(), lefts, cols
 
 
-def _run_task(length: int, parts: np.ndarray, most: int = 150_000):
-    """Cut wanted suffixes out of the texts and send them as sorted runs."""
+# ---- strings of hot pieces
+
+_STRING = ("u8", "u8", "i8", "u4", "i8")  # hash, its second half, doc, tag, start
+
+
+def _first_strings(rec: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Strings sorted by hash and place; whether each is the first of its hash."""
+    order = np.lexsort(rec[::-1])
+    rec = [c[order] for c in rec]
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = (rec[0][1:] != rec[0][:-1]) | (rec[1][1:] != rec[1][:-1])
+    return rec, first
+
+
+def _hot_strings(blocks_: list[tuple[int, int, int, int, bytes]], length: int, parts: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """Every string of the blocks (doc, tag, start, strings, bytes): the first of equal ones
+    is sent by its hash, the others are repeats."""
+    doc, tag, start, count = (np.array([b[k] for b in blocks_], t) for k, t in
+                              enumerate((np.int64, np.uint32, np.int64, np.int64)))
+    data = np.frombuffer(b"".join(b[4] for b in blocks_), np.uint8)
+    left, right = _string_hashes(data, length)
+    base = np.cumsum(count + length - 1) - (count + length - 1)
+    step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    at = np.repeat(base, count) + step
+    rec, first = _first_strings([left[at], right[at], np.repeat(doc, count), np.repeat(tag, count),
+                                 np.repeat(start, count) + step])
+    found = list(_split(STRINGS, _by_key(rec[0][first], parts), [c[first] for c in rec]))
+    return found + _later(rec, first, length, parts)
+
+
+def _later(rec: list[np.ndarray], first: np.ndarray, length: int, parts: np.ndarray) -> list[tuple[int, int, bytes]]:
+    doc, tag, start = (c[~first] for c in rec[2:])
+    return list(_gone(doc, tag, start, np.full(len(start), length), parts))
+
+
+def _run_task(length: int, parts: np.ndarray, most: int = 150_000, most_bytes: int = SLICE):
+    """Cut wanted suffixes out of the texts and send them as sorted runs, and the strings
+    of hot pieces by their hashes."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
         rows.sort()
@@ -445,48 +547,46 @@ def _run_task(length: int, parts: np.ndarray, most: int = 150_000):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        held: list[bytes] = []
-        now, spots, cols = -1, {}, []
-        for part, kind, blob in _by_part(batches):
-            if part != now:
-                held, now, spots = [], part, None
-            if kind == WANTED:
-                held.append(blob)
-                continue
-            if spots is None:
-                wanted = _collected(held, _WANTED)
+        strings: list[tuple[int, int, int, int, bytes]] = []
+        size = 0
+        last, spots, cols = None, {}, []
+        for held, batch in _part_texts(batches, WANTED):
+            if held is not last:
+                last, wanted = held, _collected(held, _WANTED)
                 spots = _spots(wanted[0], wanted[1])
                 cols = [c.tolist() for c in wanted]
-                held = []
             if not spots:
                 continue
-            for batch in _text_batches(blob):
-                for doc, text in zip(_ids(batch).tolist(), _texts(batch), strict=True):
-                    if (doc, tag := _tag(text)) not in spots:
-                        continue
-                    lo, hi = spots.pop((doc, tag))  # a repeated row is the same document
-                    for i in range(lo, hi):
-                        start, n, anchor, hot = cols[2][i], cols[3][i], cols[4][i], cols[5][i]
-                        if hot:
-                            for s in range(start, start + n):
-                                string = text[s:s + length]
-                                key = hashlib.blake2b(string, digest_size=8).digest()
-                                rows.append((key + string, doc, tag, s, 1, b"", 0))
-                        else:
-                            key = cols[6][i].to_bytes(8, "big")
-                            a = start + anchor
-                            rows.append((key + text[a:start + n + length - 1], doc, tag, start, n, text[start:a], anchor))
-                    if len(rows) > most:
-                        yield flush(rows)
-                        rows = []
+            for doc, text in zip(_ids(batch).tolist(), _texts(batch), strict=True):
+                if (doc, tag := _tag(text)) not in spots:
+                    continue
+                lo, hi = spots.pop((doc, tag))  # a repeated row is the same document
+                for i in range(lo, hi):
+                    start, n, anchor, hot = cols[2][i], cols[3][i], cols[4][i], cols[5][i]
+                    if hot:
+                        strings.append((doc, tag, start, n, text[start:start + n + length - 1]))
+                        size += n + length - 1
+                    else:
+                        key = cols[6][i].to_bytes(8, "big")
+                        a = start + anchor
+                        rows.append((key + text[a:start + n + length - 1], doc, tag, start, n, text[start:a], anchor))
+                if len(rows) > most:
+                    yield flush(rows)
+                    rows = []
+                if size > most_bytes:
+                    yield _rows(_hot_strings(strings, length, parts))
+                    strings, size = [], 0
         if rows:
             yield flush(rows)
+        if strings:
+            yield _rows(_hot_strings(strings, length, parts))
 
     return run
 
 
 def _merge_task(length: int, parts: np.ndarray):
-    """Merge the runs of a range and find the strings that occur earlier."""
+    """Merge the runs of a range and find the strings that occur earlier; of equal
+    strings of hot pieces all but the first."""
 
     def resolve(group: list[tuple], out: list[tuple[int, int, int, int]]) -> None:
         """group: (doc, tag, start, strings, anchor, key, left, prefix shared with the
@@ -540,20 +640,28 @@ def _merge_task(length: int, parts: np.ndarray):
                                  enumerate((np.int64, np.uint32, np.int64, np.int64)))
         return list(_gone(doc, tag, start, size, parts))
 
+    def settled(held: list[bytes]) -> list[tuple[int, int, bytes]]:
+        rec, first = _first_strings([np.concatenate(c) for c in
+                                     zip(*(_unpack(b, *_STRING) for b in held), strict=True)])
+        return _later(rec, first, length, parts)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _few(each(batches))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         held: list[bytes] = []
-        now = -1
+        now = (-1, RUNS)
         for part, kind, blob in _by_part(batches):
-            if kind != RUNS:
-                yield _rows([(part, kind, blob)])
+            if kind not in (RUNS, STRINGS):
+                yield part, kind, blob
                 continue
-            if part != now and held:
-                yield _rows(done(held))
+            if (part, kind) != now and held:
+                yield from done(held) if now[1] == RUNS else settled(held)
                 held = []
-            now = part
+            now = (part, kind)
             held.append(blob)
         if held:
-            yield _rows(done(held))
+            yield from done(held) if now[1] == RUNS else settled(held)
 
     return run
 
@@ -572,44 +680,37 @@ def _cut_task(form: str, text_type: pa.DataType | None = None):
         return b"".join([*out, text[at:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[bytes] = []
-        now, spots, start, stop = -1, {}, [], []
-        for part, kind, blob in _by_part(batches):
-            if part != now:
-                held, now, spots = [], part, None
-            if kind == GONE:
-                held.append(blob)
-                continue
-            if spots is None:
+        last, spots, start, stop = None, {}, [], []
+        for held, batch in _part_texts(batches, GONE):
+            if held is not last:
+                last = held
                 doc, tag, lo, size = _collected(held, _GONE)
                 if len(doc):
                     doc, tag, lo, hi = _united(doc, tag, lo, lo + size)
                     start, stop = lo.tolist(), hi.tolist()
                 spots = _spots(doc, tag)
-                held = []
-            for batch in _text_batches(blob):
-                texts = _texts(batch)
-                spans = []
-                for d, t in zip(_ids(batch).tolist(), texts, strict=True):
-                    a, b = spots.get((d, _tag(t)), (0, 0)) if spots else (0, 0)
-                    spans.append(list(zip(start[a:b], stop[a:b], strict=True)))
-                kept = [apply(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
-                if form == "digest":
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
-                         pa.array([len(t) - len(k) for t, k in zip(texts, kept, strict=True)], pa.int64()),
-                         pa.array([len(s) for s in spans], pa.int64()),
-                         pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())],
-                        names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-                else:
-                    new = [k.decode("utf-8", "ignore") if has else None
-                           for has, k in zip(batch.column("text").is_valid().to_pylist(), kept, strict=True)]
-                    out = batch.set_column(batch.schema.get_field_index("text"), batch.schema.field("text"),
-                                           pa.array(new, batch.schema.field("text").type))
-                    pairs = [[{"start": a, "stop": b} for a, b in s] for s in spans]
-                    yield pa.RecordBatch.from_arrays(
-                        [*out.columns, pa.array(pairs, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
-                        names=[*out.schema.names, "removed"])
+            texts = _texts(batch)
+            spans = []
+            for d, t in zip(_ids(batch).tolist(), texts, strict=True):
+                a, b = spots.get((d, _tag(t)), (0, 0)) if spots else (0, 0)
+                spans.append(list(zip(start[a:b], stop[a:b], strict=True)))
+            kept = [apply(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
+            if form == "digest":
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
+                     pa.array([len(t) - len(k) for t, k in zip(texts, kept, strict=True)], pa.int64()),
+                     pa.array([len(s) for s in spans], pa.int64()),
+                     pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            else:
+                new = [k.decode("utf-8", "ignore") if has else None
+                       for has, k in zip(batch.column("text").is_valid().to_pylist(), kept, strict=True)]
+                out = batch.set_column(batch.schema.get_field_index("text"), batch.schema.field("text"),
+                                       pa.array(new, batch.schema.field("text").type))
+                pairs = [[{"start": a, "stop": b} for a, b in s] for s in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [*out.columns, pa.array(pairs, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
+                    names=[*out.schema.names, "removed"])
 
     return run
 

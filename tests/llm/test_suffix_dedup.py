@@ -111,3 +111,72 @@ def test_loser_tree():
         assert [(got[i], out[i][0]) for i in range(len(out))] == sorted((x, r) for r, (s, _) in enumerate(runs) for x in s)
         for i in range(1, len(out)):
             assert out[i][2] == len(os.path.commonprefix(got[i - 1:i + 1]))
+
+
+def through(tasks, batches):
+    """What the tasks make of the batches, one after the other; the parts meet in order between them."""
+    import pyarrow as pa
+    for task in tasks:
+        found = [x for b in task(iter(batches)) for x in zip(*(b.column(c).to_pylist() for c in ("part", "kind", "blob")), strict=True)]
+        batches = [suffix_dedup._rows(sorted(found, key=lambda x: x[:2]))] if found else []
+    return batches or [pa.RecordBatch.from_pylist([], suffix_dedup._rows([]).schema)]
+
+
+def test_hot_strings_are_columns(monkeypatch):
+    """Strings of a piece with many different blocks are sent as hashes and places, not with
+    their bytes; the result is that of brute force."""
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(suffix_dedup, "HOT", 8)
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh ijklmnopq") for _ in range(n))
+    common_ = noise(160)
+    rows = [(i, noise(80) + common_[rng.randrange(4):] + noise(80)) for i in range(400)]
+    rows.append((1, rows[0][1]))  # one id, another text
+    rows.append(rows[5])  # listed twice
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["doc_id", "text"])
+    parts = np.arange(3, dtype=np.int32)
+    settled = through([suffix_dedup._block_task(LENGTH, parts), suffix_dedup._settle_task(LENGTH, parts)],
+                      [batch.slice(0, 150), batch.slice(150)])[0].to_pylist()
+    texts = [r for b in suffix_dedup._text_task(parts)(iter([batch])) for r in b.to_pylist()]
+    wanted = [r for r in settled if r["kind"] == suffix_dedup.WANTED]
+    cols = [np.concatenate(c) for c in zip(*(suffix_dedup._unpack(r["blob"], *suffix_dedup._WANTED) for r in wanted), strict=True)]
+    hot = cols[5].astype(bool)
+    strings = int(cols[3][hot].astype(int).sum())
+    assert strings > 10_000
+    met = sorted((r["part"], r["kind"], r["blob"]) for r in [*wanted, *texts])
+    runs = through([suffix_dedup._run_task(LENGTH, parts)], [suffix_dedup._rows(met)])
+    rows_sent = sum(len(suffix_dedup._decoded(r["blob"])[0]) for r in runs[0].to_pylist() if r["kind"] == suffix_dedup.RUNS)
+    assert rows_sent <= (~hot).sum()
+    assert sum(len(r["blob"]) for r in runs[0].to_pylist()) < 40 * strings
+    merged = through([suffix_dedup._merge_task(LENGTH, parts)], runs)[0].to_pylist()
+    gone = [r for r in [*settled, *merged] if r["kind"] == suffix_dedup.GONE]
+    met = sorted((r["part"], r["kind"], r["blob"]) for r in [*gone, *texts])
+    got = pa.Table.from_batches(list(suffix_dedup._cut_task("digest")(iter([suffix_dedup._rows(met)])))).to_pylist()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) \
+        == expected([(i, t.encode()) for i, t in rows])
+
+
+def test_work_does_not_grow_with_the_parts():
+    """Texts dealt to many parts: no copy of all of them for each part, and no Arrow batch for each
+    part and task after that."""
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(400)) * 20 for _ in range(1500)]
+    batches = pa.Table.from_arrays([pa.array(range(1500)), pa.array(texts)], names=["doc_id", "text"]).to_batches(max_chunksize=100)
+
+    def seconds(n):
+        began = time.process_time()
+        found = [r for b in suffix_dedup._text_task(np.arange(n, dtype=np.int32))(iter(batches)) for r in b.to_pylist()]
+        return time.process_time() - began, found
+
+    few, _ = seconds(3)
+    many, found = seconds(1000)
+    assert len(found) > 500
+    assert many < 3 * few + 0.5
+    one = [(0, r["kind"], r["blob"]) for r in found]
+    out = list(suffix_dedup._cut_task("digest")(iter([suffix_dedup._rows(one)])))
+    assert sum(b.num_rows for b in out) == 1500 and len(out) < 30
